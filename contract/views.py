@@ -78,8 +78,11 @@ def snapshot(spark: SparkSession, sf_dir: str, name: str = "a") -> DataFrame:
 
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_page_texts(table(spark, sf_dir, "documents"))
+
+
+def as_page_texts(docs: DataFrame) -> DataFrame:
     """Documents dressed up as the text of a paper's first pages."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     number = F.col("doc_id")
     return docs.select(
         "doc_id",
@@ -99,9 +102,13 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_job_log(table(spark, sf_dir, "events"))
+
+
+def as_job_log(events: DataFrame) -> DataFrame:
     """Events read as the log of job updates."""
     kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.concat(F.lit("job-"), F.col("user_id").cast("string")).alias("job_id"),
         "ts",
         "event_id",

@@ -4,7 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorSlicer
+from pyspark.ml.feature import (
+    CountVectorizer,
+    CountVectorizerModel,
+    ElementwiseProduct,
+    Normalizer,
+    VectorSlicer,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,7 +27,7 @@ def query_weights(spark: SparkSession, query_text: str, vocabulary: Vocabulary)
     The query goes through the same expressions as the documents; its size is
     that of the topic text, not of the corpus.
     """
-    query = spark.createDataFrame([(query_text,)], "text string")
+    query = spark.range(1).select(F.lit(query_text).alias("text"))
     counted = with_term_counts(with_terms(query, stop_words=vocabulary.stop_words))
     position = {term: i for i, term in enumerate(vocabulary.terms)}
     idf = vocabulary.idf_values()
@@ -34,6 +40,22 @@ def query_weights(spark: SparkSession, query_text: str, vocabulary: Vocabulary)
     return {index: w / norm for index, w in sorted(weights.items())}
 
 
+def term_counter(
+    spark: SparkSession, vocabulary: Vocabulary, terms: str, counts: str
+) -> tuple[CountVectorizerModel, list[int]]:
+    """Counter over the vocabulary, and the vector index of each of its terms.
+
+    Fitted on the vocabulary itself, one row per term: handing thousands of
+    strings to the JVM one call at a time takes seconds.
+    """
+    rows = vocabulary.frame(spark).select(F.array("term").alias(terms)).coalesce(1)
+    model = CountVectorizer(
+        vocabSize=len(vocabulary.terms), minDF=1.0, inputCol=terms, outputCol=counts
+    ).fit(rows)
+    index = {term: i for i, term in enumerate(model.vocabulary)}
+    return model, [index[term] for term in vocabulary.terms]
+
+
 def with_tfidf_score(
     docs: DataFrame,
     query_text: str,
@@ -54,12 +76,13 @@ def with_tfidf_score(
     if not weights:
         return docs.withColumn(score, F.when(empty, F.lit(NEUTRAL)).otherwise(F.lit(0.0)))
 
-    counter = CountVectorizerModel.from_vocabulary(list(vocabulary.terms), "_grams", "_counts")
-    scale = ElementwiseProduct(
-        scalingVec=Vectors.dense(vocabulary.idf_values()), inputCol="_counts", outputCol="_scaled"
-    )
+    counter, place = term_counter(docs.sparkSession, vocabulary, "_grams", "_counts")
+    scaling = [0.0] * len(vocabulary.terms)
+    for index, value in enumerate(vocabulary.idf_values()):
+        scaling[place[index]] = value
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(scaling), inputCol="_counts", outputCol="_scaled")
     unit = Normalizer(p=2.0, inputCol="_scaled", outputCol="_unit")
-    select = VectorSlicer(inputCol="_unit", outputCol="_query_part", indices=list(weights))
+    select = VectorSlicer(inputCol="_unit", outputCol="_query_part", indices=[place[i] for i in weights])
 
     staged = with_terms(docs, text, "_grams", vocabulary.stop_words)
     for stage in (counter, scale, unit, select):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from topicsieve.functions.keywords import first_spellings, ranked_keywords, split_keywords
 from topicsieve.functions.scoring import DEFAULT_WEIGHTS
 from topicsieve.functions.text import SPACE, strip
+from topicsieve.operators.embedding import Embedder, embed_where
 
 # Fixed value: name of the axis that replaces the last one removed.
 DEFAULT_AXIS = "keywords"
@@ -51,6 +52,18 @@ def patch_topic(topics: DataFrame, patches: DataFrame, key: str, fields: Sequenc
     )
 
 
+def refresh_query_vectors(
+    topics: DataFrame, patches: DataFrame, key: str, embedder: Embedder
+) -> DataFrame:
+    """Patch query texts of many topics and re-embed exactly those given one."""
+    given = patches.where(F.col("query_text").isNotNull()).select(key, "query_text", F.lit(True).alias("_given"))
+    joined = topics.join(given.withColumnRenamed("query_text", "_text"), key, "left")
+    patched = joined.withColumn("query_text", F.coalesce("_text", "query_text")).drop("_text")
+    return embed_where(
+        patched, F.coalesce("_given", F.lit(False)), embedder, text="query_text"
+    ).withColumnRenamed("_given", "refreshed")
+
+
 def axis_name(name: Column) -> Column:
     """Trimmed, lower-cased, white space as underscores."""
     return F.regexp_replace(F.lower(strip(name)), f"[{SPACE}]+", "_")

@@ -12,6 +12,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def with_term_counts(docs: DataFrame, terms: str = "terms", counts: str = "count
         ),
     )
     return (
-        docs.withColumn("_sorted", F.array_sort(terms))
+        docs.withColumn("_sorted", F.sort_array(terms))
         .withColumn("_heads", heads)
         .withColumn("_size", size)
         .withColumn(counts, F.filter(runs, lambda r: r.isNotNull()))
@@ -163,8 +164,8 @@ class Vocabulary:
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """Rows of (idx, term, df, cf, idf, n_docs); small enough to broadcast."""
-        rows = zip(range(len(self.terms)), self.terms, self.df, self.cf)
-        base = spark.createDataFrame(list(rows), "idx int, term string, df long, cf long")
+        columns = {"idx": range(len(self.terms)), "term": self.terms, "df": self.df, "cf": self.cf}
+        base = spark.createDataFrame(pd.DataFrame(columns), "idx int, term string, df long, cf long")
         return base.withColumn("idf", idf(F.lit(float(self.n_docs)), F.col("df"))).withColumn(
             "n_docs", F.lit(self.n_docs).cast("long")
         )

@@ -22,8 +22,8 @@ from topicsieve.sources.files import BINARY_SCHEMA, SUFFIX_GLOB, PageExtractor,
 from topicsieve.streaming.store import Store
 from topicsieve.topic import Topic
 
-PAPERS, STATISTICS, VOCABULARY = "papers", "statistics", "vocabulary"
 ROWS, LOG = "ingested", "job_log"
+STATISTICS, VOCABULARY = "statistics", "vocabulary"
 
 # Stages of an ingest job, in order.
 RUNNING_STAGES = ("extracting_metadata", "embedding_sbert", "scoring")
@@ -48,6 +48,12 @@ def current_vocabulary(spark: SparkSession, store: Store, batch: int | None = No
     return Vocabulary.load(spark, store.path(VOCABULARY, known[-1])) if known else Vocabulary(0)
 
 
+def read_papers(spark: SparkSession, store: Store) -> DataFrame:
+    """All papers ingested so far."""
+    papers, _ = split_ingested(store.read(spark, ROWS).drop("batch"))
+    return papers
+
+
 def ingest_log(rows: DataFrame) -> DataFrame:
     """Updates of each file's job: queued, its stages, then completed or failed."""
     failed = F.col("ingest_error").isNotNull()
@@ -99,7 +105,6 @@ def ingest_batch(
     rows = ingest_files(files, topic, vocabulary, last_number, embedder, extractor)
     rows = store.write(rows.withColumn("created_at", started), ROWS, batch)
     papers, _ = split_ingested(rows)
-    store.write(papers, PAPERS, batch)
     store.write(ingest_log(rows), LOG, batch)
 
     fresh = term_statistics(papers.select(scoring_text(papers).alias("text")))
