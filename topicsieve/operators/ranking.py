@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from topicsieve.operators.papers import with_min_score
 
 MAX_TOP = 2000
+BROADCAST_IDS = 100_000
 
 
 def ranking_order() -> list:
@@ -48,7 +49,8 @@ def select_for_justify(
     if paper_ids:
         spark = papers.sparkSession
         wanted = spark.createDataFrame(list(enumerate(paper_ids)), "request_pos int, paper_id string")
-        return papers.join(wanted, "paper_id")
+        # A list of unknown size would be planned as a shuffle of the whole table.
+        return papers.join(F.broadcast(wanted) if len(paper_ids) <= BROADCAST_IDS else wanted, "paper_id")
     if top is not None:
         return ranking_position(papers, top).withColumn("request_pos", F.col("position") - 1).drop("position")
     if min_score is not None:

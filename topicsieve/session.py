@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,20 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="topicsieve-"), root.name)
+    context.addPyFile(shutil.make_archive(archive, "zip", root.parent, root.name))
+    _shipped.add(context.applicationId)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan with fewer splits than cores enough tasks to use them all.
 
