@@ -90,7 +90,7 @@ def read_binary(spark, sf_dir):
 
 
 def upload_files(spark, sf_dir) -> DataFrame:
-    return as_upload_files(views.page_texts(spark, sf_dir))
+    return as_upload_files(spread(views.page_texts(spark, sf_dir)))
 
 
 def as_upload_files(docs: DataFrame) -> DataFrame:
@@ -343,7 +343,8 @@ def extract_metadata(spark, sf_dir):
 
 @query
 def keyword_hits(spark, sf_dir):
-    lowered = views.papers(spark, sf_dir).select("paper_id", F.lower("text").alias("lowered"))
+    texts = spread(views.papers(spark, sf_dir).select("paper_id", "text"))
+    lowered = texts.select("paper_id", F.lower("text").alias("lowered"))
     rows = [
         F.struct(
             F.lit(axis).alias("axis"), F.lit(k).alias("keyword"),
@@ -355,7 +356,8 @@ def keyword_hits(spark, sf_dir):
 
 
 def keyword_score_for(spark, sf_dir, axes) -> DataFrame:
-    lowered = views.papers(spark, sf_dir).select("paper_id", F.lower("text").alias("lowered"))
+    texts = spread(views.papers(spark, sf_dir).select("paper_id", "text"))
+    lowered = texts.select("paper_id", F.lower("text").alias("lowered"))
     return lowered.select("paper_id", keywords.keyword_score(F.col("lowered"), axes).alias("keyword"))
 
 
@@ -372,8 +374,8 @@ def keyword_score_axes(spark, sf_dir):
 
 @query
 def normalize_keywords(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents").select("doc_id", "text", F.array("lang").alias("existing"))
-    done = topics.normalize_keywords(docs, "text", "existing")
+    docs = spread(views.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    done = topics.normalize_keywords(docs.withColumn("existing", F.array("lang")), "text", "existing")
     return done.select("doc_id", F.size("keywords").alias("n"), F.array_join("keywords", "|").alias("keywords"))
 
 
@@ -469,9 +471,15 @@ def incremental_vs_refit(spark, sf_dir):
     docs = documents(spark, sf_dir)
     old = docs.where(F.col("doc_id") % 2 == 0)
     new = docs.where(F.col("doc_id") % 2 == 1)
-    before = vocabulary.term_statistics(old)
+
+    def stored(statistics: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "statistics")
+        statistics.write.parquet(path)
+        return spark.read.parquet(path)
+
+    before = stored(vocabulary.term_statistics(old))
     first = vocabulary.vocabulary_from_statistics(before)
-    both = vocabulary.merge_statistics(before, vocabulary.term_statistics(new))
+    both = stored(vocabulary.merge_statistics(before, vocabulary.term_statistics(new)))
     second = vocabulary.vocabulary_from_statistics(both)
     query_text = TOPIC_A["query_text"]
     scored = similarity.with_tfidf_score(new, query_text, first, score="incremental")
@@ -708,7 +716,7 @@ def reextract(spark, sf_dir):
     corpus = views.corpus(spark, sf_dir).select(
         "paper_id", "title", "abstract", "year", "text", "embedding", "minio_key"
     )
-    sources = views.page_texts(spark, sf_dir).where(F.col("doc_id") % 3 != 0).select(
+    sources = spread(views.page_texts(spark, sf_dir).where(F.col("doc_id") % 3 != 0)).select(
         scoring.object_key(F.col("paper_id")).alias("minio_key"), F.encode("full_text", "UTF-8").alias("content")
     )
     done = ingest.reextract(corpus, sources, EMBEDDER)

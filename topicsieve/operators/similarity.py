@@ -16,7 +16,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topicsieve.operators.vocabulary import Vocabulary, with_term_counts, with_terms
+from topicsieve.operators.vocabulary import Vocabulary, count_rows, with_term_counts, with_terms
 
 NEUTRAL = 0.5
 
@@ -33,7 +33,7 @@ def query_weights(spark: SparkSession, query_text: str, vocabulary: Vocabulary)
     idf = vocabulary.idf_values()
     weights = {
         position[row["term"]]: row["tf"] * idf[position[row["term"]]]
-        for row in counted.select(F.inline("counts")).collect()
+        for row in count_rows(counted).collect()
         if row["term"] in position
     }
     norm = math.sqrt(sum(w * w for w in weights.values()))
@@ -109,7 +109,7 @@ def tfidf_vectors(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str =
     counted = with_term_counts(with_terms(keyed, text, stop_words=vocabulary.stop_words))
     terms = F.broadcast(vocabulary.frame(docs.sparkSession).select("term", "idf"))
     weighted = (
-        counted.select(key, F.inline("counts"))
+        count_rows(counted, key)
         .join(terms, "term")
         .withColumn("raw", F.col("tf") * F.col("idf"))
     )

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +28,8 @@ from topicsieve.functions.text import (
 MAX_DF = 0.95
 MAX_FEATURES = 20_000
 
+SPARE_TERMS = 1000
+
 # Counts documents: real terms have at least two characters, so '' is free.
 DOCUMENT_MARK = ""
 
@@ -80,6 +81,16 @@ def with_term_counts(docs: DataFrame, terms: str = "terms", counts: str = "count
     )
 
 
+def count_rows(counted: DataFrame, *keep: str, counts: str = "counts") -> DataFrame:
+    """One row per (term, tf) of each row's counts.
+
+    The outer form matters: a plain explode makes the optimizer derive a filter
+    on the array's size and push it through the projections that build the
+    array, which would then be evaluated many times over.
+    """
+    return counted.select(*keep, F.inline_outer(counts)).where(F.col("term").isNotNull())
+
+
 def term_frequency(
     docs: DataFrame,
     key: str,
@@ -88,7 +99,7 @@ def term_frequency(
 ) -> DataFrame:
     """Rows of (key, term, tf); no shuffle."""
     counted = with_term_counts(with_terms(docs.select(key, text), text, stop_words=stop_words))
-    return counted.select(key, F.inline("counts"))
+    return count_rows(counted, key)
 
 
 def term_statistics(
@@ -198,18 +209,29 @@ def vocabulary_from_statistics(
     max_features: int = MAX_FEATURES,
     stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
 ) -> Vocabulary:
-    """Prune and limit term statistics; collects at most ``max_features`` rows."""
-    mark = statistics.where(F.col("term") == DOCUMENT_MARK).agg(F.max("df")).collect()[0][0]
-    n_docs = int(mark or 0)
-    if n_docs < 2:
-        return Vocabulary(n_docs, stop_words=tuple(stop_words))
-    pruned = prune_max_df(document_frequency(statistics), F.lit(float(n_docs)), max_df)
-    rows = limit_vocabulary(pruned, max_features).collect()
+    """Prune and limit term statistics in one pass over them.
+
+    The limit is applied with some room for terms that pruning then removes on
+    the driver; if ever more than that are pruned, the pass is repeated with more
+    room, so the outcome is exactly prune-then-limit.
+    """
+    spare = SPARE_TERMS
+    while True:
+        limit = 1 + max_features + spare
+        order = [F.desc(F.col("term") == DOCUMENT_MARK), F.desc("cf"), F.asc("term")]
+        rows = statistics.orderBy(*order).limit(limit).collect()
+        n_docs = int(rows[0]["df"]) if rows and rows[0]["term"] == DOCUMENT_MARK else 0
+        if n_docs < 2:
+            return Vocabulary(n_docs, stop_words=tuple(stop_words))
+        kept = [r for r in rows[1:] if r["df"] <= max_df * n_docs][:max_features]
+        if len(kept) == max_features or len(rows) < limit:
+            break
+        spare *= 8
     return Vocabulary(
         n_docs=n_docs,
-        terms=tuple(r["term"] for r in rows),
-        df=tuple(r["df"] for r in rows),
-        cf=tuple(r["cf"] for r in rows),
+        terms=tuple(r["term"] for r in kept),
+        df=tuple(r["df"] for r in kept),
+        cf=tuple(r["cf"] for r in kept),
         stop_words=tuple(stop_words),
     )
 
@@ -221,13 +243,10 @@ def fit(
     max_features: int = MAX_FEATURES,
     stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
 ) -> Vocabulary:
-    """Fit on a corpus in one pass over its texts.
+    """Fit on a corpus in one job: one pass over its texts, one shuffle by term.
 
     Fewer than two non-blank documents, or nothing left after pruning, gives a
     vocabulary that is not fitted; scores then stay neutral.
     """
-    statistics = term_statistics(docs, text, stop_words).persist(StorageLevel.DISK_ONLY)
-    try:
-        return vocabulary_from_statistics(statistics, max_df, max_features, stop_words)
-    finally:
-        statistics.unpersist()
+    statistics = term_statistics(docs, text, stop_words)
+    return vocabulary_from_statistics(statistics, max_df, max_features, stop_words)

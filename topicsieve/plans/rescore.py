@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicsieve.functions.keywords import keyword_score
+from topicsieve.functions.once import evaluated_once
 from topicsieve.functions.scoring import DEFAULT_YEAR, decide, hybrid_score, score_to_tier
 from topicsieve.functions.text import non_empty
 from topicsieve.functions.vectors import vector_score
@@ -33,7 +34,7 @@ def with_text_features(
 
 def with_decision(featured: DataFrame, topic: Topic) -> DataFrame:
     """Mix the features and add score_breakdown, score_final, decision and tier."""
-    mixed = featured.withColumn(
+    mixed = evaluated_once(featured, *FEATURES).withColumn(
         "score_breakdown", hybrid_score(*[F.col(f) for f in FEATURES], topic.weights)
     ).withColumn(
         "_outcome",
