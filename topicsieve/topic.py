@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TOPIC_SCHEMA = (
     "topic_name string, query_text string, axes map<string, array<string>>, "
@@ -48,7 +49,8 @@ class Topic:
         row = asdict(self)
         row["year_range"] = list(self.year_range)
         row["query_vector"] = list(self.query_vector) if self.query_vector is not None else None
-        return spark.createDataFrame([Row(**row)], TOPIC_SCHEMA)
+        names = StructType.fromDDL(TOPIC_SCHEMA).names
+        return spark.createDataFrame([tuple(row[name] for name in names)], TOPIC_SCHEMA)
 
     @classmethod
     def from_frame(cls, df: DataFrame) -> "Topic":
