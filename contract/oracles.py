@@ -114,7 +114,7 @@ ORACLES["select_for_justify"] = query(
        FROM (SELECT paper_id, row_number() OVER (ORDER BY weighted DESC NULLS LAST, paper_id) AS r FROM s)
        WHERE r <= 25
        UNION ALL
-       SELECT 'min_score', NULL, paper_id FROM s WHERE score_final >= 4""",
+       SELECT 'min_score', -1, paper_id FROM s WHERE score_final >= 4""",
 )
 ORACLES["justify_targets"] = query(
     SCORED_A,
@@ -563,8 +563,8 @@ ORACLES["job_latest_state"] = query(
 ORACLES["job_progress"] = query(
     sql.JOB_LOG,
     """SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN CAST(processed AS DOUBLE) / total END AS fraction,
-              CASE WHEN event_id % 3 = 0 THEN CAST(processed AS BIGINT) END AS stage_done,
-              CASE WHEN event_id % 3 = 0 THEN CAST(100 AS BIGINT) END AS stage_total FROM log""",
+              CASE WHEN event_id % 3 = 0 THEN CAST(processed AS BIGINT) ELSE -1 END AS stage_done,
+              CASE WHEN event_id % 3 = 0 THEN CAST(100 AS BIGINT) ELSE -1 END AS stage_total FROM log""",
 )
 
 # --- Merge and set operators -------------------------------------------------
@@ -695,7 +695,7 @@ SELECT conv_id, CAST(turn // 256 AS BIGINT) AS part, count(*) AS n_messages,
        string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript
 FROM conversations GROUP BY conv_id, turn // 256"""
 ORACLES["answer_conversations"] = query(
-    """c AS (SELECT conv_id, count(*) AS n, sum(strlen(text)) AS n_bytes, sum(length(text)) AS n_chars,
+    """c AS (SELECT conv_id, count(*) AS n, sum(strlen(text) + strlen(role) + 25) AS n_bytes, sum(length(text)) AS n_chars,
                    arg_max(text, turn) AS last_text FROM conversations GROUP BY conv_id)""",
     f"""SELECT conv_id, 'template' AS model,
                CASE WHEN n_bytes <= 4000 THEN {strip(f"'Read ' || n || ' messages of ' || n_chars || ' characters, last: ' || substr(split_part(last_text, {NL}, 1), 1, 60)")} END AS message,

@@ -68,7 +68,7 @@ def stamp(col: str) -> Column:
 @query
 def scan_corpus(spark, sf_dir):
     return views.corpus(spark, sf_dir).select(
-        "paper_id", "text", F.coalesce(F.size("embedding"), F.lit(-1)).alias("dims"),
+        "paper_id", "text", F.coalesce(F.size("embedding"), F.lit(-1)).cast("long").alias("dims"),
         F.col("embedding")[0].cast("double").alias("first_component"),
     )
 
@@ -214,7 +214,8 @@ def select_for_justify(spark, sf_dir):
         "min_score": ranking.select_for_justify(stored, min_score=4),
     }
     picked = [
-        df.select(F.lit(name).alias("chosen_by"), "request_pos", "paper_id") for name, df in chosen.items()
+        df.select(F.lit(name).alias("chosen_by"), F.coalesce("request_pos", F.lit(-1)).alias("request_pos"), "paper_id")
+        for name, df in chosen.items()
     ]
     return picked[0].unionByName(picked[1]).unionByName(picked[2])
 
@@ -664,7 +665,9 @@ def job_progress(spark, sf_dir):
             F.concat(F.lit("reextract "), F.col("processed").cast("string"), F.lit("/100")),
         ).otherwise(F.col("stage")).alias("stage"),
     )
-    return joblog.job_progress(log).select("event_id", "fraction", "stage_done", "stage_total")
+    done = joblog.job_progress(log)
+    numbers = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("stage_done", "stage_total")]
+    return done.select("event_id", "fraction", *numbers)
 
 
 # --- Merge and set operators -------------------------------------------------

@@ -173,6 +173,18 @@ def test_a_repeated_ingest_batch_changes_nothing(spark, tmp_path):
     assert outcome[0] == outcome[1]
 
 
+def test_refit_every_other_batch_catches_up(spark, tmp_path):
+    store, words = Store(f"{tmp_path}/store"), ("one", "two", "three", "four")
+    for batch, word in enumerate(words):
+        put(tmp_path / word, "a.pdf", BODY.format(n=word, year=2010 + batch))
+        read = files.read_binary(spark, f"{tmp_path}/{word}")
+        streaming.ingest_batch(read, batch, store, TOPIC, FlakyEmbedder(), refit_every=2)
+    assert store.batches(spark, streaming.VOCABULARY) == [1, 3]
+    papers = streaming.read_papers(spark, store)
+    assert papers.count() == 4
+    assert streaming.current_vocabulary(spark, store) == fit_corpus(papers)
+
+
 BREAKDOWN = "struct<keyword:double,tfidf:double,sbert:double,weighted:double>"
 
 
@@ -226,7 +238,7 @@ def test_a_dominating_conversation_stays_in_bounded_parts(spark):
 
 
 def test_conversation_answers_and_refusals(spark):
-    done = conversations.answer_conversations(chats(spark), FlakyGenerator(), "m", max_request_bytes=50)
+    done = conversations.answer_conversations(chats(spark), FlakyGenerator(), "m", max_request_bytes=110)
     rows = {r["conv_id"]: r for r in done.collect()}
     assert set(rows) == {1, 2, 3, 4, 5}
     assert (rows[1]["message"], rows[1]["total_duration_ms"], rows[1]["model"]) == ("3 seen", 2, "m")
@@ -234,3 +246,10 @@ def test_conversation_answers_and_refusals(spark):
     assert rows[3]["error"] == "request too large"
     assert "no answer" in rows[4]["error"] and rows[4]["total_duration_ms"] == 0
     assert rows[5]["total_duration_ms"] == 0
+
+
+def test_many_empty_messages_are_too_large_as_well(spark):
+    rows = [(1, i, "user", "") for i in range(50)] + [(2, 0, "user", "hi")]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    done = conversations.answer_conversations(chats, FlakyGenerator(), max_request_bytes=1000)
+    assert {r["conv_id"]: r["error"] for r in done.collect()} == {1: "request too large", 2: None}

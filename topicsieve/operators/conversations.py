@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicsieve.operators.generation import Generator, answer, generation_ms, reply_function
@@ -17,6 +17,13 @@ MAX_REQUEST_BYTES = 32 * 1024 * 1024
 DEFAULT_MODEL = "template"
 PART_TURNS = 256
 
+# {"role":"","content":""} and a comma, as sent for every message
+MESSAGE_FRAME_BYTES = 25
+
+
+def bad_role() -> Column:
+    return ~F.coalesce(F.col("role").isin(*ROLES), F.lit(False))
+
 
 def assemble_conversations(messages: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """Ordered messages per conversation: (conv_id, part, messages, n_messages, bad_roles).
@@ -26,22 +33,23 @@ def assemble_conversations(messages: DataFrame, part_turns: int = PART_TURNS) ->
     Ordinary conversations have the single part 0.
     """
     message = F.struct("turn", "role", F.col("text").alias("content"))
-    bad = ~F.coalesce(F.col("role").isin(*ROLES), F.lit(False))
     return messages.groupBy("conv_id", F.floor(F.col("turn") / part_turns).alias("part")).agg(
         F.sort_array(F.collect_list(message)).alias("messages"),
         F.count("*").alias("n_messages"),
-        F.count_if(bad).alias("bad_roles"),
+        F.count_if(bad_role()).alias("bad_roles"),
     )
 
 
-def request_sizes(messages: DataFrame) -> DataFrame:
-    """Per conversation: messages, bytes of text and wrong roles, pre-aggregated."""
-    bad = ~F.coalesce(F.col("role").isin(*ROLES), F.lit(False))
-    return messages.groupBy("conv_id").agg(
-        F.count("*").alias("n_messages"),
-        F.sum(F.octet_length(F.coalesce("text", F.lit("")))).alias("n_bytes"),
-        F.count_if(bad).alias("bad_roles"),
-    )
+def request_bytes() -> Column:
+    """Size of one message within a request, its framing included."""
+    texts = F.octet_length(F.coalesce("text", F.lit(""))) + F.octet_length(F.coalesce("role", F.lit("")))
+    return texts + F.lit(MESSAGE_FRAME_BYTES)
+
+
+def oversized(messages: DataFrame, max_request_bytes: int) -> DataFrame:
+    """Conversations too large for one request; sums are pre-aggregated."""
+    sizes = messages.groupBy("conv_id").agg(F.sum(request_bytes()).alias("n_bytes"))
+    return sizes.where(F.col("n_bytes") > max_request_bytes).select("conv_id")
 
 
 def answer_conversations(
@@ -52,36 +60,47 @@ def answer_conversations(
 ) -> DataFrame:
     """One reply row per conversation, errors included.
 
-    Sizes are counted first (map-side). Conversations with an unknown role or
-    larger than a request may be are refused with an error row, just as a
-    service refuses them; only the rest is assembled, so an array never exceeds
-    ``max_request_bytes``.
+    A conversation larger than a request may be, or with an unknown role, is
+    refused with an error row, just as a service refuses it. Sizes are counted
+    first and the messages of oversized conversations dropped before the
+    shuffle, so no task ever receives one. The broadcast of their ids is bounded
+    by the data itself: there are at most (bytes of all messages /
+    ``max_request_bytes``) of them, a few megabytes for 100 TB.
     """
-    sizes = request_sizes(messages)
-    refusal = F.when(F.col("bad_roles") > 0, F.lit("unknown role")).when(
-        F.col("n_bytes") > max_request_bytes, F.lit("request too large")
-    )
-    checked = sizes.withColumn("error", refusal)
-    refused = checked.where(F.col("error").isNotNull()).select(
-        "conv_id", F.lit(None).cast("string").alias("message"), F.lit(None).cast("bigint").alias("ns"), "error"
-    )
-    accepted = messages.join(checked.where(F.col("error").isNull()).select("conv_id"), "conv_id", "left_semi")
+    too_large = oversized(messages, max_request_bytes)
     message = F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("content"))
-    requests = accepted.groupBy("conv_id").agg(F.sort_array(F.collect_list(message)).alias("messages"))
+    requests = (
+        messages.join(F.broadcast(too_large), "conv_id", "left_anti")
+        .groupBy("conv_id")
+        .agg(
+            F.sort_array(F.collect_list(message)).alias("messages"),
+            F.count_if(bad_role()).alias("bad_roles"),
+        )
+    )
 
     def complete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reply = reply_function(generator)
         for batch in batches:
-            rows = [
-                (conv_id, *answer(reply, [{"role": m["role"], "content": m["content"]} for m in request]))
-                for conv_id, request in zip(batch["conv_id"], batch["messages"])
-            ]
+            rows = []
+            for conv_id, request, bad_roles in zip(batch["conv_id"], batch["messages"], batch["bad_roles"]):
+                if bad_roles:
+                    rows.append((conv_id, None, None, "unknown role"))
+                    continue
+                spoken = [{"role": m["role"], "content": m["content"]} for m in request]
+                rows.append((conv_id, *answer(reply, spoken)))
             yield pd.DataFrame(rows, columns=["conv_id", "message", "ns", "error"])
 
     key_type = messages.schema["conv_id"].dataType.simpleString()
-    replies = requests.mapInPandas(complete, f"conv_id {key_type}, message string, ns bigint, error string")
+    schema = f"conv_id {key_type}, message string, ns bigint, error string"
+    refused = too_large.select(
+        "conv_id",
+        F.lit(None).cast("string").alias("message"),
+        F.lit(None).cast("bigint").alias("ns"),
+        F.lit("request too large").alias("error"),
+    )
     return (
-        replies.unionByName(refused)
+        requests.mapInPandas(complete, schema)
+        .unionByName(refused)
         .withColumn("model", F.lit(model or DEFAULT_MODEL))
         .withColumn("total_duration_ms", generation_ms(F.col("ns")))
         .drop("ns")

@@ -99,7 +99,7 @@ def term_frequency(
 ) -> DataFrame:
     """Rows of (key, term, tf); no shuffle."""
     counted = with_term_counts(with_terms(docs.select(key, text), text, stop_words=stop_words))
-    return count_rows(counted, key)
+    return count_rows(counted, key).withColumn("tf", F.col("tf").cast("long"))
 
 
 def term_statistics(

@@ -23,7 +23,7 @@ from topicsieve.streaming.store import Store
 from topicsieve.topic import Topic
 
 ROWS, LOG = "ingested", "job_log"
-STATISTICS, VOCABULARY = "statistics", "vocabulary"
+STATISTICS, TOTALS, VOCABULARY = "statistics", "total_statistics", "vocabulary"
 
 # Stages of an ingest job, in order.
 RUNNING_STAGES = ("extracting_metadata", "embedding_sbert", "scoring")
@@ -91,11 +91,11 @@ def ingest_batch(
     topic: Topic,
     embedder: Embedder | None = None,
     extractor: PageExtractor = text_pages,
+    refit_every: int = 1,
 ) -> None:
     """One micro-batch: score with the last vocabulary, store, then refit.
 
-    The refit adds the batch's term statistics to the stored ones, which equals
-    a fit on all papers without reading the earlier texts again.
+    A large corpus with a steady stream may refit every so many batches only.
     """
     spark = files.sparkSession
     vocabulary = current_vocabulary(spark, store, batch)
@@ -107,12 +107,23 @@ def ingest_batch(
     papers, _ = split_ingested(rows)
     store.write(ingest_log(rows), LOG, batch)
 
-    fresh = term_statistics(papers.select(scoring_text(papers).alias("text")))
-    last = store.latest_before(spark, STATISTICS, batch)
-    if last is not None:
-        fresh = merge_statistics(spark.read.parquet(store.path(STATISTICS, last)), fresh)
-    statistics = store.write(fresh, STATISTICS, batch)
-    vocabulary_from_statistics(statistics).save(spark, store.path(VOCABULARY, batch))
+    store.write(term_statistics(papers.select(scoring_text(papers).alias("text"))), STATISTICS, batch)
+    if (batch + 1) % refit_every == 0:
+        refit(spark, store, batch)
+
+
+def refit(spark: SparkSession, store: Store, batch: int) -> None:
+    """Fit on everything ingested up to ``batch``.
+
+    Adds the term statistics written since the last fit to its totals, which
+    equals a fit on all papers without reading any earlier text again.
+    """
+    last = store.latest_before(spark, TOTALS, batch)
+    parts = [spark.read.parquet(store.path(TOTALS, last))] if last is not None else []
+    since = [b for b in store.before(spark, STATISTICS, batch + 1) if last is None or b > last]
+    parts += [spark.read.parquet(store.path(STATISTICS, b)) for b in since]
+    totals = store.write(merge_statistics(*parts), TOTALS, batch)
+    vocabulary_from_statistics(totals).save(spark, store.path(VOCABULARY, batch))
 
 
 def stream_ingest(
@@ -122,11 +133,14 @@ def stream_ingest(
     checkpoint: str,
     embedder: Embedder | None = None,
     extractor: PageExtractor = text_pages,
+    refit_every: int = 1,
 ) -> StreamingQuery:
     """Start ingesting a file stream into a store."""
     return (
         files.writeStream.foreachBatch(
-            lambda rows, batch: ingest_batch(rows, batch, store, topic, embedder, extractor)
+            lambda rows, batch: ingest_batch(
+                rows, batch, store, topic, embedder, extractor, refit_every
+            )
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
