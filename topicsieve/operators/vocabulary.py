@@ -48,17 +48,19 @@ def with_terms(
     )
 
 
+def _shifted(ordered: str) -> Column:
+    """The array moved right by one, an empty term in front."""
+    rest = F.greatest(F.size(ordered) - 1, F.lit(0))
+    return F.concat(F.array(F.lit("")), F.slice(ordered, F.lit(1), rest))
+
+
 def with_term_counts(docs: DataFrame, terms: str = "terms", counts: str = "counts") -> DataFrame:
     """Add an array of (term, tf) per row from its array of terms.
 
     Runs of equal terms in the sorted array are measured by the distance between
     their first positions.
     """
-    size = F.size("_sorted")
-    before = F.concat(
-        F.array(F.lit("")), F.slice("_sorted", F.lit(1), F.greatest(size - 1, F.lit(0)))
-    )
-    changed = F.zip_with("_sorted", before, lambda term, prev: F.when(term != prev, term))
+    changed = F.zip_with("_sorted", _shifted("_sorted"), lambda term, prev: F.when(term != prev, term))
     heads = F.filter(
         F.transform(changed, lambda term, pos: F.struct(term.alias("term"), pos.alias("pos"))),
         lambda h: h["term"].isNotNull(),
@@ -75,7 +77,7 @@ def with_term_counts(docs: DataFrame, terms: str = "terms", counts: str = "count
     return (
         docs.withColumn("_sorted", F.sort_array(terms))
         .withColumn("_heads", heads)
-        .withColumn("_size", size)
+        .withColumn("_size", F.size("_sorted"))
         .withColumn(counts, F.filter(runs, lambda r: r.isNotNull()))
         .drop("_sorted", "_heads", "_size")
     )
@@ -113,14 +115,20 @@ def term_statistics(
     the texts yields everything a fit needs. Statistics of disjoint batches can
     be added up, see ``merge_statistics``.
     """
-    counted = with_term_counts(
-        with_terms(docs.select(text).where(~is_blank(F.col(text))), text, stop_words=stop_words)
+    listed = with_terms(docs.select(text).where(~is_blank(F.col(text))), text, stop_words=stop_words)
+    ordered = listed.select(F.sort_array("terms").alias("_sorted"))
+    # In sorted order a term is new to its document where it differs from the one before.
+    flagged = F.zip_with(
+        "_sorted",
+        _shifted("_sorted"),
+        lambda term, prev: F.struct(term.alias("term"), (term != prev).cast("int").alias("new")),
     )
-    mark = F.struct(F.lit(DOCUMENT_MARK).alias("term"), F.lit(0).alias("tf"))
+    mark = F.struct(F.lit(DOCUMENT_MARK).alias("term"), F.lit(1).alias("new"))
     return (
-        counted.select(F.inline(F.concat(F.array(mark), F.col("counts"))))
+        ordered.select(F.inline(F.concat(F.array(mark), flagged)))
+        .where(F.col("term").isNotNull())
         .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+        .agg(F.sum("new").alias("df"), F.count("*").alias("cf"))
     )
 
 
