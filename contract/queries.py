@@ -430,9 +430,8 @@ def document_frequency(spark, sf_dir):
 
 
 def pruned(spark, sf_dir, max_df: float = vocabulary.MAX_DF) -> DataFrame:
-    size = vocabulary.corpus_size(documents(spark, sf_dir))
-    counted = frequency(spark, sf_dir).crossJoin(F.broadcast(size))
-    return vocabulary.prune_max_df(counted, F.col("n_docs"), max_df).drop("n_docs")
+    size = vocabulary.corpus_size(documents(spark, sf_dir)).scalar()
+    return vocabulary.prune_max_df(frequency(spark, sf_dir), size, max_df)
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicsieve.functions.scoring import TIERS, score_to_tier
+from topicsieve.functions.scoring import DECISIONS, TIERS, score_to_tier
 from topicsieve.functions.text import is_blank, round_half_up
 
 # Seconds per paper and severity limits of a run estimate.
@@ -26,10 +26,11 @@ def corpus_health(papers: DataFrame, jobs: DataFrame, text: str = "text") -> Dat
     Two texts settle the last question, so the scan of texts stops there; the
     paper count needs no column at all.
     """
-    texts = papers.where(~is_blank(F.col(text))).limit(2).agg((F.count("*") >= 2).alias("tfidf_fitted"))
-    flying = jobs.agg(F.count_if(in_flight(F.col("status"))).alias("jobs_in_flight"))
-    counted = papers.agg(F.count("*").alias("papers"))
-    return counted.crossJoin(F.broadcast(texts)).crossJoin(F.broadcast(flying))
+    texts = papers.where(~is_blank(F.col(text))).limit(2).agg(F.count("*") >= 2)
+    flying = jobs.agg(F.count_if(in_flight(F.col("status"))))
+    return papers.agg(F.count("*").alias("papers")).select(
+        "papers", texts.scalar().alias("tfidf_fitted"), flying.scalar().alias("jobs_in_flight")
+    )
 
 
 def tier_counts(papers: DataFrame) -> DataFrame:
@@ -38,12 +39,6 @@ def tier_counts(papers: DataFrame) -> DataFrame:
     return papers.agg(*[F.count_if(tier == t).alias(t) for t in TIERS], F.count("*").alias("total"))
 
 
-def _with_share(counts: DataFrame, places: int) -> DataFrame:
-    total = counts.agg(F.sum("n").alias("total"))
-    share = F.when(F.col("total") > 0, round_half_up(F.col("n") / F.col("total") * 100.0, places))
-    return counts.crossJoin(F.broadcast(total)).withColumn("percent", F.coalesce(share, F.lit(0.0)))
-
-
 def tier_share(papers: DataFrame) -> DataFrame:
     """Rows of (tier, n, total, percent), empty tiers included."""
     wide = tier_counts(papers)
@@ -53,8 +48,15 @@ def tier_share(papers: DataFrame) -> DataFrame:
 
 def score_histogram(papers: DataFrame) -> DataFrame:
     """Rows of (score_final, n, total, percent); empty scores do not appear."""
-    counts = papers.where(F.col("score_final").isNotNull()).groupBy("score_final").agg(F.count("*").alias("n"))
-    return _with_share(counts, 2)
+    counts = [F.count_if(F.col("score_final") == score).alias(str(score)) for score in DECISIONS]
+    total = F.count_if(F.col("score_final").isin(*DECISIONS)).alias("total")
+    tall = papers.agg(total, *counts).unpivot("total", [str(s) for s in DECISIONS], "score_final", "n")
+    return tall.where(F.col("n") > 0).select(
+        F.col("score_final").cast("int").alias("score_final"),
+        "n",
+        "total",
+        round_half_up(F.col("n") / F.col("total") * 100.0, 2).alias("percent"),
+    )
 
 
 def run_cost_estimate(papers: DataFrame) -> DataFrame:

@@ -80,6 +80,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     A large table already has many more splits than cores, so this does nothing
     there; it only pays a shuffle for small inputs stored in a few row groups.
+    For scans and projections of scans: asking a plan with a shuffle in it for
+    its partitions would run that shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
