@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -35,13 +36,16 @@ def build_session(app_name: str = "topicsieve", master: str | None = None, **con
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) do we pick a temporary one.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a
+    temporary folder serves a ``local`` master, whose tasks share the driver's
+    disk; any other master is refused, as its executors would not see the files.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = context.getCheckpointDir() or tempfile.mkdtemp(prefix="topicsieve-")
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="topicsieve-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root
