@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +23,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer's file, the same on every machine."""
+    return public_tokenizers.path(name)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -32,3 +41,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def slices(
+    batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that ``column`` has few bytes in each part (or one row)."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * most_bytes / max(1, batch[column].nbytes)))
+        for start in range(0, batch.num_rows, rows):
+            # copied, so that offsets begin at the part's own first row
+            yield pa.Table.from_batches([batch.slice(start, rows)]).take(
+                pa.array(range(min(rows, batch.num_rows - start)), pa.int64())
+            ).combine_chunks().to_batches()[0]

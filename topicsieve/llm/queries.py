@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicsieve.llm import chat, exact_dedup, line_dedup
-from topicsieve.llm.frames import documents, table
+from topicsieve.llm import bpe, chat, exact_dedup, line_dedup, packing, token_files
+from topicsieve.llm.frames import documents, table, tokenizer
+from topicsieve.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +42,26 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("word_bpe_49k.json")
+    decoded = bpe.decode(bpe.encode(documents(spark, sf_dir), path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias(
+            "ids_sha256"
+        ),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+    return packing.pack(
+        pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -55,6 +76,18 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-shards")
+    token_files.write_token_shards(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), path)
+    return token_files.read_token_shards(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_chat_format, op5_exact_dedup, op7_line_dedup)
-}
+    f.__name__: f
+    for f in (
+        op1_chat_format, op2_bpe, op3_best_fit_packing, op5_exact_dedup, op7_line_dedup,
+        op8_token_files,
+    )
+}
