@@ -68,11 +68,14 @@ def repeated_lines(hashes: DataFrame, min_documents: int) -> DataFrame:
 
 
 def drop_repeated_lines(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS
+    docs: DataFrame,
+    min_chars: int = MIN_CHARS,
+    min_documents: int = MIN_DOCUMENTS,
+    counts: str = "lines",
 ) -> DataFrame:
-    """``docs`` with shared lines taken out of ``text``, and a column ``lines``.
+    """``docs`` with shared lines taken out of ``text``, and a column of counts.
 
-    ``lines`` is a struct with ``n_lines`` (before dropping) and ``n_dropped``; it
+    ``counts`` names a struct with ``n_lines`` (before dropping) and ``n_dropped``; it
     replaces a column of that name. A null or empty text is one empty line. Lines
     repeated within one document stay. Repeated rows of a document are cut alike;
     rows without an identifier are not counted and stay whole. For
@@ -96,13 +99,14 @@ def drop_repeated_lines(
             rows.append((len(lines), len(lines) - len(kept), "\n".join(kept)))
         return pd.DataFrame(rows, columns=["n_lines", "n_dropped", "text"])
 
-    others = [docs[c] for c in docs.columns if c not in ("text", "lines")]
+    others = [c for c in docs.columns if c not in ("text", counts)]
     joined = docs.join(dropped, docs["doc_id"] == dropped["_dropped_from"], "left")
     cut = joined.select(
-        *others, assemble(F.coalesce(docs["text"], F.lit("")), "_dropped").alias("_cut")
+        *[docs[c] for c in others],
+        assemble(F.coalesce(docs["text"], F.lit("")), "_dropped").alias("_cut"),
     )
     return cut.select(
-        *[c for c in docs.columns if c not in ("text", "lines")],
+        *others,
         F.col("_cut.text").alias("text"),
-        F.struct("_cut.n_lines", "_cut.n_dropped").alias("lines"),
+        F.struct("_cut.n_lines", "_cut.n_dropped").alias(counts),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicsieve.llm import bpe, chat, exact_dedup, line_dedup, packing, token_files
+from topicsieve.llm import bpe, chat, exact_dedup, hilbert, line_dedup, near_dedup, packing, quality, tag_paths, token_files
 from topicsieve.llm.frames import documents, table, tokenizer
 from topicsieve.session import scratch_path
 
@@ -62,10 +62,20 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op6_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return cut.select(
@@ -84,10 +94,20 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rule = near_dedup.Rule(percent=85, band_rows=5)
+    return near_dedup.near_duplicates(documents(spark, sf_dir), rule)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_chat_format, op2_bpe, op3_best_fit_packing, op5_exact_dedup, op7_line_dedup,
-        op8_token_files,
+        op1_chat_format, op2_bpe, op3_best_fit_packing, op4_quality_classifier, op5_exact_dedup,
+        op6_hilbert_search, op7_line_dedup, op8_token_files, op9_html_main_text,
+        op10_minhash_near_dedup,
     )
 }
