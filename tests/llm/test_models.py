@@ -1,0 +1,155 @@
+"""Quality classifier, search and main text: held-out accuracy, recall, planted pages."""
+
+import numpy as np
+import pytest
+
+from tests.llm import cases
+from topicsieve.llm import hilbert, quality, tag_paths
+from topicsieve.llm.queries import QUERIES
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.01"
+
+# quality
+
+
+def test_held_out_accuracy(spark):
+    found = QUERIES["op4_quality_classifier"](spark, SF).toPandas()
+    labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas()
+    both = found.merge(labels, on="doc_id")
+    held = both[both.held_out]
+    assert len(found) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert found.score.between(0, 1).all() and (found.predicted == (found.score >= 0.5)).all()
+    assert (held.predicted == held.quality).mean() > 0.97
+
+
+def test_sum_of_squares_identity():
+    rng = np.random.default_rng(2)
+    n = quality.WORD_FEATURES + len(quality.STATISTICS)
+    model = quality.FactorisationMachine(
+        0.3, rng.normal(size=n), rng.normal(size=(n, 3)) * 0.1, np.zeros(len(quality.STATISTICS)), np.ones(len(quality.STATISTICS))
+    )
+    features = quality.text_features("some words and some more, words!")
+    places, x = model.inputs(features)
+    margin = 0.3 + x @ model.weights[places]
+    for i in range(len(x)):
+        for j in range(i + 1, len(x)):
+            margin += model.factors[places[i]] @ model.factors[places[j]] * x[i] * x[j]
+    assert model.score(features) == pytest.approx(1 / (1 + np.exp(-margin)))
+
+
+def test_held_out_labels_are_not_learned(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 7} " * 5) for i in range(60)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    flipped = labels.withColumn(
+        "quality", F.when(quality.remainder(F.col("doc_id")) == 1, 1 - F.col("quality")).otherwise(F.col("quality"))
+    )
+    one, two = (quality.train(docs, x) for x in (labels, flipped))
+    assert one.bias == two.bias and (one.weights == two.weights).all() and (one.factors == two.factors).all()
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1), (None, 0), (3, None), (4, 7)]])
+def test_scores_without_both_labels(spark, labels):
+    df = cases.frame(spark)
+    model = quality.train(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    rows = quality.score_documents(df, model).collect()
+    assert len(rows) == len(cases.rows()) and len({r.score for r in rows}) == 1
+    assert all(r.held_out is False for r in rows if r.doc_id is None)
+    assert quality.score_documents(cases.empty(spark), model).collect() == []
+
+
+# search
+
+VECTORS = "vec_id long, embedding array<float>, node long, vector string"
+
+
+def brute_nearest(rows, k):
+    good = {
+        i: np.array(v, np.float32).astype(float)
+        for i, v, *_ in rows
+        if i is not None and v is not None and None not in v and np.isfinite(v).all() and any(v) and len(v) == 6
+    }
+    out = {}
+    for q in (i for i in good if i % 20 == 0):
+        scores = sorted((-float(good[q] @ good[i]), i) for i in good if i != q)
+        out[q] = scores[:k]
+    return out
+
+
+def test_search_with_copies_ties_and_bad_vectors(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist(), 1, "x") for i in range(300)]
+    rows += [(i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0], 1, "x") for i in range(300, 400)]  # one third alike
+    rows += rows[:5] + [(None, [1.0] * 6, 1, "x"), (420, None, 1, "x"), (440, [0.0] * 6, 1, "x")]
+    rows += [(460, [1.0, None, 1.0, 1.0, 1.0, 1.0], 1, "x"), (480, [float("nan")] * 6, 1, "x"), (500, [float("inf")] * 6, 1, "x"), (520, [1.0], 1, "x")]
+    df = spark.createDataFrame(rows, VECTORS)
+    found = {}
+    for r in hilbert.nearest(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    want = brute_nearest(rows, 20)
+    assert found.keys() == want.keys()
+    for q, near in want.items():
+        assert [r for r, _, _ in found[q]] == list(range(1, 21))
+        assert [s for _, _, s in found[q]] == pytest.approx([-s for s, _ in near])
+    # equal scores go to smaller identifiers
+    assert [v for _, v, _ in found[300]] == list(range(301, 321))
+    assert [v for _, v, _ in found[380]] == list(range(300, 320))
+
+
+def test_recall_over_small_blocks(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.select("vec_id", "embedding").collect()
+    ids = np.array([r.vec_id for r in rows])
+    m = np.array([r.embedding for r in rows], float)
+    got = hilbert.nearest(df, F.col("vec_id") % 20 == 0, 20, hilbert.Index(block_rows=200)).toPandas()
+    hits = 0
+    queries = np.flatnonzero(ids % 20 == 0)
+    for q in queries:
+        scores = m @ m[q]
+        scores[q] = -np.inf
+        hits += len(set(ids[np.argsort(-scores)[:20]]) & set(got[got.query_id == ids[q]].vec_id))
+    assert hits / (20 * len(queries)) >= 0.9
+
+
+def test_fewer_candidates_than_asked_for(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0], 1, ""), (1, [1.0, 0.0], 1, ""), (2, [0.5, 1.0], 1, "")], VECTORS)
+    rows = hilbert.nearest(df, F.col("vec_id") % 20 == 0, 20).orderBy("rank").collect()
+    assert [tuple(r) for r in rows] == [(0, 1, 1, 1.0), (0, 2, 2, 0.5)]
+    assert hilbert.nearest(spark.createDataFrame([], VECTORS), F.col("vec_id") % 20 == 0).collect() == []
+
+
+def test_hilbert_neighbours_touch():
+    cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
+    keys = hilbert.hilbert_keys(cells, 3)
+    assert sorted(keys) == list(range(512))
+    steps = np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(1)
+    assert (steps == 1).all()
+
+
+# main text
+
+ARTICLE = "<h1>A title</h1><p>First paragraph, with <b>bold</b> text &amp; more.<p>Second&nbsp;one:\n  it goes on.</p>"
+WANT = "A title\n\nFirst paragraph, with bold text & more.\n\nSecond one: it goes on."
+PAGES = {
+    f"<html><head><title>t</title><script>var t='</p>';</script></head><body><nav><ul><li><a href=x>Menu</a></ul></nav><!-- c --><div class='ad'>Buy this now, please.</div><article>{ARTICLE}</article><footer>&copy; someone, somewhere.</footer>": WANT,
+    f"<body><div id='sidebar'><p>Links, and more.</p></div><div class='content'>{ARTICLE}</div><div class='comments'><p>I disagree, strongly, with all of it.</p></div></body>": WANT,
+    f"<body><header><h1>Site name</h1></header><main>{ARTICLE}<form><p>Name: <input></p></form></main><div role=banner>x</div></body>": WANT,
+    f"<body><div><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></div>{ARTICLE}<div hidden>secret</div></body>": WANT,
+    "": "", "  \n ": "", "no markup at all": "no markup at all", "<p>cut <b>off &am": "cut off &am", "<p>unclosed <a href='x": "unclosed",
+    "<style>p{}": "", "<p></p><div></div>": "",
+}
+
+
+@pytest.mark.parametrize("page", PAGES)
+def test_main_text(page):
+    assert tag_paths.main_text(page) == PAGES[page]
+
+
+def test_pages_frame(spark):
+    rows = [(i, f"u{i}", p, "x") for i, p in enumerate(PAGES)] + [(None, None, None, "y"), (0, "u0", "<p>again", "z")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in tag_paths.extract_main_text(df).collect()), key=str)
+    texts = [*PAGES.values(), "", "again"]
+    assert got == sorted(((r[0], r[1], t, len(t)) for r, t in zip(rows, texts, strict=True)), key=str)
+    assert tag_paths.extract_main_text(df.limit(0)).collect() == []
+    assert len(tag_paths.main_text("<p>" + "word, " * 300_000)) == 6 * 300_000 - 1
