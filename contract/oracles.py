@@ -8,6 +8,7 @@ from contract.topics import TOPIC_A, TOPIC_B, TOPICS
 from topicsieve.functions.scoring import DEFAULT_THRESHOLDS
 from topicsieve.functions.text import SPACE, WORD
 from topicsieve.functions.titles import HEADER_STARTS, INSTITUTIONS, SECTION_STARTS
+from topicsieve.operators.generation import SYSTEM_PROMPT
 
 ORACLES: dict[str, str] = {}
 
@@ -43,7 +44,7 @@ ORACLES["scan_corpus"] = query(
 PAGES = f"""pages_text AS (
   SELECT doc_id, 'PAPER_' || (doc_id + 1) AS paper_id,
          'doi:10.1000/' || doc_id || {NL} || 'Received ' || (1 + doc_id % 28) || ' May ' || (1985 + doc_id % 60)
-         || {NL} || text || {NL} || 'Abstract: ' || substr(text, 1, 400) || {NL} || {NL} || 'Introduction' || {NL}
+         || {NL} || text || {NL} || 'Abstract: ' || text || {NL} || {NL} || 'Introduction' || {NL}
          AS full_text,
          CASE WHEN doc_id % 10 = 0 THEN 'A Metadata Title For Document ' || doc_id END AS meta_title
   FROM documents)"""
@@ -254,7 +255,7 @@ ORACLES["pick_title"] = query(TITLES, "SELECT paper_id, title FROM picked")
 
 ORACLES["cut_inline_author"] = query(
     f"""d AS (
-  SELECT doc_id, replace(substr(text, 1, 90) || CASE WHEN doc_id % 5 = 0 THEN ' - Department of Things'
+  SELECT doc_id, replace(text || CASE WHEN doc_id % 5 = 0 THEN ' - Department of Things'
          WHEN doc_id % 7 = 0 THEN ', someone@example.org and others' ELSE '' END, {NL}, ' ') AS t
   FROM documents)""",
     f"SELECT doc_id, {cut_author('t')} AS title FROM d",
@@ -350,10 +351,11 @@ firsts AS (SELECT * FROM clean WHERE k <> ''
        FROM firsts GROUP BY doc_id""",
 )
 
-TOPIC_ROWS = f"""words AS (SELECT *, string_split(split_part(text, {NL}, 1), ' ') AS w FROM documents),
+TOPIC_ROWS = """words AS (SELECT *, string_split(text, ' ') AS w FROM documents),
 topics AS (
-  SELECT doc_id, 'topic ' || lang AS topic_name, split_part(text, {NL}, 1) AS query_text, lang,
-         w[1:5] AS first_kw, w[4:8] AS lang_kw, w[2:4] AS last_kw,
+  SELECT doc_id, 'topic ' || lang AS topic_name, text AS query_text, lang,
+         list_filter(w, lambda x, i: i % 2 = 1) AS first_kw, list_filter(w, lambda x, i: i % 3 = 0) AS lang_kw,
+         list_filter(w, lambda x, i: i % 2 = 0) AS last_kw,
          CASE WHEN doc_id % 3 <> 0 THEN 0.5::DOUBLE END AS w_keyword,
          CASE WHEN doc_id % 4 <> 0 THEN 0.25::DOUBLE END AS w_tfidf,
          CASE WHEN doc_id % 5 <> 0 THEN 0.125::DOUBLE END AS w_sbert,
@@ -677,10 +679,7 @@ _PROMPT = (
     "'Why does this decision fit the paper and the topic?'"
 )
 ORACLES["build_prompt"] = query(SCORED_A, f"SELECT paper_id, {_PROMPT} AS prompt FROM s")
-_SYSTEM_LENGTH = len(
-    "You review scientific literature. Explain in one or two sentences of neutral Spanish "
-    "why the paper received its decision. Give the explanation only."
-)
+_SYSTEM_LENGTH = len(SYSTEM_PROMPT)
 ORACLES["justify_batch"] = query(
     SCORED_A,
     f"""SELECT paper_id, CASE WHEN score_final >= 4 THEN {strip(f"'Read 2 messages of ' || ({_SYSTEM_LENGTH} + length({_PROMPT})) || ' characters, last: Topic: {TOPICS['a']['topic_name']}'")} END AS justification
@@ -695,12 +694,12 @@ SELECT conv_id, CAST(turn // 256 AS BIGINT) AS part, count(*) AS n_messages,
        string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript
 FROM conversations GROUP BY conv_id, turn // 256"""
 ORACLES["answer_conversations"] = query(
-    """c AS (SELECT conv_id, count(*) AS n, sum(strlen(text) + strlen(role) + 25) AS n_bytes, sum(length(text)) AS n_chars,
-                   arg_max(text, turn) AS last_text FROM conversations GROUP BY conv_id)""",
-    f"""SELECT conv_id, 'template' AS model,
-               CASE WHEN n_bytes <= 4000 THEN {strip(f"'Read ' || n || ' messages of ' || n_chars || ' characters, last: ' || substr(split_part(last_text, {NL}, 1), 1, 60)")} END AS message,
-               CASE WHEN n_bytes <= 4000 THEN CAST(n_chars AS BIGINT) // 4 ELSE 0 END AS total_duration_ms,
-               CASE WHEN n_bytes > 4000 THEN 'request too large' END AS error FROM c""",
+    f"""c AS (SELECT conv_id, count(*) AS n, sum(length(text)) AS n_chars, arg_max(text, turn) AS last_text
+               FROM conversations GROUP BY conv_id),
+r AS (SELECT *, {strip(f"'Read ' || n || ' messages of ' || n_chars || ' characters, last: ' || substr(split_part(last_text, {NL}, 1), 1, 60)")} AS message
+      FROM c)""",
+    """SELECT conv_id, 'template' AS model, message, CAST(n_chars AS BIGINT) // 4 AS total_duration_ms,
+              CAST(len(regexp_extract_all(message, '[^\\s]+')) AS BIGINT) AS eval_count, NULL::VARCHAR AS error FROM r""",
 )
 
 # --- Job log and streams -----------------------------------------------------
@@ -719,7 +718,10 @@ ORACLES["job_changes"] = query(
         SELECT job_id, event_id, {stamp('ts')}, stage, status, 'job.' || status FROM open_rows
         WHERE status IN ('completed', 'failed')""",
 )
-ORACLES["job_changes_stream"] = ORACLES["job_changes"]
+# the stream's log has whole days as time stamps, so many updates share one
+ORACLES["job_changes_stream"] = ORACLES["job_changes"].replace(
+    "AS job_id, ts, event_id", "AS job_id, date_trunc('day', ts) AS ts, event_id"
+)
 ORACLES["job_terminal"] = query(
     sql.JOB_LOG,
     f"""SELECT job_id, event_id, {stamp('ts')} AS ts, stage, status, 'job.' || status AS notice FROM log

@@ -299,7 +299,7 @@ def cut_inline_author(spark, sf_dir):
         .otherwise("")
     )
     docs = views.table(spark, sf_dir, "documents").select("doc_id", "text")
-    titled = docs.select("doc_id", F.concat(F.substring("text", 1, 90), tail).alias("raw"))
+    titled = docs.select("doc_id", F.concat("text", tail).alias("raw"))
     return titled.select("doc_id", titles.cut_author(F.regexp_replace("raw", "\n", " ")).alias("title"))
 
 
@@ -308,7 +308,7 @@ def title_fallback(spark, sf_dir):
     # Documents without their first lines; some are left blank.
     docs = views.table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = titles.stripped_lines(F.col("text"))
-    rest = F.slice(lines, 3, 1_000_000)
+    rest = F.slice(lines, F.lit(3), F.greatest(F.size(lines) - 2, F.lit(0)))
     return docs.withColumn("rest", rest).select("doc_id", titles.fallback_title(F.col("rest")).alias("title"))
 
 
@@ -420,18 +420,19 @@ def term_frequency(spark, sf_dir):
     return vocabulary.term_frequency(documents(spark, sf_dir), "doc_id")
 
 
-def frequency(spark, sf_dir) -> DataFrame:
-    return vocabulary.document_frequency(vocabulary.term_statistics(documents(spark, sf_dir)))
+def statistics(spark, sf_dir) -> DataFrame:
+    return vocabulary.term_statistics(documents(spark, sf_dir))
 
 
 @query
 def document_frequency(spark, sf_dir):
-    return frequency(spark, sf_dir)
+    return vocabulary.document_frequency(statistics(spark, sf_dir))
 
 
 def pruned(spark, sf_dir, max_df: float = vocabulary.MAX_DF) -> DataFrame:
-    size = vocabulary.corpus_size(documents(spark, sf_dir)).scalar()
-    return vocabulary.prune_max_df(frequency(spark, sf_dir), size, max_df)
+    stored = vocabulary.stored_statistics(statistics(spark, sf_dir))
+    size = vocabulary.corpus_size(stored).scalar()
+    return vocabulary.prune_max_df(vocabulary.document_frequency(stored), size, max_df)
 
 
 @query
@@ -472,18 +473,13 @@ def incremental_vs_refit(spark, sf_dir):
     old = docs.where(F.col("doc_id") % 2 == 0)
     new = docs.where(F.col("doc_id") % 2 == 1)
 
-    def stored(statistics: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "statistics")
-        statistics.write.parquet(path)
-        return spark.read.parquet(path)
-
-    before = stored(vocabulary.term_statistics(old))
+    before = vocabulary.stored_statistics(vocabulary.term_statistics(old))
     first = vocabulary.vocabulary_from_statistics(before)
-    both = stored(vocabulary.merge_statistics(before, vocabulary.term_statistics(new)))
+    both = vocabulary.merge_statistics(before, vocabulary.term_statistics(new))
     second = vocabulary.vocabulary_from_statistics(both)
-    query_text = TOPIC_A["query_text"]
-    scored = similarity.with_tfidf_score(new, query_text, first, score="incremental")
-    scored = similarity.with_tfidf_score(scored, query_text, second, score="refit")
+    scored = similarity.with_tfidf_scores(
+        new, TOPIC_A["query_text"], {"incremental": first, "refit": second}
+    )
     return scored.select(
         "doc_id", *[text.round_half_up(F.col(c), 4).alias(c) for c in ("incremental", "refit")]
     )
@@ -824,11 +820,8 @@ def assemble_conversations(spark, sf_dir):
 
 @query
 def answer_conversations(spark, sf_dir):
-    # A small request limit, so that some conversations are refused.
-    done = conversations.answer_conversations(
-        views.conversations(spark, sf_dir), GENERATOR, max_request_bytes=4000
-    )
-    return done.select("conv_id", "model", "message", "total_duration_ms", "error")
+    done = conversations.answer_conversations(views.conversations(spark, sf_dir), GENERATOR)
+    return done.select("conv_id", "model", "message", "total_duration_ms", "eval_count", "error")
 
 
 # --- Job log and streams -----------------------------------------------------
@@ -867,10 +860,37 @@ def finished(stream) -> None:
         raise stream.exception()
 
 
+def log_in_files(spark, sf_dir, parts: int) -> str:
+    """The job log with days as time stamps, in files that follow each other.
+
+    The borders between files fall among updates of one day.
+    """
+    folder = scratch_path(spark, "log-files")
+    day = F.date_trunc("day", "ts")
+    log = views.job_log(spark, sf_dir).withColumn("ts", day)
+    shares = [i / parts for i in range(1, parts)]
+    days = log.agg(F.percentile_approx("ts", shares).alias("d")).first()["d"]
+    borders = [
+        log.where(F.col("ts") == d).agg(F.percentile_approx("event_id", 0.5).alias("e")).first()["e"] for d in days
+    ]
+    place = F.lit(0)
+    for d, e in zip(days, borders):
+        after = F.struct("ts", "event_id") > F.struct(F.lit(d).alias("ts"), F.lit(e).alias("event_id"))
+        place = place + after.cast("int")
+    for part in range(parts):
+        log.where(place == part).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
 @query
 def job_changes_stream(spark, sf_dir):
+    folder = log_in_files(spark, sf_dir, 3)
     store = Store(scratch_path(spark, "notices"))
-    log = views.as_job_log(table_stream(spark, sf_dir, "events"))
+    log = (
+        spark.readStream.schema(spark.read.parquet(folder).schema)
+        .option("maxFilesPerTrigger", "1")
+        .parquet(folder)
+    )
     finished(progress.follow_jobs(log, store, scratch_path(spark, "progress")))
     return notices(progress.read_notices(spark, store))
 

@@ -28,7 +28,7 @@ def round4(expr: str) -> str:
 PAPERS = """papers AS (
   SELECT doc_id, 'PAPER_' || (doc_id + 1) AS paper_id,
          substr(split_part(text, chr(10), 1), 1, 300) AS title,
-         CASE WHEN doc_id % 8 <> 0 THEN substr(text, 1, 400) END AS abstract,
+         CASE WHEN doc_id % 8 <> 0 THEN text END AS abstract,
          text, CAST(2010 + doc_id % 20 AS INTEGER) AS year,
          CASE WHEN doc_id % 5 <> 0 THEN 'uploads/PAPER_' || (doc_id + 1) || '.pdf' END AS minio_key
   FROM documents)"""

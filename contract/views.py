@@ -27,7 +27,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         paper_id(F.col("doc_id")).alias("paper_id"),
         F.substring(F.substring_index("text", "\n", 1), 1, 300).alias("title"),
-        F.when(F.col("doc_id") % 8 != 0, F.substring("text", 1, 400)).alias("abstract"),
+        F.when(F.col("doc_id") % 8 != 0, F.col("text")).alias("abstract"),
         "text",
         (F.lit(2010) + F.col("doc_id") % 20).cast("int").alias("year"),
         F.when(F.col("doc_id") % 5 != 0, object_key(paper_id(F.col("doc_id")))).alias("minio_key"),
@@ -92,7 +92,7 @@ def as_page_texts(docs: DataFrame) -> DataFrame:
             F.lit("\nReceived "), (1 + number % 28).cast("string"),
             F.lit(" May "), (1985 + number % 60).cast("string"),
             F.lit("\n"), F.col("text"),
-            F.lit("\nAbstract: "), F.substring("text", 1, 400),
+            F.lit("\nAbstract: "), F.col("text"),
             F.lit("\n\nIntroduction\n"),
         ).alias("full_text"),
         F.when(
@@ -127,7 +127,10 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One topic row per document, with partial and missing settings."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     number = F.col("doc_id")
-    words = F.split(F.substring_index("text", "\n", 1), " ")
+    words = F.split("text", " ")
+
+    def every(step: int, rest: int) -> F.Column:
+        return F.filter(words, lambda word, i: (i + 1) % step == rest)
 
     def maybe(modulus: int, rest: int, value: float) -> F.Column:
         return F.when(number % modulus != rest, F.lit(value))
@@ -135,11 +138,11 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "doc_id",
         F.concat(F.lit("topic "), F.col("lang")).alias("topic_name"),
-        F.substring_index("text", "\n", 1).alias("query_text"),
+        F.col("text").alias("query_text"),
         F.create_map(
-            F.lit("first"), F.slice(words, 1, 5),
-            F.col("lang"), F.slice(words, 4, 5),
-            F.lit("last one"), F.slice(words, 2, 3),
+            F.lit("first"), every(2, 1),
+            F.col("lang"), every(3, 0),
+            F.lit("last one"), every(2, 0),
         ).alias("axes"),
         F.create_map(
             F.lit("keyword"), maybe(3, 0, 0.5),

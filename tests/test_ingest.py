@@ -237,19 +237,31 @@ def test_a_dominating_conversation_stays_in_bounded_parts(spark):
     assert parts[0] == 256 and parts[1] == 5000
 
 
-def test_conversation_answers_and_refusals(spark):
-    done = conversations.answer_conversations(chats(spark), FlakyGenerator(), "m", max_request_bytes=110)
+def test_conversation_answers_and_failures(spark):
+    done = conversations.answer_conversations(chats(spark), FlakyGenerator(), "m")
     rows = {r["conv_id"]: r for r in done.collect()}
     assert set(rows) == {1, 2, 3, 4, 5}
     assert (rows[1]["message"], rows[1]["total_duration_ms"], rows[1]["model"]) == ("3 seen", 2, "m")
     assert rows[2]["error"] == "unknown role"
-    assert rows[3]["error"] == "request too large"
+    assert rows[3]["message"] == "1 seen" and rows[3]["eval_count"] is None
     assert "no answer" in rows[4]["error"] and rows[4]["total_duration_ms"] == 0
     assert rows[5]["total_duration_ms"] == 0
 
 
-def test_many_empty_messages_are_too_large_as_well(spark):
-    rows = [(1, i, "user", "") for i in range(50)] + [(2, 0, "user", "hi")]
-    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    done = conversations.answer_conversations(chats, FlakyGenerator(), max_request_bytes=1000)
-    assert {r["conv_id"]: r["error"] for r in done.collect()} == {1: "request too large", 2: None}
+def test_a_long_conversation_streams_through_in_order(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        rows = spark.range(3000).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("conv_id"),
+            F.col("id").alias("turn"),
+            F.lit("user").alias("role"),
+            F.concat(F.lit("turn "), F.col("id").cast("string")).alias("text"),
+        )
+        done = conversations.answer_conversations(rows.repartition(7), generation.TemplateGenerator()).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = {r["conv_id"]: r for r in done}
+    assert len(done) == 2001
+    assert found[0]["message"].startswith("Read 1000 messages of ") and found[0]["message"].endswith("turn 2997")
+    assert found[0]["eval_count"] == len(found[0]["message"].split())
+    assert conversations.answer_conversations(rows.limit(0), generation.TemplateGenerator()).count() == 0

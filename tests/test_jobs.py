@@ -166,6 +166,21 @@ def test_streamed_notices_equal_the_batch(spark, tmp_path):
     assert found(progress.read_notices(spark, store)) == expected_changes(rows)
 
 
+def test_equal_time_stamps_across_batches(spark, tmp_path):
+    store = Store(f"{tmp_path}/store")
+    batches = [
+        [("x", START, 0, "a", "running"), ("y", START, 1, "a", "running"), ("x", START, 2, "b", "running")],
+        [("x", START, 3, "b", "running"), ("x", START, 1, "late", "running"), ("y", START, 4, "a", "completed")],
+        [("x", START, 3, "b", "running"), ("x", START, 5, "c", "failed"), ("y", START, 6, "z", "running")],
+    ]
+    for number, rows in enumerate(batches):
+        progress.notify_batch(spark.createDataFrame(rows, SCHEMA), number, store)
+    assert found(progress.read_notices(spark, store)) == {
+        ("x", 0, "job.progress"), ("x", 2, "job.progress"), ("y", 1, "job.progress"), ("y", 4, "job.completed"),
+        ("x", 5, "job.progress"), ("x", 5, "job.failed"),
+    }
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     rows = sorted(make_log(300), key=lambda r: (r[1], r[2]))
     store = Store(f"{tmp_path}/store")

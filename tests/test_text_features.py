@@ -106,11 +106,14 @@ def test_terms_of_all_documents_are_pruned_in_a_small_corpus(spark):
     assert fitted.terms == ("apple", "pear", "shared apple", "shared pear")
 
 
-def test_pruning_more_terms_than_spared_repeats_the_pass(spark, monkeypatch):
-    monkeypatch.setattr(vocabulary, "SPARE_TERMS", 1)
+def test_near_copies_send_only_the_limit_to_the_driver(spark, monkeypatch):
     common = " ".join(f"common{i:02d}" for i in range(30))
+    sent = []
+    limited = vocabulary.limit_vocabulary
+    monkeypatch.setattr(vocabulary, "limit_vocabulary", lambda f, n: sent.append(n) or limited(f, n))
     fitted = vocabulary.fit(corpus(spark, f"{common} zeta", f"{common} eta"), max_features=2)
     assert fitted.terms == ("common29 eta", "common29 zeta")
+    assert sent == [2]
 
 
 def test_vocabulary_limit_breaks_ties_by_term(spark):
@@ -149,6 +152,16 @@ def test_statistics_of_batches_add_up(spark):
     assert vocabulary.vocabulary_from_statistics(merged) == vocabulary.fit(first.union(second))
 
 
+def test_two_vocabularies_at_once(spark):
+    docs = corpus(spark, "red blue", "red green", "green", "", "   ")
+    one, two = vocabulary.fit(docs), vocabulary.fit(docs.limit(2))
+    both = similarity.with_tfidf_scores(docs, "red", {"a": one, "b": two, "c": vocabulary.Vocabulary(1)}).collect()
+    alone = [similarity.with_tfidf_score(docs, "red", v).collect() for v in (one, two)]
+    for name, rows in zip("ab", alone):
+        assert {r["text"]: r[name] for r in both} == pytest.approx({r["text"]: r["tfidf"] for r in rows})
+    assert {r["c"] for r in both} == {0.5}
+
+
 def test_vocabulary_round_trip(spark, tmp_path):
     fitted = vocabulary.fit(corpus(spark, "aa bb", "aa cc", "dd"))
     fitted.save(spark, f"{tmp_path}/v")

@@ -8,18 +8,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicsieve.operators.generation import Generator, answer, generation_ms, reply_function
-
-# Message roles, and the size of a request that is still accepted.
+from topicsieve.operators.generation import (
+    Generator,
+    Reply,
+    describe,
+    generation_ms,
+    reply_function,
+    session,
+)
+
+# Message roles.
 ROLES = ("system", "user", "assistant")
-MAX_REQUEST_BYTES = 32 * 1024 * 1024
 
 DEFAULT_MODEL = "template"
+REPLY_COLUMNS = ["conv_id", "message", "ns", "eval_count", "error"]
 PART_TURNS = 256
 
-# {"role":"","content":""} and a comma, as sent for every message
-MESSAGE_FRAME_BYTES = 25
-
 
 def bad_role() -> Column:
     return ~F.coalesce(F.col("role").isin(*ROLES), F.lit(False))
@@ -40,68 +44,71 @@ def assemble_conversations(messages: DataFrame, part_turns: int = PART_TURNS) ->
     )
 
 
-def request_bytes() -> Column:
-    """Size of one message within a request, its framing included."""
-    texts = F.octet_length(F.coalesce("text", F.lit(""))) + F.octet_length(F.coalesce("role", F.lit("")))
-    return texts + F.lit(MESSAGE_FRAME_BYTES)
-
-
-def oversized(messages: DataFrame, max_request_bytes: int) -> DataFrame:
-    """Conversations too large for one request; sums are pre-aggregated."""
-    sizes = messages.groupBy("conv_id").agg(F.sum(request_bytes()).alias("n_bytes"))
-    return sizes.where(F.col("n_bytes") > max_request_bytes).select("conv_id")
-
+def answer_conversations(messages: DataFrame, generator: Generator, model: str | None = None) -> DataFrame:
+    """One reply row per conversation, errors included; none is refused for its size.
 
-def answer_conversations(
-    messages: DataFrame,
-    generator: Generator,
-    model: str | None = None,
-    max_request_bytes: int = MAX_REQUEST_BYTES,
-) -> DataFrame:
-    """One reply row per conversation, errors included.
-
-    A conversation larger than a request may be, or with an unknown role, is
-    refused with an error row, just as a service refuses it. Sizes are counted
-    first and the messages of oversized conversations dropped before the
-    shuffle, so no task ever receives one. The broadcast of their ids is bounded
-    by the data itself: there are at most (bytes of all messages /
-    ``max_request_bytes``) of them, a few megabytes for 100 TB.
+    Messages are sorted by conversation and turn within partitions and fed to the
+    model one after the other, so a task holds one Arrow batch and whatever the model
+    keeps of the conversation. A conversation with an unknown role gets an error row.
+    Messages without a conversation form one of their own; equal turns are taken by
+    role and text.
     """
-    too_large = oversized(messages, max_request_bytes)
-    message = F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("content"))
-    requests = (
-        messages.join(F.broadcast(too_large), "conv_id", "left_anti")
-        .groupBy("conv_id")
-        .agg(
-            F.sort_array(F.collect_list(message)).alias("messages"),
-            F.count_if(bad_role()).alias("bad_roles"),
-        )
+    spoken = messages.select(
+        "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), bad_role().alias("bad_role")
     )
+    ordered = spoken.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def complete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reply = reply_function(generator)
+        open_chat: Chat | None = None
+        at = None
         for batch in batches:
             rows = []
-            for conv_id, request, bad_roles in zip(batch["conv_id"], batch["messages"], batch["bad_roles"]):
-                if bad_roles:
-                    rows.append((conv_id, None, None, "unknown role"))
-                    continue
-                spoken = [{"role": m["role"], "content": m["content"]} for m in request]
-                rows.append((conv_id, *answer(reply, spoken)))
-            yield pd.DataFrame(rows, columns=["conv_id", "message", "ns", "error"])
+            keys = batch["conv_id"].astype(object).where(batch["conv_id"].notna(), None)
+            for key, role, text, is_bad in zip(keys, batch["role"], batch["text"], batch["bad_role"]):
+                if open_chat is None or key != at:
+                    if open_chat is not None:
+                        rows.append((at, *open_chat.finish()))
+                    at, open_chat = key, Chat(reply)
+                open_chat.add(role, text, bool(is_bad))
+            yield pd.DataFrame(rows, columns=REPLY_COLUMNS)
+        if open_chat is not None:
+            yield pd.DataFrame([(at, *open_chat.finish())], columns=REPLY_COLUMNS)
 
     key_type = messages.schema["conv_id"].dataType.simpleString()
-    schema = f"conv_id {key_type}, message string, ns bigint, error string"
-    refused = too_large.select(
-        "conv_id",
-        F.lit(None).cast("string").alias("message"),
-        F.lit(None).cast("bigint").alias("ns"),
-        F.lit("request too large").alias("error"),
-    )
+    schema = f"conv_id {key_type}, message string, ns bigint, eval_count bigint, error string"
     return (
-        requests.mapInPandas(complete, schema)
-        .unionByName(refused)
+        ordered.select("conv_id", "role", "text", "bad_role")
+        .mapInPandas(complete, schema)
         .withColumn("model", F.lit(model or DEFAULT_MODEL))
         .withColumn("total_duration_ms", generation_ms(F.col("ns")))
         .drop("ns")
     )
+
+
+class Chat:
+    """One conversation on its way to the model; a failure stays with it."""
+
+    def __init__(self, reply: Reply):
+        self.session = None
+        self.error: str | None = None
+        self._try(lambda: setattr(self, "session", session(reply)))
+
+    def _try(self, call):
+        try:
+            return call()
+        except Exception as failure:  # any failure of a model belongs to its conversation
+            self.error = self.error or describe(failure)
+            return None
+
+    def add(self, role: str | None, text: str, is_bad: bool) -> None:
+        if is_bad:
+            self.error = self.error or "unknown role"
+        if self.error is None:
+            self._try(lambda: self.session.add({"role": role, "content": text}))
+
+    def finish(self) -> tuple[str | None, int | None, int | None, str | None]:
+        answer = self._try(lambda: self.session.finish()) if self.error is None else None
+        if self.error is not None or answer is None:
+            return None, None, None, self.error
+        return answer.text.strip(), answer.nanoseconds, answer.eval_count, None

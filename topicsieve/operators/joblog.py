@@ -163,22 +163,28 @@ def job_terminal(log: DataFrame) -> DataFrame:
 
 
 def carry_state(log: DataFrame, carried: DataFrame | None = None) -> DataFrame:
-    """State per job after ``log``: (job_id, last_stage, closed, last_ts)."""
+    """State per job after ``log``: (job_id, last_stage, closed, last_ts, last_event_id)."""
     state = log.groupBy("job_id").agg(
         F.max_by("stage", F.struct("ts", "event_id")).alias("last_stage"),
         F.max(is_final(F.col("status"))).alias("closed"),
-        F.max("ts").alias("last_ts"),
+        F.max(F.struct("ts", "event_id")).alias("_last"),
     )
+    state = state.select(
+        "job_id", "last_stage", "closed",
+        F.col("_last.ts").alias("last_ts"), F.col("_last.event_id").alias("last_event_id"),
+    )
     if carried is None:
         return state
+    last = F.struct("last_ts", "last_event_id")
     return (
         state.unionByName(carried.select(*state.columns))
         .groupBy("job_id")
         .agg(
-            F.max_by("last_stage", "last_ts").alias("last_stage"),
+            F.max_by("last_stage", last).alias("last_stage"),
             F.max("closed").alias("closed"),
-            F.max("last_ts").alias("last_ts"),
+            F.max(last).alias("_last"),
         )
+        .select("job_id", "last_stage", "closed", "_last.*")
     )
 
 

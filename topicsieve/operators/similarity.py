@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.ml.feature import (
     CountVectorizer,
     CountVectorizerModel,
@@ -13,9 +15,10 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicsieve.functions.once import evaluated_once
 from topicsieve.operators.vocabulary import Vocabulary, count_rows, with_term_counts, with_terms
 
 NEUTRAL = 0.5
@@ -56,62 +59,94 @@ def term_counter(
     return model, [index[term] for term in vocabulary.terms]
 
 
-def with_tfidf_score(
-    docs: DataFrame,
-    query_text: str,
-    vocabulary: Vocabulary,
-    text: str = "text",
-    score: str = "tfidf",
-) -> DataFrame:
-    """Add the cosine between each row's text and the query.
+def scaled_counts(
+    docs: DataFrame, vocabulary: Vocabulary, grams: str, unit: str
+) -> tuple[DataFrame, list[int]]:
+    """Add the unit TF-IDF vector of each row's terms, and the place of each term in it.
 
-    Every step works inside the row (the vocabulary travels as one broadcast of
-    at most ``max_features`` terms): no explode, join or shuffle. 0.5 when
-    nothing is fitted or a side is empty; 0.0 without common terms.
+    Counter, scaling and normaliser work inside the row.
     """
-    if not vocabulary.is_fitted or not query_text:
-        return docs.withColumn(score, F.lit(NEUTRAL))
-    weights = query_weights(docs.sparkSession, query_text, vocabulary)
-    empty = F.coalesce(F.col(text), F.lit("")) == ""
-    if not weights:
-        return docs.withColumn(score, F.when(empty, F.lit(NEUTRAL)).otherwise(F.lit(0.0)))
-
-    counter, place = term_counter(docs.sparkSession, vocabulary, "_grams", "_counts")
+    counter, place = term_counter(docs.sparkSession, vocabulary, grams, "_counts")
     scaling = [0.0] * len(vocabulary.terms)
     for index, value in enumerate(vocabulary.idf_values()):
         scaling[place[index]] = value
     scale = ElementwiseProduct(scalingVec=Vectors.dense(scaling), inputCol="_counts", outputCol="_scaled")
-    unit = Normalizer(p=2.0, inputCol="_scaled", outputCol="_unit")
-    select = VectorSlicer(inputCol="_unit", outputCol="_query_part", indices=[place[i] for i in weights])
-
-    staged = with_terms(docs, text, "_grams", vocabulary.stop_words)
-    for stage in (counter, scale, unit, select):
+    normalise = Normalizer(p=2.0, inputCol="_scaled", outputCol=unit)
+    staged = docs
+    for stage in (counter, scale, normalise):
         staged = stage.transform(staged)
-    query = F.array(*[F.lit(w) for w in weights.values()])
-    cosine = F.aggregate(
-        F.zip_with(vector_to_array("_query_part"), query, lambda d, q: d * q),
-        F.lit(0.0),
-        lambda total, x: total + x,
-    )
-    return staged.withColumn(score, F.when(empty, F.lit(NEUTRAL)).otherwise(cosine)).drop(
-        "_grams", "_counts", "_scaled", "_unit", "_query_part"
-    )
+    return staged.drop("_counts", "_scaled"), place
+
+
+def with_tfidf_scores(
+    docs: DataFrame, query_text: str, vocabularies: Mapping[str, Vocabulary], text: str = "text"
+) -> DataFrame:
+    """Add, for each named vocabulary, the cosine between each row's text and the query.
+
+    Every step works inside the row (a vocabulary travels as one broadcast of at
+    most ``max_features`` terms): no explode, join or shuffle. Texts are split into
+    terms once for all vocabularies with the same stop words. 0.5 when nothing is
+    fitted or a side is empty; 0.0 without common terms.
+    """
+    spark = docs.sparkSession
+    empty = F.coalesce(F.col(text), F.lit("")) == ""
+    staged, listed = docs, {}
+    for score, vocabulary in vocabularies.items():
+        if not vocabulary.is_fitted or not query_text:
+            staged = staged.withColumn(score, F.lit(NEUTRAL))
+            continue
+        weights = query_weights(spark, query_text, vocabulary)
+        if not weights:
+            staged = staged.withColumn(score, F.when(empty, F.lit(NEUTRAL)).otherwise(F.lit(0.0)))
+            continue
+        if vocabulary.stop_words not in listed:
+            grams = listed[vocabulary.stop_words] = f"_grams{len(listed)}"
+            staged = with_terms(staged, text, grams, vocabulary.stop_words)
+            if len(vocabularies) > 1:
+                staged = evaluated_once(staged, grams)
+        staged, place = scaled_counts(staged, vocabulary, listed[vocabulary.stop_words], "_unit")
+        select = VectorSlicer(
+            inputCol="_unit", outputCol="_query_part", indices=[place[i] for i in weights]
+        )
+        query = F.array(*[F.lit(w) for w in weights.values()])
+        cosine = F.aggregate(
+            F.zip_with(vector_to_array("_query_part"), query, lambda d, q: d * q),
+            F.lit(0.0),
+            lambda total, x: total + x,
+        )
+        staged = select.transform(staged).withColumn(
+            score, F.when(empty, F.lit(NEUTRAL)).otherwise(cosine)
+        )
+        staged = staged.drop("_unit", "_query_part")
+    return staged.drop(*listed.values())
+
+
+def with_tfidf_score(
+    docs: DataFrame, query_text: str, vocabulary: Vocabulary, text: str = "text", score: str = "tfidf"
+) -> DataFrame:
+    """Add the cosine between each row's text and the query."""
+    return with_tfidf_scores(docs, query_text, {score: vocabulary}, text)
 
 
 def tfidf_vectors(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str = "text") -> DataFrame:
     """Rows of (key, term, weight): L2-normalised sparse vectors.
 
-    Texts are partitioned by key before the terms are exploded, so the norm of a
-    document needs no exchange of its (many) terms; a corpus bucketed by key
-    needs none at all. Keys are unique, so no partition can run hot.
+    Vectors are made inside the row and only then unfolded; their terms come from a
+    broadcast of the vocabulary, so nothing is shuffled.
     """
-    keyed = docs.select(key, text).repartition(key)
-    counted = with_term_counts(with_terms(keyed, text, stop_words=vocabulary.stop_words))
-    terms = F.broadcast(vocabulary.frame(docs.sparkSession).select("term", "idf"))
-    weighted = (
-        count_rows(counted, key)
-        .join(terms, "term")
-        .withColumn("raw", F.col("tf") * F.col("idf"))
+    if not vocabulary.terms:
+        return docs.select(key, F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
+    whole = docs.select(key, F.coalesce(text, F.lit("")).alias(text))
+    listed = with_terms(whole, text, "_grams", vocabulary.stop_words)
+    staged, place = scaled_counts(listed, vocabulary, "_grams", "_unit")
+    spark = docs.sparkSession
+    terms = spark.createDataFrame(
+        pd.DataFrame({"_index": place, "term": vocabulary.terms}), "_index int, term string"
+    )
+    # the outer form for the reason given at ``count_rows``
+    return (
+        staged.select(key, F.unwrap_udt("_unit").alias("_unit"))
+        .select(key, F.inline_outer(F.arrays_zip("_unit.indices", "_unit.values")))
+        .join(F.broadcast(terms), F.col("indices") == F.col("_index"))
+        .select(key, "term", F.col("values").alias("weight"))
     )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return weighted.withColumn("weight", F.col("raw") / norm).select(key, "term", "weight")

@@ -23,13 +23,12 @@ from topicsieve.functions.text import (
     ngrams_1_2,
     tokens,
 )
+from topicsieve.session import scratch_path
 
 # Pruning limits of the vocabulary.
 MAX_DF = 0.95
 MAX_FEATURES = 20_000
 
-SPARE_TERMS = 1000
-
 # Counts documents: real terms have at least two characters, so '' is free.
 DOCUMENT_MARK = ""
 
@@ -144,9 +143,17 @@ def document_frequency(statistics: DataFrame) -> DataFrame:
     return statistics.where(F.col("term") != DOCUMENT_MARK)
 
 
-def corpus_size(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row: the number of non-blank documents."""
-    return docs.agg(F.count_if(~is_blank(F.col(text))).alias("n_docs"))
+def corpus_size(statistics: DataFrame) -> DataFrame:
+    """One row: the number of non-blank documents, which the statistics hold."""
+    mark = F.when(F.col("term") == DOCUMENT_MARK, F.col("df"))
+    return statistics.agg(F.coalesce(F.max(mark), F.lit(0)).alias("n_docs"))
+
+
+def stored_statistics(statistics: DataFrame) -> DataFrame:
+    """Statistics written to the shared scratch folder, so that they can be read often."""
+    path = scratch_path(statistics.sparkSession, "statistics")
+    statistics.write.parquet(path)
+    return statistics.sparkSession.read.parquet(path)
 
 
 def prune_max_df(frequency: DataFrame, n_docs: Column, max_df: float = MAX_DF) -> DataFrame:
@@ -217,24 +224,17 @@ def vocabulary_from_statistics(
     max_features: int = MAX_FEATURES,
     stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
 ) -> Vocabulary:
-    """Prune and limit term statistics in one pass over them.
+    """Prune and limit term statistics; at most ``max_features`` rows reach the driver.
 
-    The limit is applied with some room for terms that pruning then removes on
-    the driver; if ever more than that are pruned, the pass is repeated with more
-    room, so the outcome is exactly prune-then-limit.
+    The statistics are stored first and read twice: for the number of documents, and
+    for the terms that pruning leaves.
     """
-    spare = SPARE_TERMS
-    while True:
-        limit = 1 + max_features + spare
-        order = [F.desc(F.col("term") == DOCUMENT_MARK), F.desc("cf"), F.asc("term")]
-        rows = statistics.orderBy(*order).limit(limit).collect()
-        n_docs = int(rows[0]["df"]) if rows and rows[0]["term"] == DOCUMENT_MARK else 0
-        if n_docs < 2:
-            return Vocabulary(n_docs, stop_words=tuple(stop_words))
-        kept = [r for r in rows[1:] if r["df"] <= max_df * n_docs][:max_features]
-        if len(kept) == max_features or len(rows) < limit:
-            break
-        spare *= 8
+    stored = stored_statistics(statistics)
+    n_docs = int(corpus_size(stored).first()["n_docs"])
+    if n_docs < 2:
+        return Vocabulary(n_docs, stop_words=tuple(stop_words))
+    pruned = prune_max_df(document_frequency(stored), F.lit(n_docs), max_df)
+    kept = limit_vocabulary(pruned, max_features).collect()
     return Vocabulary(
         n_docs=n_docs,
         terms=tuple(r["term"] for r in kept),
@@ -251,7 +251,7 @@ def fit(
     max_features: int = MAX_FEATURES,
     stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
 ) -> Vocabulary:
-    """Fit on a corpus in one job: one pass over its texts, one shuffle by term.
+    """Fit on a corpus: one pass over its texts, one shuffle by term.
 
     Fewer than two non-blank documents, or nothing left after pruning, gives a
     vocabulary that is not fitted; scores then stay neutral.

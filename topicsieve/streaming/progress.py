@@ -14,13 +14,17 @@ NOTICES, STATE = "notices", "state"
 
 
 def without_late(log: DataFrame, carried: DataFrame | None) -> DataFrame:
-    """Drop updates older than the last one already seen of their job."""
+    """Drop updates that are not after the last one already seen of their job.
+
+    Updates are ordered by (ts, event_id), so of those with the time of the last one
+    only later events pass, and one that is delivered again does not.
+    """
     if carried is None:
         return log
-    seen = carried.select("job_id", F.col("last_ts").alias("_seen"))
+    seen = carried.select("job_id", F.struct("last_ts", "last_event_id").alias("_seen"))
     return (
         log.join(seen, "job_id", "left")
-        .where(F.col("_seen").isNull() | (F.col("ts") >= F.col("_seen")))
+        .where(F.col("_seen").isNull() | (F.struct("ts", "event_id") > F.col("_seen")))
         .drop("_seen")
     )
 
