@@ -185,10 +185,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             F.raise_error(F.lit(f"a piece's length must be from 1 to {capacity}"))
         ),
     )
+    # stored first, as the sampling of range bounds would make the pieces twice
     ranged = stored(
-        checked.repartitionByRange("_length", "doc_id", "piece").withColumn(
-            "_part", F.spark_partition_id()
-        ),
+        stored(checked, "pieces")
+        .repartitionByRange("_length", "doc_id", "piece")
+        .withColumn("_part", F.spark_partition_id()),
         "ranged-pieces",
     )
     # one row for each length of a part: as many as parts and lengths together
