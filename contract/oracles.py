@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from contract import sql
-from contract.sql import PAPERS, quote, query, round4, strip
+from contract.sql import PAPERS, hashed, quote, query, round4, strip
 from contract.topics import TOPIC_A, TOPIC_B, TOPICS
 from topicsieve.functions.scoring import DEFAULT_THRESHOLDS
 from topicsieve.functions.text import SPACE, WORD
@@ -419,19 +419,6 @@ ORACLES["incremental_vs_refit"] = query(
 # --- Embedding features ------------------------------------------------------
 
 
-def hashed(name: str, source: str, key: str, text: str, dims: int = 64) -> str:
-    """CTE ``name`` (key, i, x): the components of the hashing projection."""
-    slot = f"CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % {dims}"
-    sign = "CASE WHEN substr(md5(w), 9, 1) < '8' THEN 1 ELSE -1 END"
-    return f"""{name}_w AS (SELECT {key}, unnest(regexp_extract_all(lower({text}), '[{WORD}]{{2,}}')) AS w FROM {source}),
-{name}_s AS (SELECT {key}, {slot} AS i, CAST(sum({sign}) AS DOUBLE) AS x FROM {name}_w GROUP BY 1, 2),
-{name}_n AS (SELECT {key}, sqrt(sum(x * x)) AS norm FROM {name}_s GROUP BY {key}),
-{name} AS (
-  SELECT {key}, i, CAST(CAST(x / norm AS FLOAT) AS DOUBLE) AS x FROM {name}_s JOIN {name}_n USING ({key}) WHERE norm > 0
-  UNION ALL
-  SELECT {key}, 0, 1.0 FROM {source} LEFT JOIN {name}_n USING ({key}) WHERE coalesce(norm, 0) = 0)"""
-
-
 def _checksum(value: str) -> str:
     return f"floor(({value}) * 1000.0::DOUBLE + 0.5::DOUBLE) / 1000.0::DOUBLE"
 
@@ -618,13 +605,19 @@ _REEXTRACT = METADATA.replace(
 ).replace("|| 'Introduction' || chr(10)", "|| 'Introduction' || chr(10) || chr(10)")
 ORACLES["reextract"] = query(
     PAPERS + ",\n" + _REEXTRACT + f""",
-fresh AS (SELECT doc_id, title, abstract, year, {_COMPOSED} AS text, TRUE AS ok FROM meta
-          WHERE doc_id % 3 <> 0 AND doc_id % 5 <> 0)""",
-    """SELECT p.paper_id, CASE WHEN f.ok THEN f.title ELSE p.title END AS title,
+found AS (SELECT doc_id, title, abstract, year, {_COMPOSED} AS text FROM meta WHERE doc_id % 3 <> 0 AND doc_id % 5 <> 0),
+fresh AS (SELECT *, TRUE AS ok FROM found WHERE length(text) % 7 <> 0),
+{hashed("h", "fresh", "doc_id", "text")},
+st AS ({_STORED_SUM}),
+fr AS ({_FRESH_SUM})""",
+    f"""SELECT p.paper_id, CASE WHEN f.ok THEN f.title ELSE p.title END AS title,
               CASE WHEN f.ok THEN f.abstract ELSE p.abstract END AS abstract,
               CASE WHEN f.ok THEN f.year ELSE p.year END AS year,
-              md5(CASE WHEN f.ok THEN f.text ELSE p.text END) AS text_digest
-       FROM papers p LEFT JOIN fresh f USING (doc_id)""",
+              md5(CASE WHEN f.ok THEN f.text ELSE p.text END) AS text_digest,
+              {_checksum("CASE WHEN f.ok THEN fr.total ELSE st.total END")} AS checksum,
+              CASE WHEN length(found.text) % 7 = 0 THEN 'ValueError: cannot embed' END AS extract_error
+       FROM papers p LEFT JOIN fresh f USING (doc_id) LEFT JOIN fr USING (doc_id) LEFT JOIN st USING (doc_id)
+       LEFT JOIN found USING (doc_id)""",
 )
 _MOVES = TWO + """,
 moves AS (

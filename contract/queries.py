@@ -717,8 +717,23 @@ def reextract(spark, sf_dir):
     sources = spread(views.page_texts(spark, sf_dir).where(F.col("doc_id") % 3 != 0)).select(
         scoring.object_key(F.col("paper_id")).alias("minio_key"), F.encode("full_text", "UTF-8").alias("content")
     )
-    done = ingest.reextract(corpus, sources, EMBEDDER)
-    return done.select("paper_id", "title", "abstract", "year", F.md5("text").alias("text_digest"))
+
+    def picky():
+        """An embedder that fails on every seventh text by length."""
+        encode = EMBEDDER()
+
+        def checked(texts):
+            if any(len(t) % 7 == 0 for t in texts):
+                raise ValueError("cannot embed")
+            return encode(texts)
+
+        return checked
+
+    done = ingest.reextract(corpus, sources, picky)
+    return done.select(
+        "paper_id", "title", "abstract", "year", F.md5("text").alias("text_digest"),
+        checksum("embedding").alias("checksum"), "extract_error",
+    )
 
 
 @query

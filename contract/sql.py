@@ -107,13 +107,33 @@ def keyword_score(text: str, axes: Mapping[str, Sequence[str]]) -> str:
     return f"CAST(({' + '.join(hits)}) AS DOUBLE) / {len(hits)}"
 
 
+def hashed(name: str, source: str, key: str, text: str, dims: int = 64) -> str:
+    """CTE ``name`` (key, i, x): the components of the hashing projection."""
+    slot = f"CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % {dims}"
+    sign = "CASE WHEN substr(md5(w), 9, 1) < '8' THEN 1 ELSE -1 END"
+    return f"""{name}_w AS (SELECT {key}, unnest(regexp_extract_all(lower({text}), '[{WORD}]{{2,}}')) AS w FROM {source}),
+{name}_s AS (SELECT {key}, {slot} AS i, CAST(sum({sign}) AS DOUBLE) AS x FROM {name}_w GROUP BY 1, 2),
+{name}_n AS (SELECT {key}, sqrt(sum(x * x)) AS norm FROM {name}_s GROUP BY {key}),
+{name} AS (
+  SELECT {key}, i, CAST(CAST(x / norm AS FLOAT) AS DOUBLE) AS x FROM {name}_s JOIN {name}_n USING ({key}) WHERE norm > 0
+  UNION ALL
+  SELECT {key}, 0, 1.0 FROM {source} LEFT JOIN {name}_n USING ({key}) WHERE coalesce(norm, 0) = 0)"""
+
+
 def vectors(topic: str) -> str:
+    """CTEs ending in ``sim`` (doc_id, sbert); documents without a vector get a hashed one."""
     return f"""qv AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = {QUERY_VECTOR_ID[topic]}),
+gaps AS (SELECT doc_id, text FROM documents WHERE coalesce(text, '') <> ''
+         AND doc_id NOT IN (SELECT vec_id FROM embeddings WHERE embedding IS NOT NULL)),
+{hashed("bf", "gaps", "doc_id", "text")},
 sim AS (SELECT e.vec_id AS doc_id,
                (list_inner_product(CAST(e.embedding AS DOUBLE[]), q)
                 / (sqrt(list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))
                    * sqrt(list_inner_product(q, q))) + 1.0) / 2.0 AS sbert
-        FROM embeddings e, qv)"""
+        FROM embeddings e, qv
+        UNION ALL
+        SELECT doc_id, (sum(x * q[i + 1]) / (sqrt(sum(x * x)) * sqrt(any_value(list_inner_product(q, q)))) + 1.0) / 2.0
+        FROM bf, qv GROUP BY doc_id)"""
 
 
 def decide(weighted: str, year: str, topic: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contract.topics import load_topic
 from topicsieve.functions.scoring import object_key, tier_key
+from topicsieve.operators.embedding import HashingEmbedder
 from topicsieve.plans.rescore import rescore
 from topicsieve.session import scratch_path, spread
 from topicsieve.topic import Topic
@@ -47,7 +48,9 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored(spark: SparkSession, sf_dir: str, topic: Topic) -> DataFrame:
     """All papers scored against ``topic``, computed from the tables."""
-    return rescore(spread(papers(spark, sf_dir)), topic, embeddings(spark, sf_dir))
+    return rescore(
+        spread(papers(spark, sf_dir)), topic, embeddings(spark, sf_dir), embedder=HashingEmbedder(64)
+    )
 
 
 def with_placement(scores: DataFrame) -> DataFrame:

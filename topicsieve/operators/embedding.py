@@ -39,28 +39,31 @@ class HashingEmbedder:
     dimensions: int = 64
 
     def __call__(self) -> Encode:
-        slots: dict[str, tuple[int, float]] = {}
+        slots: dict[str, int] = {}
         words = re.compile(r"\w\w+")
 
-        def slot(word: str) -> tuple[int, float]:
-            if word not in slots:
+        def slot(word: str) -> int:
+            """Twice the place of a word's component, and one more if it counts up."""
+            found = slots.get(word)
+            if found is None:
                 if len(slots) > 500_000:
                     slots.clear()
                 digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
-                slots[word] = (int(digest[:8], 16) % self.dimensions, 1.0 if int(digest[8], 16) < 8 else -1.0)
-            return slots[word]
+                found = slots[word] = 2 * (int(digest[:8], 16) % self.dimensions) + (int(digest[8], 16) < 8)
+            return found
+
+        def one(text: str) -> np.ndarray:
+            counts = np.bincount(
+                np.fromiter(map(slot, words.findall(text.lower())), np.int64), minlength=2 * self.dimensions
+            )
+            row = (counts[1::2] - counts[::2]).astype(float)
+            norm = float(np.sqrt((row * row).sum()))
+            if norm == 0.0:
+                row[0] = norm = 1.0
+            return row / norm
 
         def encode(texts: Sequence[str]) -> list[list[float]]:
-            out = np.zeros((len(texts), self.dimensions))
-            for row, text in zip(out, texts):
-                for word in words.findall(text.lower()):
-                    index, sign = slot(word)
-                    row[index] += sign
-                norm = float(np.sqrt((row * row).sum()))
-                if norm == 0.0:
-                    row[0] = norm = 1.0
-                row /= norm
-            return out.astype("float32").tolist()
+            return np.array([one(text) for text in texts], "float32").tolist()
 
         return encode
 

@@ -10,6 +10,7 @@ from topicsieve.functions.once import evaluated_once
 from topicsieve.functions.scoring import DEFAULT_YEAR, decide, hybrid_score, score_to_tier
 from topicsieve.functions.text import non_empty
 from topicsieve.functions.vectors import vector_score
+from topicsieve.operators.embedding import Embedder, backfill_embeddings
 from topicsieve.operators.similarity import with_tfidf_score
 from topicsieve.operators.vocabulary import Vocabulary, fit
 from topicsieve.topic import Topic
@@ -93,6 +94,19 @@ def rescore(
     embeddings: DataFrame | None = None,
     key: str = "paper_id",
     keep_inputs: bool = False,
+    embedder: Embedder | None = None,
 ) -> DataFrame:
-    """Refit on the whole corpus, then score all of it; other columns are kept."""
-    return score_papers(papers, topic, fit_corpus(papers), embeddings, key, keep_inputs)
+    """Refit on the whole corpus, then score all of it; other columns are kept.
+
+    With an ``embedder``, papers without a vector are embedded before they are
+    scored; ``keep_inputs`` returns the new vectors with the others, so that the
+    result can be stored as the next corpus. With ``embeddings`` in a table of their
+    own this joins them to the texts; a corpus that stores both needs no shuffle.
+    """
+    vocabulary = fit_corpus(papers)
+    if embedder is None:
+        return score_papers(papers, topic, vocabulary, embeddings, key, keep_inputs)
+    whole = papers if embeddings is None else papers.join(embeddings.select(key, "embedding"), key, "left")
+    whole = whole.withColumn("_scoring_text", scoring_text(whole))
+    filled = backfill_embeddings(whole, embedder, "_scoring_text").drop("_scoring_text")
+    return score_papers(filled, topic, vocabulary, key=key, keep_inputs=keep_inputs)
