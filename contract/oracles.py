@@ -64,6 +64,13 @@ ORACLES["validate_upload"] = query(
        FROM uploads""",
 )
 
+_FILES = UPLOADS + """,
+files AS (SELECT split_part(path, '/', 2) AS name, body FROM uploads WHERE lower(path) LIKE '%.pdf' AND body <> '')"""
+ORACLES["list_binary_files"] = query(_FILES, "SELECT name, CAST(strlen(body) AS BIGINT) AS length FROM files")
+ORACLES["read_binary"] = query(
+    _FILES, "SELECT name, md5(body) AS digest, CAST(strlen(body) AS INTEGER) AS n_bytes FROM files"
+)
+
 ORACLES["append_rows"] = query(SCORED_A, f"SELECT {SUMMARY} FROM s")
 ORACLES["write_by_tier"] = query(SCORED_A, f"SELECT tier, {SUMMARY} FROM s WHERE tier IN ('gold', 'silver')")
 ORACLES["retire_stale_tier"] = query(
@@ -308,9 +315,16 @@ ingested AS (
          {sql.keyword_score("lower(CASE WHEN text = '' THEN title ELSE text END)", TOPIC_A['axes'])} AS keyword
   FROM numbered)"""
 ORACLES["import_batch"] = query(
-    _INGESTED,
-    """SELECT new_id AS paper_id, source_path, title, year, abstract, NULL::VARCHAR AS parse_error, keyword,
-              'uploads/' || new_id || '.pdf' AS minio_key FROM ingested""",
+    _INGESTED
+    + f""",
+spoken AS (SELECT new_id, CASE WHEN text = '' THEN title ELSE text END AS said FROM ingested),
+{hashed("ih", "spoken", "new_id", "said")},
+iq AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = {sql.QUERY_VECTOR_ID['a']}),
+isim AS (SELECT new_id, (sum(x * q[i + 1]) / (sqrt(sum(x * x)) * sqrt(any_value(list_inner_product(q, q)))) + 1.0) / 2.0 AS sb
+         FROM ih, iq GROUP BY new_id)""",
+    f"""SELECT new_id AS paper_id, split_part(source_path, '/', 2) AS filename, title, year, abstract,
+              NULL::VARCHAR AS parse_error, keyword, {round4('sb')} AS sbert, 'uploads/' || new_id || '.pdf' AS minio_key
+       FROM ingested JOIN isim USING (new_id)""",
 )
 ORACLES["stream_ingest"] = query(
     _INGESTED,

@@ -73,19 +73,29 @@ def scan_corpus(spark, sf_dir):
     )
 
 
+def inbox(spark, sf_dir) -> str:
+    """A folder with a file for every document, some with another suffix."""
+    root = scratch_path(spark, "inbox")
+    docs = upload_files(spark, sf_dir)
+    files.write_files(docs.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"), root)
+    return root
+
+
+def file_name(path: str = "path") -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
 @query
 def list_binary_files(spark, sf_dir):
-    found = files.read_binary(spark, sf_dir, "*.parquet").drop("content").orderBy("path")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+    found = files.list_binary_files(spark, inbox(spark, sf_dir))
+    return found.select(file_name().alias("name"), "length")
 
 
 @query
 def read_binary(spark, sf_dir):
-    found = files.read_binary(spark, sf_dir, "*.parquet")
+    found = files.read_binary(spark, inbox(spark, sf_dir))
     return found.select(
-        F.element_at(F.split("path", "/"), -1).alias("name"),
-        F.md5("content").alias("digest"),
-        F.length("content").alias("n_bytes"),
+        file_name().alias("name"), F.md5("content").alias("digest"), F.length("content").alias("n_bytes")
     )
 
 
@@ -115,10 +125,10 @@ def validate_upload(spark, sf_dir):
 def import_batch(spark, sf_dir):
     topic = load_topic(spark, sf_dir, "a")
     fitted = rescore.fit_corpus(spread(views.papers(spark, sf_dir)))
-    rows = ingest.ingest_files(upload_files(spark, sf_dir), topic, fitted, 2000, EMBEDDER)
+    rows = ingest.import_batch(spark, inbox(spark, sf_dir), topic, fitted, 2000, embedder=EMBEDDER)
     return rows.select(
-        "paper_id", "source_path", "title", "year", "abstract", "parse_error",
-        F.col("score_breakdown.keyword").alias("keyword"), "minio_key",
+        "paper_id", file_name("source_path").alias("filename"), "title", "year", "abstract", "parse_error",
+        F.col("score_breakdown.keyword").alias("keyword"), F.col("score_breakdown.sbert").alias("sbert"), "minio_key",
     )
 
 
