@@ -166,9 +166,10 @@ def variants(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("percent, band_rows, rounds", [(80, 4, 2), (85, 5, 2), (85, 5, 1)])
-def test_near_duplicates(spark, monkeypatch, percent, band_rows, rounds):
+@pytest.mark.parametrize("percent, band_rows, rounds, block", [(80, 4, 3, 512), (85, 5, 1, 3)])
+def test_near_duplicates(spark, monkeypatch, percent, band_rows, rounds, block):
     monkeypatch.setattr(near_dedup, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", block)
     rng = random.Random(percent + rounds)
     texts = variants(rng, 60)
     rng.shuffle(texts)
