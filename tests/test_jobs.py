@@ -14,15 +14,6 @@ START = datetime(2024, 1, 1)
 FINAL = ("completed", "failed")
 
 
-@pytest.fixture(autouse=True)
-def many_slices(spark):
-    """Small test logs would otherwise be coalesced into a single slice."""
-    name = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(name, "false")
-    yield
-    spark.conf.set(name, "true")
-
-
 def make_log(n=3000, seed=3):
     """A third of all rows belong to one job, which ends late; ties in time occur."""
     rng = random.Random(seed)
@@ -61,11 +52,12 @@ def found(df):
 def test_changes_match_a_sequential_reading(spark):
     rows = make_log()
     log = spark.createDataFrame(rows, SCHEMA)
-    assert found(joblog.job_changes(log)) == expected_changes(rows)
+    for width in ("1 minute", "7 seconds", "1 day"):
+        assert found(joblog.job_changes(log, width=width)) == expected_changes(rows)
 
 
 def test_the_hot_job_is_spread_over_slices(spark):
-    cut = joblog.sliced(spark.createDataFrame(make_log(), SCHEMA))
+    cut = joblog.sliced(spark.createDataFrame(make_log(), SCHEMA), "1 minute")
     hot = cut.where("job_id = 'hot'").groupBy("slice").count().collect()
     assert len(hot) > 1
     assert max(r["count"] for r in hot) < 1000

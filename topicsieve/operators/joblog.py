@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicsieve.operators.summary import in_flight
-from topicsieve.session import reliable
+from topicsieve.session import scratch_path
 
 # Bounds of a job listing, final states, and the batch target.
 MAX_JOBS_LISTED = 500
@@ -19,6 +19,11 @@ ALL_PAPERS = "ALL"
 
 KEY = ("job_id", "ts", "event_id")
 
+# Length of the time slices that long logs of one job are cut into.
+SLICE = "1 hour"
+# Windows of a heartbeat that are accumulated in one task.
+BEAT_SLICE = 10_000
+
 
 def job_latest_state(log: DataFrame) -> DataFrame:
     """Current row per job: every field as its last non-null update set it.
@@ -72,26 +77,27 @@ def is_final(status: Column) -> Column:
     return F.coalesce(status.isin(*FINAL), F.lit(False))
 
 
-def sliced(log: DataFrame) -> DataFrame:
-    """Cut the log, ordered by job and time, into balanced contiguous slices.
+def sliced(log: DataFrame, width: str = SLICE) -> DataFrame:
+    """Number the time slices of the log; a job's slices follow each other.
 
-    Range partitioning on the full order splits even a job that holds a third
-    of the log over many slices. The slice number is checkpointed, since the
-    steps that follow read it more than once.
+    A slice depends on the row alone, so it can be computed anywhere and any number
+    of times. A job that holds a third of the log is spread over as many groups as
+    it has slices.
     """
-    return reliable(log.repartitionByRange(*KEY).withColumn("slice", F.spark_partition_id()))
+    micros = F.unix_micros(F.expr(f"TIMESTAMP'1970-01-01 00:00:00Z' + INTERVAL {width}"))
+    return log.withColumn("slice", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / micros))
 
 
-def with_previous(log: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+def with_previous(log: DataFrame, carried: DataFrame | None = None, width: str = SLICE) -> DataFrame:
     """Add each row's previous stage, and whether its job was final before it.
 
-    Windows run within (slice, job); what a job looked like at the end of its
-    earlier slices is carried over through a summary of one row per slice and
-    job. ``carried`` (job_id, last_stage, closed) continues from earlier batches.
+    Windows run within (job, slice); what a job looked like at the end of its
+    earlier slices is carried over through a summary of one row per job and
+    slice. ``carried`` (job_id, last_stage, closed) continues from earlier batches.
     """
-    rows = sliced(log)
+    rows = sliced(log, width)
     final = is_final(F.col("status"))
-    here = Window.partitionBy("slice", "job_id").orderBy("ts", "event_id")
+    here = Window.partitionBy("job_id", "slice").orderBy("ts", "event_id")
     local = (
         rows.withColumn("_before", F.lag("stage").over(here))
         .withColumn("_nth", F.row_number().over(here))
@@ -100,7 +106,7 @@ def with_previous(log: DataFrame, carried: DataFrame | None = None) -> DataFrame
             F.coalesce(F.max(final).over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)),
         )
     )
-    ends = rows.groupBy("slice", "job_id").agg(
+    ends = rows.groupBy("job_id", "slice").agg(
         F.max_by("stage", F.struct("ts", "event_id")).alias("_end"), F.max(final).alias("_final")
     )
     across = Window.partitionBy("job_id").orderBy("slice")
@@ -123,7 +129,7 @@ def with_previous(log: DataFrame, carried: DataFrame | None = None) -> DataFrame
             (F.col("_closed_entry") | F.coalesce("_closed_then", F.lit(False))).alias("_closed_entry"),
         )
     return (
-        local.join(entry.drop("_first"), ["slice", "job_id"])
+        local.join(entry.drop("_first"), ["job_id", "slice"])
         .withColumn(
             "previous_stage", F.when(F.col("_nth") == 1, F.col("_entry")).otherwise(F.col("_before"))
         )
@@ -132,14 +138,14 @@ def with_previous(log: DataFrame, carried: DataFrame | None = None) -> DataFrame
     )
 
 
-def job_changes(log: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+def job_changes(log: DataFrame, carried: DataFrame | None = None, width: str = SLICE) -> DataFrame:
     """Progress and final notices of every job.
 
     A progress row where the stage differs from the one before (the first
     non-null always), one completed/failed row at the first final status, and
     nothing for the job after that.
     """
-    open_rows = with_previous(log, carried).where(~F.col("already_final"))
+    open_rows = with_previous(log, carried, width).where(~F.col("already_final"))
     progress = F.when(~F.col("stage").eqNullSafe(F.col("previous_stage")), F.lit("job.progress"))
     notice = F.when(is_final(F.col("status")), F.concat(F.lit("job."), F.col("status")))
     return (
@@ -198,24 +204,41 @@ def window_states(log: DataFrame, width: str) -> DataFrame:
 def heartbeat(states: DataFrame, width: str) -> DataFrame:
     """Jobs in flight at the end of every window: (window_start, jobs_in_flight).
 
-    Each (window, job) state becomes +1, 0 or -1 against the job's state before;
-    the sums per window are then accumulated. The only unpartitioned window runs
-    over one row per time window.
+    Each (window, job) state becomes +1, 0 or -1 against the job's state before. The
+    sums per window are accumulated within slices of ``BEAT_SLICE`` windows, and the
+    slices' totals over one row per slice. Windows without updates are a distributed
+    range between the first and the last one.
     """
+    spark = states.sparkSession
     flying = in_flight(F.col("status")).cast("int")
     per_job = Window.partitionBy("job_id").orderBy("window_start")
-    changes = (
+    path = scratch_path(spark, "beats")
+    (
         states.select("job_id", F.col("window.start").alias("window_start"), flying.alias("_flying"))
         .withColumn("_change", F.col("_flying") - F.coalesce(F.lag("_flying").over(per_job), F.lit(0)))
         .groupBy("window_start")
         .agg(F.sum("_change").alias("_change"))
+        .write.parquet(path)
     )
-    span = changes.agg(F.min("window_start").alias("low"), F.max("window_start").alias("high"))
-    step = F.expr(f"INTERVAL {width}")
-    every = span.where(F.col("low").isNotNull()).select(
-        F.explode(F.sequence("low", "high", step)).alias("window_start")
+    step = F.unix_micros(F.expr(f"TIMESTAMP'1970-01-01 00:00:00Z' + INTERVAL {width}"))
+    changes = spark.read.parquet(path)
+    begin = F.unix_micros(F.col("window_start").cast("timestamp"))
+    low, high, micros = changes.agg(F.min(begin), F.max(begin), F.max(step)).first()
+    count = 0 if low is None else (high - low) // micros + 1
+    place = F.floor((begin - F.lit(low or 0)) / F.lit(micros or 1))
+    numbered = spark.range(count).join(changes.select(place.alias("id"), "_change"), "id", "left")
+    numbered = numbered.select(
+        "id", F.floor(F.col("id") / BEAT_SLICE).alias("slice"), F.coalesce("_change", F.lit(0)).alias("_change")
     )
-    so_far = Window.orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
-    return every.join(changes, "window_start", "left").select(
-        "window_start", F.sum(F.coalesce("_change", F.lit(0))).over(so_far).alias("jobs_in_flight")
+    so_far = Window.partitionBy("slice").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    totals = numbered.groupBy("slice").agg(F.sum("_change").alias("_total"))
+    # one row for each 10,000 windows
+    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    start = F.timestamp_micros(F.lit(low or 0) + F.col("id") * F.lit(micros or 1))
+    start = start.cast(changes.schema["window_start"].dataType)
+    return (
+        numbered.withColumn("_sum", F.sum("_change").over(so_far))
+        .join(before, "slice")
+        .select(start.alias("window_start"), (F.col("_before") + F.col("_sum")).alias("jobs_in_flight"))
     )
