@@ -326,19 +326,6 @@ isim AS (SELECT new_id, (sum(x * q[i + 1]) / (sqrt(sum(x * x)) * sqrt(any_value(
               NULL::VARCHAR AS parse_error, keyword, {round4('sb')} AS sbert, 'uploads/' || new_id || '.pdf' AS minio_key
        FROM ingested JOIN isim USING (new_id)""",
 )
-ORACLES["stream_ingest"] = query(
-    _INGESTED,
-    "SELECT new_id AS paper_id, source_path, title, year, keyword, 0.5::DOUBLE AS tfidf FROM ingested",
-)
-ORACLES["ingest_job_log"] = query(
-    _INGESTED,
-    """SELECT 'ingest-' || new_id AS job_id, new_id AS paper_id, split_part(source_path, '/', 2) AS filename,
-              CAST(e.id AS BIGINT) AS event_id, e.status, e.stage, NULL::VARCHAR AS error
-       FROM ingested, (VALUES (0, 'queued', 'queued'), (1, 'running', 'extracting_metadata'),
-                              (2, 'running', 'embedding_sbert'), (3, 'running', 'scoring'),
-                              (4, 'completed', 'completed')) e(id, status, stage)""",
-)
-
 # --- Keyword features --------------------------------------------------------
 
 ORACLES["keyword_hits"] = query(
@@ -424,6 +411,25 @@ _OLD = (
     .replace("WHERE " + sql.NON_BLANK, f"WHERE {sql.NON_BLANK} AND doc_id % 2 = 0")
     .replace("FROM tf GROUP BY term)", "FROM tf WHERE doc_id % 2 = 0 GROUP BY term)")
 )
+_STREAMED = _INGESTED.replace("ORDER BY source_path", "ORDER BY doc_id % 2, source_path") + f""",
+told AS (SELECT *, CASE WHEN text = '' THEN title ELSE text END AS said FROM ingested),
+scores AS (WITH documents AS (SELECT doc_id, said AS text FROM told WHERE length(said) % 7 <> 0), {_OLD} SELECT * FROM tfidf)"""
+ORACLES["stream_ingest"] = query(
+    _STREAMED,
+    f"""SELECT new_id AS paper_id, source_path, title, year, keyword,
+               CASE WHEN doc_id % 2 = 0 THEN 0.5 ELSE {round4('tfidf')} END AS tfidf
+        FROM told JOIN scores USING (doc_id) WHERE length(said) % 7 <> 0""",
+)
+ORACLES["ingest_job_log"] = query(
+    _STREAMED,
+    """SELECT 'ingest-' || new_id AS job_id, new_id AS paper_id, split_part(source_path, '/', 2) AS filename,
+              CAST(e.id AS BIGINT) AS event_id, e.status, e.stage,
+              CASE WHEN e.status = 'failed' THEN 'ValueError: cannot embed' END AS error
+       FROM told, (VALUES (0, 'queued', 'queued', NULL), (1, 'running', 'extracting_metadata', NULL),
+                          (2, 'running', 'embedding_sbert', NULL), (3, 'running', 'scoring', FALSE),
+                          (4, 'completed', 'completed', FALSE), (3, 'failed', 'embedding_sbert', TRUE)) e(id, status, stage, fails)
+       WHERE e.fails IS NULL OR e.fails = (length(said) % 7 = 0)""",
+)
 ORACLES["incremental_vs_refit"] = query(
     f"old_scores AS (WITH {_OLD} SELECT * FROM tfidf),\nnew_scores AS (WITH {sql.tfidf('a')} SELECT * FROM tfidf)",
     f"""SELECT doc_id, {round4('o.tfidf')} AS incremental, {round4('n.tfidf')} AS refit
@@ -497,9 +503,9 @@ ORACLES["breakdown_unpivot"] = query(
 # --- Aggregations ------------------------------------------------------------
 
 ORACLES["corpus_health"] = query(
-    LATEST,
+    LATEST + ",\n" + sql.VOCABULARY,
     f"""SELECT (SELECT count(*) FROM documents) AS papers,
-               (SELECT count(*) >= 2 FROM documents WHERE {sql.NON_BLANK}) AS tfidf_fitted,
+               (SELECT n FROM n) >= 2 AND (SELECT count(*) FROM vocab) > 0 AS tfidf_fitted,
                (SELECT count(*) FROM latest WHERE status IS DISTINCT FROM 'completed') AS jobs_in_flight""",
 )
 _TIERS = ("gold", "silver", "bronze", "out_of_range")

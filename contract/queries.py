@@ -590,7 +590,8 @@ def breakdown_unpivot(spark, sf_dir):
 @query
 def corpus_health(spark, sf_dir):
     jobs = joblog.job_latest_state(views.job_log(spark, sf_dir))
-    return summary.corpus_health(views.papers(spark, sf_dir), jobs)
+    corpus = views.papers(spark, sf_dir)
+    return summary.corpus_health(corpus, jobs, rescore.fit_corpus(spread(corpus)))
 
 
 @query
@@ -728,18 +729,7 @@ def reextract(spark, sf_dir):
         scoring.object_key(F.col("paper_id")).alias("minio_key"), F.encode("full_text", "UTF-8").alias("content")
     )
 
-    def picky():
-        """An embedder that fails on every seventh text by length."""
-        encode = EMBEDDER()
-
-        def checked(texts):
-            if any(len(t) % 7 == 0 for t in texts):
-                raise ValueError("cannot embed")
-            return encode(texts)
-
-        return checked
-
-    done = ingest.reextract(corpus, sources, picky)
+    done = ingest.reextract(corpus, sources, picky_embedder())
     return done.select(
         "paper_id", "title", "abstract", "year", F.md5("text").alias("text_digest"),
         checksum("embedding").alias("checksum"), "extract_error",
@@ -920,13 +910,41 @@ def job_changes_stream(spark, sf_dir):
     return notices(progress.read_notices(spark, store))
 
 
-@query
-def stream_ingest_documents(spark, sf_dir):
+def picky_embedder():
+    """An embedder factory that fails on every seventh text by length."""
+    base = EMBEDDER
+
+    def load():
+        encode = base()
+
+        def checked(texts):
+            if any(len(t) % 7 == 0 for t in texts):
+                raise ValueError("cannot embed")
+            return encode(texts)
+
+        return checked
+
+    return load
+
+
+def ingested_in_two_batches(spark, sf_dir) -> Store:
+    """Even documents arrive first, odd ones after; every seventh text cannot be embedded."""
+    folder = scratch_path(spark, "arriving")
+    docs = views.table(spark, sf_dir, "documents")
+    for rest in (0, 1):
+        docs.where(F.col("doc_id") % 2 == rest).coalesce(1).write.mode("append").parquet(folder)
+    arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", "1").parquet(folder)
     store = Store(scratch_path(spark, "ingest"))
-    incoming = as_upload_files(views.as_page_texts(table_stream(spark, sf_dir, "documents")))
+    incoming = as_upload_files(views.as_page_texts(arriving))
     topic = load_topic(spark, sf_dir, "a")
-    finished(stream_ingest.stream_ingest(incoming, store, topic, scratch_path(spark, "arrivals"), EMBEDDER))
-    stored = stream_ingest.read_papers(spark, store)
+    checkpoint = scratch_path(spark, "arrivals")
+    finished(stream_ingest.stream_ingest(incoming, store, topic, checkpoint, picky_embedder()))
+    return store
+
+
+@query
+def stream_ingest_documents(spark, sf_dir):
+    stored = stream_ingest.read_papers(spark, ingested_in_two_batches(spark, sf_dir))
     return stored.select(
         "paper_id", "source_path", "title", "year",
         F.col("score_breakdown.keyword").alias("keyword"), F.col("score_breakdown.tfidf").alias("tfidf"),
@@ -935,11 +953,8 @@ def stream_ingest_documents(spark, sf_dir):
 
 @query
 def ingest_job_log(spark, sf_dir):
-    topic = load_topic(spark, sf_dir, "a")
-    rows = ingest.ingest_files(
-        upload_files(spark, sf_dir), topic, vocabulary.Vocabulary(0), identifiers.FIRST_NUMBER, EMBEDDER
-    )
-    log = stream_ingest.ingest_log(rows)
+    store = ingested_in_two_batches(spark, sf_dir)
+    log = store.read(spark, stream_ingest.LOG)
     return log.select("job_id", "paper_id", "filename", "event_id", "status", "stage", "error")
 
 

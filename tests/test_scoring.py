@@ -7,6 +7,7 @@ from topicsieve.functions import scoring
 from topicsieve.operators import papers, ranking, summary
 from topicsieve.operators.topics import remove_axis, rename_axis, weight_sum
 from topicsieve.plans.rescore import fit_corpus, rescore, score_papers
+from topicsieve.operators.vocabulary import Vocabulary
 from topicsieve.topic import Topic
 
 BREAKDOWN = "struct<keyword:double,tfidf:double,sbert:double,weighted:double>"
@@ -120,7 +121,7 @@ def test_empty_corpus_summaries(spark):
 def test_jobs_in_flight_count_failures_and_nulls(spark):
     jobs = spark.createDataFrame([("completed",), ("failed",), (None,), ("running",)], "status string")
     texts = spark.createDataFrame([("a",), (" ",)], "text string")
-    row = summary.corpus_health(texts, jobs).first()
+    row = summary.corpus_health(texts, jobs, Vocabulary(2)).first()
     assert (row["papers"], row["tfidf_fitted"], row["jobs_in_flight"]) == (2, False, 3)
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicsieve.functions.scoring import DECISIONS, TIERS, score_to_tier
-from topicsieve.functions.text import is_blank, round_half_up
+from topicsieve.functions.text import round_half_up
+from topicsieve.operators.vocabulary import Vocabulary
 
 # Seconds per paper and severity limits of a run estimate.
 SCORE_SECONDS, MIN_SCORE_SECONDS = 0.01, 2.0
@@ -20,16 +21,14 @@ def in_flight(status: Column) -> Column:
     return ~status.eqNullSafe(F.lit("completed"))
 
 
-def corpus_health(papers: DataFrame, jobs: DataFrame, text: str = "text") -> DataFrame:
-    """One row: papers, jobs in flight, and whether a vocabulary can be fitted.
+def corpus_health(papers: DataFrame, jobs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """One row: papers, jobs in flight, and whether the stored vocabulary is fitted.
 
-    Two texts settle the last question, so the scan of texts stops there; the
-    paper count needs no column at all.
+    The paper count needs no column at all.
     """
-    texts = papers.where(~is_blank(F.col(text))).limit(2).agg(F.count("*") >= 2)
     flying = jobs.agg(F.count_if(in_flight(F.col("status"))))
     return papers.agg(F.count("*").alias("papers")).select(
-        "papers", texts.scalar().alias("tfidf_fitted"), flying.scalar().alias("jobs_in_flight")
+        "papers", F.lit(vocabulary.is_fitted).alias("tfidf_fitted"), flying.scalar().alias("jobs_in_flight")
     )
 
 
