@@ -60,4 +60,38 @@ FROM marked
 GROUP BY doc_id
 """
 
-ORACLES = {"op1_chat_format": OP1, "op5_exact_dedup": OP5, "op7_line_dedup": OP7}
+OP10 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) >= 5 THEN list_distinct(
+            list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+        ELSE [] END AS s
+    FROM words
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), arcs AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reached.a, arcs.b FROM reached JOIN arcs ON reached.b = arcs.a
+)
+SELECT doc_id, any_value(len(s)) AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
+FROM sets JOIN reached ON sets.doc_id = reached.a
+GROUP BY doc_id
+"""
+
+ORACLES = {
+    "op1_chat_format": OP1, "op5_exact_dedup": OP5, "op7_line_dedup": OP7, "op10_minhash_near_dedup": OP10,
+}
