@@ -43,6 +43,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` stored in buckets of ``key``, so that joins on it do not shuffle it again.
+
+    The files are below the shared scratch folder; the catalog entry is the session's.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "buckets")
+    name = "buckets_" + path.rpartition("-")[2]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:

@@ -5,9 +5,10 @@ for. Classes whose minima agree in a whole band share a bucket. Buckets are sear
 for links without listing their pairs: in a star round, one member of a bucket is
 compared with all others. Members that are in one component by then need no more
 comparison, as further links between them change nothing; so after ``STAR_ROUNDS``
-only buckets that still hold several components are left, and there exactly the pairs
-across components are compared. Every comparison checks the sketches first, with a
-margin of many standard deviations, and then the full sets.
+only buckets that still hold several components are left, and there all pairs across
+components are compared in blocks, of which only links come out. Every comparison
+checks the sketches first, with a margin of many standard deviations, and then the
+full sets.
 
 The number of bands follows from the threshold: a pair exactly at it shares no bucket
 with a probability below ``MISS``.
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -27,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicsieve.llm.components import connected_components
-from topicsieve.llm.frames import slices, stored, text_or_empty
+from topicsieve.llm.frames import bucketed, slices, stored, text_or_empty
 
 WORDS = 5
 MISS = 1e-7
 MARGIN = 6.5  # standard deviations
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
 SALTS = 1024
+BLOCK_NODES = 512
 CACHED_WORDS = 200_000
 #: Shingles hashed at a time, a bound on a worker's memory.
 BLOCK = 2048
@@ -193,68 +195,157 @@ def bucket_rows(classes: DataFrame, rule: Rule) -> DataFrame:
     return classes.select("node", "sketch").mapInArrow(run, "bucket bigint, node bigint")
 
 
-def compared(
-    pairs: DataFrame, data: DataFrame, alike: Callable[[np.ndarray, np.ndarray], bool], dtype: str
-) -> DataFrame:
-    """The pairs (``left``, ``right``) whose ``data`` (``node``, ``value``) are alike.
+class Profile:
+    """Sketch and shingle set of a document, as they were stored in one value."""
 
-    A left value meets its right ones in sorted order in a task, one at a time. The
-    right nodes are salted and the left value goes to each salt that occurs, so the
+    __slots__ = ("sketch", "shingles")
+
+    def __init__(self, value: bytes, rule: Rule):
+        self.sketch = np.frombuffer(value, "<u4", rule.minima)
+        self.shingles = np.frombuffer(value, "<u8", offset=4 * rule.minima)
+
+    def fits(self, other: Profile, rule: Rule) -> bool:
+        """Whether sizes and sketches leave room for a link."""
+        small, large = sorted((len(self.shingles), len(other.shingles)))
+        if 100 * small < rule.percent * large:
+            return False
+        return int((self.sketch == other.sketch).sum()) >= rule.least_agreeing
+
+    def linked(self, other: Profile, rule: Rule) -> bool:
+        """Whether the full sets are similar enough."""
+        shared = len(np.intersect1d(self.shingles, other.shingles, assume_unique=True))
+        union = len(self.shingles) + len(other.shingles) - shared
+        return 100 * shared >= rule.percent * union
+
+
+def links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    left, right = zip(*found, strict=True) if found else ((), ())
+    return pa.RecordBatch.from_pydict(
+        {"left": pa.array(left, pa.int64()), "right": pa.array(right, pa.int64())}
+    )
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (``left``, ``right``) that are links.
+
+    A left profile meets its right ones in sorted order in a task, one at a time. The
+    right nodes are salted and the left profile goes to each salt that occurs, so the
     partners of one node spread over many tasks.
     """
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("right"), F.lit(SALTS)))
-    lefts = (
-        salted.select("left", "salt")
-        .distinct()
-        .join(data.withColumnRenamed("node", "left"), "left")
-        .select("left", "salt", F.lit(None).cast("long").alias("right"), "value")
-    )
-    rights = salted.join(data.withColumnRenamed("node", "right"), "right").select(
-        "left", "salt", "right", "value"
-    )
+    lefts = salted.select("left", "salt").distinct()
+    roles = lefts.select("left", "salt", F.lit(None).cast("long").alias("right"), F.col("left").alias("node"))
+    roles = roles.union(salted.select("left", "salt", "right", F.col("right").alias("node")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, mine = None, np.array([], dtype)
+        at, mine = None, None
         for batch in batches:
             found: list[tuple[int, int]] = []
             columns = (batch[c] for c in ("left", "salt", "right", "value"))
             for left, salt, right, value in zip(*columns, strict=True):
-                other = np.frombuffer(value.as_buffer(), dtype)
                 key = (left.as_py(), salt.as_py())
+                profile = Profile(value.as_py(), rule)
                 if not right.is_valid:
-                    # copied, as it has to outlive its batch
-                    at, mine = key, other.copy()
-                elif at == key and alike(mine, other):
+                    at, mine = key, profile
+                elif at == key and mine.fits(profile, rule) and mine.linked(profile, rule):
                     found.append((key[0], right.as_py()))
-            a, b = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_pydict(
-                {"left": pa.array(a, pa.int64()), "right": pa.array(b, pa.int64())}
-            )
+            yield links_of(found)
 
-    together = lefts.union(rights).repartition("left", "salt")
-    return together.sortWithinPartitions("left", "salt", F.col("right").asc_nulls_first()).mapInArrow(
-        run, "`left` bigint, `right` bigint"
+    together = roles.join(nodes, "node").select("left", "salt", "right", "value")
+    return (
+        together.repartition("left", "salt")
+        .sortWithinPartitions("left", "salt", F.col("right").asc_nulls_first())
+        .mapInArrow(run, "`left` bigint, `right` bigint")
     )
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs that are links, checked on sketches and then on full sets."""
-    least, percent = rule.least_agreeing, rule.percent
-
-    def sketches_agree(a: np.ndarray, b: np.ndarray) -> bool:
-        return int((a == b).sum()) >= least
+def block_links(rows: list[tuple[int, int, int, bytes]], bucket: int, rule: Rule) -> list[tuple[int, int]]:
+    """Links that join components within a block of a bucket, or between its two halves.
 
-    def sets_agree(a: np.ndarray, b: np.ndarray) -> bool:
-        small, large = sorted((len(a), len(b)))
-        if 100 * small < percent * large:
-            return False
-        shared = len(np.intersect1d(a, b, assume_unique=True))
-        return 100 * shared >= percent * (len(a) + len(b) - shared)
+    ``rows`` have block number, node, component and profile. Pairs that met in a bucket
+    of an earlier band are left to it, and pairs that links found here have joined are
+    passed over, so there are fewer links than rows.
+    """
+    profiles = [Profile(value, rule) for *_, value in rows]
+    sketches = np.stack([p.sketch for p in profiles])
+    sizes = np.array([len(p.shingles) for p in profiles])
+    half = np.array([r[0] for r in rows])
+    crossing = half.min() != half.max()
+    keys = buckets(sketches, rule)
+    band = int(np.flatnonzero(keys[0] == bucket)[0])
+    joined = {r[2]: r[2] for r in rows}
+
+    def root(component: int) -> int:
+        while joined[component] != component:
+            joined[component] = component = joined[joined[component]]
+        return component
+
+    roots = np.array([r[2] for r in rows])
+    found = []
+    for i in range(len(rows) - 1):
+        rest = slice(i + 1, None)
+        likely = roots[rest] != roots[i]
+        if crossing:
+            likely &= half[rest] != half[i]
+        likely &= 100 * np.minimum(sizes[rest], sizes[i]) >= rule.percent * np.maximum(sizes[rest], sizes[i])
+        if not likely.any():
+            continue
+        others = i + 1 + np.flatnonzero(likely)
+        met = (keys[others, :band] == keys[i, :band]).any(axis=1)
+        agree = (sketches[others] == sketches[i]).sum(axis=1) >= rule.least_agreeing
+        for j in others[agree & ~met].tolist():
+            a, b = root(rows[i][2]), root(rows[j][2])
+            if a != b and profiles[i].linked(profiles[j], rule):
+                found.append((rows[i][1], rows[j][1]))
+                joined[max(a, b)] = min(a, b)
+                roots[roots == max(a, b)] = min(a, b)
+    return found
+
+
+def links_across(members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """All links that join components within the buckets of ``members``.
+
+    A bucket is cut into blocks of about ``BLOCK_NODES`` nodes, and each pair of blocks
+    is a task's work for some time, however large the bucket. Only links come out.
+    """
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    blocks = F.ceil(F.col("n") / BLOCK_NODES)
+    placed = members.join(stored(sizes, "bucket-sizes"), "bucket").withColumn("blocks", blocks)
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    paired = placed.select("bucket", "node", "component", "block", other).select(
+        "bucket",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "block",
+        "node",
+        "component",
+    )
 
-    sketches = nodes.select("node", F.col("sketch").alias("value"))
-    sets = nodes.select("node", F.col("shingles").alias("value"))
-    promising = stored(compared(pairs, sketches, sketches_agree, "<u4"), "promising-pairs")
-    return compared(promising, sets, sets_agree, "<u8")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            columns = (
+                batch[c].to_pylist()
+                for c in ("bucket", "low", "high", "block", "node", "component", "value")
+            )
+            for bucket, low, high, *row in zip(*columns, strict=True):
+                if (bucket, low, high) != at:
+                    if len(rows) > 1:
+                        found += block_links(rows, at[0], rule)
+                    at, rows = (bucket, low, high), []
+                rows.append(tuple(row))
+            yield links_of(found)
+        if len(rows) > 1:
+            yield links_of(block_links(rows, at[0], rule))
+
+    together = paired.join(nodes, "node").repartition("bucket", "low", "high")
+    return (
+        together.select("bucket", "low", "high", "block", "node", "component", "value")
+        .sortWithinPartitions("bucket", "low", "high")
+        .mapInArrow(run, "`left` bigint, `right` bigint")
+    )
 
 
 def in_several_components(members: DataFrame, components: DataFrame) -> DataFrame:
@@ -277,20 +368,20 @@ def in_several_components(members: DataFrame, components: DataFrame) -> DataFram
 
 def near_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """``node`` and ``component`` of every class that is linked with another one."""
-    rows = stored(bucket_rows(classes, rule), "buckets")
+    rows = bucket_rows(classes, rule)
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = stored(rows.join(stored(shared, "shared-buckets"), "bucket"), "members")
     needed = members.select(F.col("node").alias("doc_id")).distinct()
-    nodes = stored(
-        shingle_sets(docs.join(needed, "doc_id", "left_semi"), rule, whole=True)
-        .dropDuplicates(["doc_id"])
-        .withColumnRenamed("doc_id", "node"),
-        "full-sets",
+    nodes = bucketed(
+        shingle_sets(docs.join(needed, "doc_id", "left_semi"), rule, whole=True).select(
+            F.col("doc_id").cast("long").alias("node"), F.concat("sketch", "shingles").alias("value")
+        ),
+        "node",
     )
     components = members.select("node", F.col("node").alias("component")).limit(0)
     for turn in range(STAR_ROUNDS):
-        # the smallest member first, then others, in an order that is as good as random
-        order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        # the smallest member first; then another one in each bucket, as good as random
+        order = F.col("node") if turn == 0 else F.xxhash64("node", "bucket", F.lit(turn))
         leaders = stored(
             members.groupBy("bucket").agg(F.min_by("node", order).alias("leader")), "leaders"
         )
@@ -308,11 +399,8 @@ def near_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         members = in_several_components(others, components)
         if members.isEmpty():
             return components
-    a, b = members.toDF("bucket", "left", "of_left"), members.toDF("bucket", "right", "of_right")
-    across = a.join(b, "bucket").where("left < right AND of_left != of_right")
-    pairs = stored(across.select("left", "right").distinct(), "pairs")
-    links = components.toDF("left", "right").union(verified(pairs, nodes, rule))
-    return connected_components(links)
+    across = links_across(members, nodes, rule)
+    return connected_components(components.toDF("left", "right").union(across))
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
