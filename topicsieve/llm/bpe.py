@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from topicsieve.llm.frames import slices, text_or_empty
 
 #: Entries of each generation of a worker's caches, a bound on its memory.
-CACHED_CHUNKS = 100_000
+CACHED_CHUNKS = 200_000
 CACHED_WORDS = 250_000
 #: Longer chunks are encoded without being remembered.
 CACHED_LENGTH = 64
@@ -64,8 +64,11 @@ class Remembered:
 
     def all(self, keys: list[str]) -> list[bytes]:
         found = list(map(self.young.get, keys))
-        if None in found:
-            found = [self(k) if v is None else v for k, v in zip(keys, found, strict=True)]
+        missing = found.count(None)
+        at = -1
+        for _ in range(missing):
+            at = found.index(None, at + 1)
+            found[at] = self(keys[at])
         return found
 
 
@@ -90,7 +93,7 @@ class WordBpe:
         suffix = model["end_of_word_suffix"] or ""
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.added_pattern = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
-        self.tokens = {i: t for t, i in (vocabulary | self.added).items()}
+        self.added_lowered = [t.lower() for t in self.added]
         characters = byte_characters()
         self.first = [vocabulary[c] for c in characters]
         self.last = [vocabulary[c + suffix] for c in characters]
@@ -166,12 +169,12 @@ class WordBpe:
         return b"".join(self.encode_word(bytes(map(self.byte_of.get, w))) for w, _ in words)
 
     def encode(self, text: str) -> bytes:
+        lowered = text.lower() if text.isascii() else text
+        if not any(token in lowered for token in self.added_lowered):
+            # fewer different chunks; only in added tokens does case matter
+            text = lowered
         return b"".join(self.chunks.all(text.replace("\n", " ").split(" ")))
 
-    def vocabulary(self) -> pa.Array:
-        """The string of each id; ids that no token has are null."""
-        return pa.array([self.tokens.get(i) for i in range(max(self.tokens) + 1)])
-
 
 @cache
 def word_bpe(path: str, library_merges: bool = False) -> WordBpe:
@@ -181,7 +184,12 @@ def word_bpe(path: str, library_merges: bool = False) -> WordBpe:
 
 @cache
 def vocabulary(path: str) -> pa.Array:
-    return word_bpe(path).vocabulary()
+    """The string of each id of a tokenizer file; ids that no token has are null."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    tokens = {i: t for t, i in spec["model"]["vocab"].items()}
+    tokens |= {x["id"]: x["content"] for x in spec["added_tokens"]}
+    return pa.array([tokens.get(i) for i in range(max(tokens) + 1)])
 
 
 def id_lists(encoded: Iterable[bytes]) -> pa.ListArray:
