@@ -385,7 +385,8 @@ def near_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         leaders = stored(
             members.groupBy("bucket").agg(F.min_by("node", order).alias("leader")), "leaders"
         )
-        led = members.join(leaders, "bucket").where("node != leader")
+        others = stored(members.join(leaders, "bucket").where("node != leader"), "led-members")
+        led = others
         if turn:
             led = led.join(components.toDF("leader", "leads"), "leader", "left").where(
                 "component != coalesce(leads, leader)"
@@ -395,7 +396,6 @@ def near_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         )
         links = components.toDF("left", "right").union(verified(pairs, nodes, rule))
         components = connected_components(links)
-        others = members.join(leaders, "bucket").where("node != leader")
         members = in_several_components(others, components)
         if members.isEmpty():
             return components
