@@ -145,6 +145,39 @@ def test_main_text(page):
     assert tag_paths.main_text(page) == PAGES[page]
 
 
+# wrappers that are named like a part of the page, or are a form
+WRAPPED = [
+    "<div class='has-sidebar'>{}</div>", "<div class='layout with-sidebar'>{}</div>", "<div class='widget-content'>{}</div>",
+    "<div id='search-page'>{}</div>", "<div id=search>{}</div>", "<div class='sidebar'><div class=banner>{}</div></div>",
+    "<form id='aspnetForm'><input type=hidden><div class=header>{}</div></form>", "<div role=form aria-hidden=true>{}</div>",
+    "<section class='notice'>{}<div class='related-posts'>Other, better texts.</div></section>",
+]
+AROUND = "<div class='site-header'>Our site.</div>{}<div class='sidebar-left'><p>About us, and more.</p></div><div class='site-footer'>All rights.</div>"
+
+
+@pytest.mark.parametrize("wrapper", WRAPPED)
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "{}"])
+def test_wrapper_names_do_not_empty_a_page(wrapper, inner):
+    page = f"<html><body>{AROUND.format(wrapper.format(inner.format(ARTICLE)))}</body></html>"
+    assert tag_paths.main_text(page) == WANT
+
+
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>"])
+def test_unclosed_menu(inner):
+    page = "<body>" + AROUND.format("<nav><ul><li><a href=x>Menu</a></ul>" + inner.format(ARTICLE))
+    assert tag_paths.main_text(page) == WANT
+
+
+def test_names_inside_an_article():
+    page = (
+        "<html><head><title>t</title><body><article><div class='entry-header'><h1>A title</h1></div><div class='header'><p>By me.</p></div>"
+        "<div class='elementor-widget'><p>First one, long enough to count.</p></div><div class='share-buttons'>Tell all.</div>"
+        "<p>Second.</p></article><div class='comments'><article><p>I disagree, at a length that is greater than that of the whole text "
+        "above, and I go on.</p></article></div><aside class='related'><article><p>Another one.</p></article></aside>"
+    )
+    assert tag_paths.main_text(page) == "A title\n\nBy me.\n\nFirst one, long enough to count.\n\nSecond."
+
+
 def test_pages_frame(spark):
     rows = [(i, f"u{i}", p, "x") for i, p in enumerate(PAGES)] + [(None, None, None, "y"), (0, "u0", "<p>again", "z")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -5,7 +5,8 @@ the root to it. Text length and punctuation are added up per path and divided by
 number of its blocks; the two ratios are smoothed over neighbouring blocks, fused, and
 paths above a share of the best one are content. The content node is the innermost
 element that holds nearly all text of these paths; its blocks are the main text. Parts
-that say what they are (menus, footers, adverts, comments, ...) never take part.
+that say what they are (menus, footers, adverts, comments, ...) do not take part, unless
+they hold the page's article or most of its text: a wrapper's name is evidence only.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ CONTENT_SHARE = 0.15
 INNER_SHARE = 0.9
 #: Paths with more than this share of their text in links are lists of links.
 LINK_SHARE = 0.6
+#: An article is the page's own if it holds this share of the text.
+ARTICLE_SHARE = 0.25
+#: Shares of the text with which a wrapper, or any other part, counts whatever it is called.
+WRAPPER_SHARE = 0.5
+PART_SHARE = 0.9
 #: Weights of a block and its neighbours on either side.
 SMOOTHING = np.array([0.06, 0.24, 0.4, 0.24, 0.06])
 
@@ -44,20 +50,33 @@ CLOSED_BY_NEXT = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 SCOPES = frozenset("ul ol dl table tbody thead tfoot select article main section div body html".split())
-NOT_CONTENT = frozenset(
-    "nav footer aside form button select option dialog menu template svg math object audio video "
-    "canvas head fieldset datalist".split()
+NEVER = frozenset(
+    "button select option template svg math object audio video canvas head datalist".split()
 )
-NOT_CONTENT_ROLES = frozenset(
-    "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
-    "toolbar".split()
+PARTS = frozenset("nav footer aside menu".split())
+WRAPPERS = frozenset("form fieldset dialog".split())
+PART_ROLES = frozenset("navigation contentinfo complementary menu menubar toolbar".split())
+WRAPPER_ROLES = frozenset("banner search form dialog alert alertdialog".split())
+# Words that name a part in any compound ("site-footer") that tells no state of a layout
+# ("has-footer"), and words that do so only alone or with words of place and kind
+# ("left-sidebar", not "widget-content").
+PART_WORDS = frozenset(
+    "ad ads adbox advert adverts advertisement advertising sponsored nav navbar navigation breadcrumb "
+    "breadcrumbs footer cookie cookies gdpr newsletter comment comments commentlist disqus replies "
+    "pagination pager".split()
 )
-NOT_CONTENT_NAMES = frozenset(
-    "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner "
-    "nav navbar navigation menu breadcrumb breadcrumbs sidebar masthead header footer cookie cookies "
-    "consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login "
-    "comment comments commentlist disqus reply replies respond share sharing social related "
-    "recommended recommendations widget toolbar pagination pager search".split()
+WRAPPER_WORDS = frozenset(
+    "sponsor promo promotion banner menu sidebar masthead header consent notice alert popup modal "
+    "overlay subscribe subscription signup login reply respond share sharing social related "
+    "recommended recommendations widget toolbar search".split()
+)
+STATE_WORDS = frozenset(
+    "has with no without is not show hide open opened closed enabled disabled on off visible".split()
+)
+PLACE_WORDS = frozenset(
+    "site left right top bottom upper lower primary secondary list lists area areas box boxes bar bars "
+    "block blocks button buttons link links posts articles stories news items container wrapper wrap "
+    "inner form js".split()
 )
 
 TOKEN = re.compile(
@@ -69,11 +88,16 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
 
 
+# What an element says of itself: nothing, a layout wrapper's or a part's name, never text.
+KEPT, WRAPPER, PART, HIDDEN = range(4)
+
+
 @dataclass
 class Element:
     tag: str
     number: int
     path: str
+    doubt: int = KEPT
     excluded: bool = False
     parents: tuple[int, ...] = ()  # numbers of the elements around it, and its own
 
@@ -86,23 +110,81 @@ class Block:
     text: str = ""
 
 
-def says_not_content(tag: str, attributes: str, inside_article: bool) -> bool:
-    """Whether an element's tag, role, name or visibility rules it out."""
-    if tag in NOT_CONTENT or (tag == "header" and not inside_article):
-        return True
+def name_doubt(name: str, inside_article: bool) -> int:
+    """What a class or an identifier says of its element."""
+    words = {w for w in re.split(r"[_-]+", name) if w and not w.isdigit()}
+    if words & PART_WORDS:
+        return KEPT if words & STATE_WORDS else PART
+    says = words & WRAPPER_WORDS
+    if inside_article:
+        says -= {"header"}
+    return WRAPPER if says and words <= WRAPPER_WORDS | PLACE_WORDS else KEPT
+
+
+def doubt(tag: str, attributes: str, inside_article: bool) -> int:
+    """What an element's tag, role, name or visibility says against it."""
+    if tag in NEVER:
+        return HIDDEN
+    found = PART if tag in PARTS else KEPT
+    if tag in WRAPPERS or (tag == "header" and not inside_article):
+        found = WRAPPER
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return found
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "role" and value in NOT_CONTENT_ROLES:
-            return True
+        if name == "hidden":
+            return HIDDEN
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name in ("class", "id") and not NOT_CONTENT_NAMES.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
-    return False
+            return HIDDEN
+        if name == "aria-hidden" and value == "true":
+            found = max(found, WRAPPER)
+        elif name == "role":
+            found = max(found, PART * (value in PART_ROLES), WRAPPER * (value in WRAPPER_ROLES))
+        elif name in ("class", "id"):
+            found = max([found, *(name_doubt(x, inside_article) for x in value.split())])
+    return found
+
+
+def settle(blocks: list[Block], elements: list[Element]) -> None:
+    """Decide which doubted elements are excluded, with all below them.
+
+    A doubted element stays if it holds a ``main``, or the article with most text if
+    that is a fair share of the page, or most of the text itself; a part needs more of
+    it than a wrapper, and the only article. Text is counted without links, and without
+    parts inside (comments below an article, for one).
+    """
+    if all(e.doubt in (KEPT, HIDDEN) for e in elements):
+        return
+    held = np.zeros(len(elements))
+    for b in blocks:
+        held[b.element.number] += max(0, len(b.text) - b.link_chars)
+    whole = held.sum()
+    has_main = [False] * len(elements)
+    longest = [(0.0, 0)] * len(elements)  # text and number of the longest article in it
+    free = any(e.tag == "article" and all(elements[n].doubt < PART for n in e.parents) for e in elements)
+    # from the inside out: elements come in page order, so inner ones follow
+    for e in reversed(elements[1:]):
+        i, above = e.number, e.parents[-2]
+        has_main[i] |= e.tag == "main" and held[i] > 0
+        if e.tag == "article":
+            longest[i] = max(longest[i], (held[i], -i))
+        if e.doubt == PART:
+            only = not free and longest[i][0] > WRAPPER_SHARE * whole
+            e.excluded = not (has_main[i] or only or held[i] >= PART_SHARE * whole > 0)
+        has_main[above] |= has_main[i]
+        if not e.excluded:
+            held[above] += held[i]
+            longest[above] = max(longest[above], longest[i])
+    own = longest[0][0] > 0 and longest[0][0] >= ARTICLE_SHARE * held[0]
+    for e in elements[1:]:
+        i = e.number
+        if elements[e.parents[-2]].excluded:
+            e.excluded = True
+        elif e.doubt == WRAPPER:
+            around = [n for n in e.parents[:-1] if elements[n].tag in ("article", "main")]
+            share = PART_SHARE if not around and (own or has_main[0]) else WRAPPER_SHARE
+            stays = has_main[i] or (own and longest[i] == longest[0])
+            e.excluded = not stays and held[i] <= share * held[around[-1] if around else 0]
 
 
 def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
@@ -136,8 +218,9 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
         attributes = match[4] or match[7] or ""
         if tag == "a":
             links = 0 if closing else 1
-        excluded_inline = tag in INLINE and tag not in VOID and not closing and says_not_content(
-            tag, attributes, False
+        excluded_inline = (
+            bool(attributes and tag in INLINE and tag not in VOID and not closing)
+            and doubt(tag, attributes, any(e.tag in ("article", "main") for e in stack)) != KEPT
         )
         if tag in INLINE and not excluded_inline:
             if tag == "br":
@@ -171,13 +254,17 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
                         break
                     if stack[depth].tag not in TEXT_BLOCKS:
                         break
+            if stack[-1].tag == "head" and tag != "template":
+                # its end tag may be left out
+                stack.pop()
             above = stack[-1]
-            inside = any(e.tag in ("article", "main") for e in stack)
+            says = doubt(tag, attributes, any(e.tag in ("article", "main") for e in stack))
             element = Element(
                 tag,
                 len(elements),
                 f"{above.path}/{tag}",
-                above.excluded or says_not_content(tag, attributes, inside),
+                says,
+                above.excluded or says == HIDDEN,
                 (*above.parents, len(elements)),
             )
             elements.append(element)
@@ -190,7 +277,9 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
     flush()
     for b in blocks:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
-    return [b for b in blocks if b.text], elements
+    blocks = [b for b in blocks if b.text]
+    settle(blocks, elements)
+    return blocks, elements
 
 
 def content_paths(blocks: list[Block]) -> set[str]:
