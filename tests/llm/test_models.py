@@ -145,6 +145,34 @@ def test_main_text(page):
     assert tag_paths.main_text(page) == PAGES[page]
 
 
+LONG = ("<p>" + "A long text, with many words in it. " * 8 + "</p>") * 7
+LONG_TEXT = "\n\n".join([("A long text, with many words in it. " * 8).strip()] * 7)
+TABLE = "<table><tr><th>Size<th>Price<tr><td>1<td>20</table><ul><li>red<li>blue</ul><div>Signed</div>"
+TABLE_TEXT = "Size\n\nPrice\n\n1\n\n20\n\nred\n\nblue\n\nSigned"
+MENU = "<div class=top><a href=1>One</a> <a href=2>Two</a></div>"
+WHOLE = {
+    f"<body>{MENU}<div class=post><p>The lead, short.</p><div class=body>{LONG}</div><p>The last one.</p></div>{MENU}":
+        f"The lead, short.\n\n{LONG_TEXT}\n\nThe last one.",
+    f"<body><div class=post><p>The lead, short.</p><div><p>Next, a bit.</p><div>{LONG}{LONG}</div></div></div>":
+        f"The lead, short.\n\nNext, a bit.\n\n{LONG_TEXT}\n\n{LONG_TEXT}",
+    f"<body>{MENU}<div class=post><h1><a href=x>Title</a></h1>{LONG}{TABLE}{LONG}{TABLE}</div>":
+        f"Title\n\n{LONG_TEXT}\n\n{TABLE_TEXT}\n\n{LONG_TEXT}\n\n{TABLE_TEXT}",
+    f"<body>{MENU}{LONG}{TABLE}": f"{LONG_TEXT}\n\n{TABLE_TEXT}",
+    f"<body><div class=post>{LONG}<ul><li><a href=1>Source one</a><li><a href=2>Source two</a></ul></div>":
+        f"{LONG_TEXT}\n\nSource one\n\nSource two",
+    f"<body><article>{LONG}{TABLE}</article><div class=more>{LONG}</div>": f"{LONG_TEXT}\n\n{TABLE_TEXT}",
+    # a teaser does not take the place of the text
+    f"<body><article><p>A teaser, short.</p></article><div class=post>{LONG}{TABLE}</div>":
+        f"A teaser, short.\n\n{LONG_TEXT}\n\n{TABLE_TEXT}",
+    "<body><p><a href=x>All is a link.</a></p><ul><li><a href=y>Menu</a></ul>": "All is a link.",
+}
+
+
+@pytest.mark.parametrize("page", WHOLE)
+def test_whole_articles(page):
+    assert tag_paths.main_text(page) == WHOLE[page]
+
+
 # wrappers that are named like a part of the page, or are a form
 WRAPPED = [
     "<div class='has-sidebar'>{}</div>", "<div class='layout with-sidebar'>{}</div>", "<div class='widget-content'>{}</div>",

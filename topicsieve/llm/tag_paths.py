@@ -3,8 +3,10 @@
 A page is read as a list of text blocks, each with the path of block-level tags from
 the root to it. Text length and punctuation are added up per path and divided by the
 number of its blocks; the two ratios are smoothed over neighbouring blocks, fused, and
-paths above a share of the best one are content. The content node is the innermost
-element that holds nearly all text of these paths; its blocks are the main text. Parts
+paths above a share of the best one are content. The content node is the page's article
+or, without one, the innermost element around all blocks of these paths; all blocks in it
+are the main text, but for lists of links around the text where the element is no more
+than the page or a layout. Parts
 that say what they are (menus, footers, adverts, comments, ...) do not take part, unless
 they hold the page's article or most of its text: a wrapper's name is evidence only.
 """
@@ -25,9 +27,9 @@ from topicsieve.llm.frames import slices
 
 #: A path is content if its fused ratio reaches this share of the page's best.
 CONTENT_SHARE = 0.15
-#: An element is entered if it holds this share of the content's text.
-INNER_SHARE = 0.9
-#: Paths with more than this share of their text in links are lists of links.
+#: One article of several is the page's own if it holds this share of the content's text.
+MAIN_ARTICLE_SHARE = 0.9
+#: Paths and blocks with more than this share of their text in links are lists of links.
 LINK_SHARE = 0.6
 #: An article is the page's own if it holds this share of the text.
 ARTICLE_SHARE = 0.25
@@ -45,6 +47,7 @@ INLINE = frozenset(
     "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd figcaption td th".split())
+PROSE = TEXT_BLOCKS - {"li", "td", "th"}
 CLOSED_BY_NEXT = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -109,6 +112,9 @@ class Block:
     link_chars: int = 0
     text: str = ""
 
+    def is_links(self) -> bool:
+        return self.link_chars > LINK_SHARE * len(self.text)
+
 
 def name_doubt(name: str, inside_article: bool) -> int:
     """What a class or an identifier says of its element."""
@@ -299,22 +305,37 @@ def content_paths(blocks: list[Block]) -> set[str]:
 
 
 def content_node(blocks: list[Block], elements: list[Element], paths: set[str]) -> int:
-    """Number of the innermost element with nearly all content; articles are not split."""
+    """Number of the page's article, or of the innermost element with all content."""
+    content = [b for b in blocks if b.element.path in paths and not b.is_links()] or blocks
     held = np.zeros(len(elements))
-    for b in blocks:
-        if b.element.path in paths:
-            held[list(b.element.parents)] += len(b.text)
+    for b in content:
+        held[list(b.element.parents)] += len(b.text)
+    articles = [
+        e.number
+        for e in elements
+        if e.tag in ("article", "main")
+        and held[e.number]
+        and not any(elements[n].tag in ("article", "main") for n in e.parents[:-1])
+    ]
+    least = ARTICLE_SHARE if len(articles) == 1 else MAIN_ARTICLE_SHARE
+    for number in articles:
+        if held[number] >= least * held[0]:
+            return number
     node = 0
-    for element in elements[1:]:
-        # elements come in page order, so an inner one follows the one around it
-        if elements[node].tag in ("article", "main"):
+    for step in zip(*(b.element.parents for b in content), strict=False):
+        if len(set(step)) > 1:
             break
-        inner = node in element.parents and element.tag not in TEXT_BLOCKS
-        if inner and not element.excluded and held[element.number] >= INNER_SHARE * held[0]:
-            node = element.number
+        if elements[step[0]].tag not in TEXT_BLOCKS:
+            node = step[0]
     return node
 
 
+def held_directly(element: Element, node: int, elements: list[Element]) -> bool:
+    """Whether only paragraphs, cells and the like are between an element and a node."""
+    below = element.parents[element.parents.index(node) + 1 :]
+    return all(elements[n].tag in TEXT_BLOCKS for n in below)
+
+
 def main_text(page: str) -> str:
     """The main text of a page: its blocks, an empty line between them."""
     blocks, elements = read_blocks(page)
@@ -323,15 +344,24 @@ def main_text(page: str) -> str:
         return ""
     paths = content_paths(blocks)
     node = content_node(blocks, elements, paths)
-    # headings and short paragraphs belong to the article around them
-    sure = elements[node].tag in ("article", "main")
-    chosen = [
-        b
-        for b in blocks
-        if node in b.element.parents
-        and (sure or b.element.path in paths or b.element.tag in TEXT_BLOCKS - {"li", "td", "th"})
-    ]
-    return "\n\n".join(b.text for b in chosen)
+    inner = [b for b in blocks if node in b.element.parents]
+    if not paths:
+        # nothing but links: headings and paragraphs
+        inner = [b for b in inner if b.element.tag in PROSE]
+    elif elements[node].tag not in ("article", "main"):
+        content = [i for i, b in enumerate(inner) if b.element.path in paths and not b.is_links()]
+        if elements[node].tag in ("#", "html", "body") or not any(
+            held_directly(inner[i].element, node, elements) for i in content
+        ):
+            # around the text itself, lists of links are the page's menus
+            inner = [
+                b
+                for i, b in enumerate(inner)
+                if b.element.tag in PROSE
+                or not b.is_links()
+                or (content and content[0] <= i <= content[-1])
+            ]
+    return "\n\n".join(b.text for b in inner)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
