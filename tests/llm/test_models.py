@@ -118,6 +118,25 @@ def test_fewer_candidates_than_asked_for(spark):
     assert hilbert.nearest(spark.createDataFrame([], VECTORS), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_wider_vectors_do_not_rule_out_the_others(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=6).tolist(), 1, "x") for i in range(60)]
+    wider = [(60, [float("nan")] * 9, 1, "x"), (61, [0.0] * 12, 1, "x"), (62, [1.0] * 6 + [None], 1, "x")]
+    # finite, but one row only, however often it is repeated
+    wider += [(80, [1.0] * 8, 1, "x")] * 100
+    want = brute_nearest(rows, 5)
+    got = {}
+    for r in hilbert.nearest(spark.createDataFrame(rows + wider, VECTORS), F.col("vec_id") % 20 == 0, 5).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    assert got == {q: {n: i for n, (_, i) in enumerate(near, 1)} for q, near in want.items()}
+
+
+def test_equal_widths_go_to_the_smaller(spark):
+    df = spark.createDataFrame([(i, [1.0, float(i)] + [1.0] * (i // 2), 1, "") for i in range(4)], VECTORS)
+    got = hilbert.nearest(df, F.col("vec_id") >= 0, 5).select("query_id", "vec_id").collect()
+    assert sorted(map(tuple, got)) == [(0, 1), (1, 0)]
+
+
 def test_hilbert_neighbours_touch():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = hilbert.hilbert_keys(cells, 3)

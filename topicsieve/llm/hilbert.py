@@ -75,12 +75,17 @@ def projections(index: Index, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(bases), rng.random((index.curves, n))
 
 
-def usable(vector: Column, width: Column) -> Column:
-    """Whether a vector has the given width, only finite components, and is not zero."""
+def usable(vector: Column) -> Column:
+    """Whether a vector has only finite components, and is not zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return (
-        vector.isNotNull() & (F.size(vector) == width) & finite & F.exists(vector, lambda x: x != 0)
-    )
+    return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
+
+
+def usual_width(vectors: DataFrame) -> int:
+    """The width that most identifiers have, the smaller one of equals; 0 without rows."""
+    widths = vectors.groupBy(F.size("vector").alias("w")).agg(F.count_distinct("vec_id").alias("n"))
+    usual = widths.orderBy(F.desc("n"), "w").first()
+    return usual["w"] if usual else 0
 
 
 def vector_classes(vectors: DataFrame, k: int) -> DataFrame:
@@ -241,12 +246,14 @@ def nearest(
     ``embeddings`` has ``vec_id`` and ``embedding``; other columns are not looked at.
     Returns ``query_id``, ``rank`` (from 1), ``vec_id`` and ``score``; equal scores rank
     by smaller identifier, and a row is no neighbour of itself. Rows without an
-    identifier, and vectors that are null, zero, of another width than the widest, or
-    hold null or non-finite components take no part. Repeated rows count once.
+    identifier, and vectors that are null, zero, or hold null or non-finite components
+    take no part, nor do those of another width than most of the others have. Repeated
+    rows count once.
     """
     given = embeddings.select("vec_id", F.col("embedding").alias("vector")).where("vec_id IS NOT NULL")
-    width = given.agg(F.max(F.size("vector")).alias("w")).first()["w"] or 0
-    vectors = stored(given.where(usable(F.col("vector"), F.lit(width))), "vectors")
+    fine = given.where(usable(F.col("vector")))
+    width = usual_width(fine)
+    vectors = stored(fine.where(F.size("vector") == width), "vectors")
     nodes = stored(vector_classes(vectors, k), "vector-classes")
     spark = embeddings.sparkSession
     if nodes.isEmpty():
