@@ -137,6 +137,28 @@ def test_equal_widths_go_to_the_smaller(spark):
     assert sorted(map(tuple, got)) == [(0, 1), (1, 0)]
 
 
+def test_masses_of_ties_in_a_block():
+    rng = np.random.default_rng(10)
+    block = rng.integers(0, 2, size=(900, 12)).astype(float)
+    nodes = rng.permutation(5000)[:900]
+    queries = rng.integers(0, 2, size=(40, 12)).astype(float)
+    for n in (1, 21, 880, 900):
+        found, scores = hilbert.best_of_block(queries, block, nodes, n)
+        for q, near, products in zip(queries, found, scores, strict=True):
+            want = sorted(zip(-(block @ q), nodes, strict=True))[:n]
+            assert [(-s, i) for s, i in zip(products, near, strict=True)] == want
+
+
+def test_masses_of_ties_go_to_smaller_identifiers(spark):
+    # all different, and each with the same product with all queries
+    rows = [(i, [1.0, float(i * 37 % 400 + 1) * (i % 20 != 0), 0.0], 1, "x") for i in range(400)]
+    df = spark.createDataFrame(rows, VECTORS)
+    got = {}
+    for r in hilbert.nearest(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [i for i in range(21) if i != q][:20] for q in range(0, 400, 20)}
+
+
 def test_hilbert_neighbours_touch():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = hilbert.hilbert_keys(cells, 3)

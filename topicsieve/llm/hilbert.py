@@ -140,7 +140,10 @@ def curve_keys(nodes: DataFrame, index: Index) -> DataFrame:
 def best_of_block(
     queries: np.ndarray, block: np.ndarray, nodes: np.ndarray, n: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The ``n`` best nodes of a block for each query, and their inner products."""
+    """The ``n`` best nodes of a block for each query, and their inner products.
+
+    Of equal products, those of smaller nodes are best, however many there are.
+    """
     near = queries @ block.T
     n = min(n, len(block))
     # some more than needed, as rounding in the product depends on its shape
@@ -149,10 +152,18 @@ def best_of_block(
     # summed in the same order wherever a pair meets
     exact = (queries[:, None, :] * block[chosen]).sum(2)
     order = np.lexsort((nodes[chosen], -exact), axis=1)[:, :n]
-    return (
-        np.take_along_axis(nodes[chosen], order, 1),
-        np.take_along_axis(exact, order, 1),
-    )
+    best = np.take_along_axis(nodes[chosen], order, 1)
+    scores = np.take_along_axis(exact, order, 1)
+    # where the last one chosen may equal the last one needed, others may as well
+    top = -np.sort(-np.take_along_axis(near, chosen, 1), axis=1)
+    sizes = np.linalg.norm(queries, axis=1) * np.linalg.norm(block, axis=1).max()
+    limits = top[:, n - 1] - 4 * block.shape[1] * np.finfo(float).eps * sizes
+    for i in np.flatnonzero(top[:, -1] >= limits) if some < len(block) else ():
+        tied = np.flatnonzero(near[i] >= limits[i])
+        exact = (queries[i] * block[tied]).sum(1)
+        order = np.lexsort((nodes[tied], -exact))[:n]
+        best[i], scores[i] = nodes[tied][order], exact[order]
+    return best, scores
 
 
 def block_finds(together: DataFrame, dtype: str, n: int) -> DataFrame:
