@@ -158,6 +158,27 @@ def test_elias_fano(values):
     assert [back.select(i) for i in range(len(values))] == values
 
 
+@pytest.mark.parametrize("values", [[5, 5, 9, 1000, 10**12], list(range(0, 5000, 3)), [7] * 900, [*range(600), *range(10**6, 10**6 + 500)]])
+def test_elias_fano_runs(values):
+    packed = token_files.EliasFano.of(np.array(values, np.int64))
+    n = len(values)
+    for first in {0, 1, 200, 255, 256, 257, 511, 512, n - 1}:
+        for count in (0, 1, 2, 255, 256, 257, 512, n):
+            if first + count <= n:
+                assert packed.select_run(first, count).tolist() == values[first : first + count]
+
+
+def test_reading_selects(monkeypatch):
+    docs = [None] * 300 + list(range(5, 1500, 2))
+    ids = [np.arange(i % 7, dtype="<u4").tobytes() for i in range(len(docs))]
+    shard = token_files.Shard.read(token_files.shard_image(docs, ids, 0))
+    monkeypatch.delattr(token_files.EliasFano, "all")
+    for i, count in ((0, 10), (290, 20), (299, 1), (300, 512), (0, len(docs)), (len(docs), 0)):
+        assert shard.doc_ids(i, count) == docs[i : i + count]
+        bounds = shard.bounds(i, count)
+        assert [shard.tokens[a:b].astype("<u4").tobytes() for a, b in zip(bounds, bounds[1:])] == ids[i : i + count]
+
+
 def test_elias_fano_is_small():
     rng = np.random.default_rng(1)
     ends = np.cumsum(rng.integers(1, 2000, 10_000))

@@ -114,6 +114,19 @@ class EliasFano:
                 return (high << self.low_bits) | int(self._low(i, 1)[0])
             byte, ones, skip = byte + SAMPLE, ones - len(set_places), 0
 
+    def select_run(self, first: int, count: int) -> np.ndarray:
+        """Values ``first`` to ``first + count - 1``, between the sampled places around them."""
+        if count <= 0:
+            return np.zeros(0, np.int64)
+        place, after = int(self.samples[first // SAMPLE]), -(-(first + count) // SAMPLE)
+        byte = place // 8
+        last = (int(self.samples[after]) + 7) // 8 if after < len(self.samples) else len(self.high)
+        bits = np.unpackbits(self.high[byte:last], bitorder="little")
+        bits[: place % 8] = 0
+        places = np.flatnonzero(bits)[first % SAMPLE :][:count] + byte * 8
+        high = (places - np.arange(first, first + count)).astype(np.uint64) << np.uint64(self.low_bits)
+        return (high | self._low(first, count)).astype(np.int64)
+
     def all(self) -> np.ndarray:
         """All values in order."""
         places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
@@ -161,8 +174,17 @@ class Shard:
         start = self.ends.select(i - 1) if i else 0
         return self.tokens[start : self.ends.select(i)]
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.n_null + (self.known.all() + self.smallest).tolist()
+    def bounds(self, i: int, count: int) -> np.ndarray:
+        """Where ``count`` documents from ``i`` on start, and the last one of them ends."""
+        if i:
+            return self.ends.select_run(i - 1, count + 1)
+        return np.concatenate([np.zeros(1, np.int64), self.ends.select_run(0, count)])
+
+    def doc_ids(self, i: int, count: int) -> list[int | None]:
+        """Identifiers of ``count`` documents from ``i`` on."""
+        nulls = min(max(0, self.n_null - i), count)
+        first = max(0, i - self.n_null)
+        return [None] * nulls + (self.known.select_run(first, count - nulls) + self.smallest).tolist()
 
 
 def write_token_shards(
@@ -234,21 +256,20 @@ def read_token_shards(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for part_start, image in zip(batch["part_start"], batch["image"], strict=True):
                 shard = Shard.read(image.as_py())
-                ends = shard.ends.all()
-                begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                # the ids of a few documents at a time, at four bytes each
-                doc_ids = shard.doc_ids()
-                for i in range(0, len(ends), 512):
-                    some = slice(i, i + 512)
+                # a few documents at a time, their ids at four bytes each
+                for i in range(0, shard.ends.n, 512):
+                    count = min(512, shard.ends.n - i)
+                    bounds = shard.bounds(i, count)
+                    begins, ends = bounds[:-1], bounds[1:]
                     ids = [
                         shard.tokens[a:b].astype("<u4").tobytes()
-                        for a, b in zip(begins[some], ends[some], strict=True)
+                        for a, b in zip(begins, ends, strict=True)
                     ]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(doc_ids[some], pa.int64()),
-                            pa.array(begins[some] + shard.first_token + part_start.as_py()),
-                            pa.array(ends[some] - begins[some]),
+                            pa.array(shard.doc_ids(i, count), pa.int64()),
+                            pa.array(begins + shard.first_token + part_start.as_py()),
+                            pa.array(ends - begins),
                             pa.array(ids, pa.binary()),
                         ],
                         ["doc_id", "start", "n_tokens", "ids"],
