@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicsieve.llm import bpe, chat, exact_dedup, hilbert, line_dedup, near_dedup, packing, quality, tag_paths, token_files
+from topicsieve.llm import (
+    bpe, chat, exact_dedup, fill_in_middle, hilbert, line_dedup, merkle, near_dedup, packing, quality, tag_paths,
+    token_files,
+)
 from topicsieve.llm.frames import documents, table, tokenizer
 from topicsieve.session import scratch_path
 
@@ -103,11 +106,48 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), rule)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(documents(spark, sf_dir))
+    back = fill_in_middle.restored(F.col("text"), F.col("form"))
+    return made.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("text").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all rows, and what becomes of a seventh of them if tampered with."""
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    added = [*fields[:3], fields[3] + 1, fields[4]]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    leaves = documents(spark, sf_dir).select(
+        "doc_id",
+        "lang",
+        merkle.leaf(*fields).alias("leaf"),
+        F.when(chosen, merkle.leaf(*added)).alias("tampered"),
+    )
+    proven = merkle.manifest(leaves, "lang", ["doc_id"], "leaf")
+    given = proven.withColumn("given", F.coalesce("tampered", "leaf"))
+    return given.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.col("given"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_bpe, op3_best_fit_packing, op4_quality_classifier, op5_exact_dedup,
         op6_hilbert_search, op7_line_dedup, op8_token_files, op9_html_main_text,
-        op10_minhash_near_dedup,
+        op10_minhash_near_dedup, op11_fill_in_middle, op12_merkle_manifest,
     )
 }
