@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import public_tokenizers
 import pyarrow as pa
@@ -32,13 +34,53 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+#: Folders that the innermost open ``scratch`` has to free, with a table's name if any.
+_made: ContextVar[dict[str, str | None] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Free the tables stored within at the end.
+
+    ``with scratch(spark) as keep: ... result = keep(df, label)`` stores ``df`` for the
+    scratch around, if any. Frames that read freed tables cannot be used any more.
+    """
+    made: dict[str, str | None] = {}
+    token = _made.set(made)
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        inner = _made.set(token.old_value if token.old_value is not token.MISSING else None)
+        try:
+            return stored(df, label)
+        finally:
+            _made.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        _made.reset(token)
+        for path, name in made.items():
+            if name:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _noted(path: str, name: str | None = None) -> str:
+    """``path``, which the innermost open ``scratch`` frees."""
+    made = _made.get()
+    if made is not None:
+        made[path] = name
+    return path
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as a table below the shared scratch folder and read back.
 
     Cuts the lineage like a checkpoint, survives the loss of any executor, and
     gives later joins plain scans, whose skewed partitions Spark can split.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = _noted(scratch_path(df.sparkSession, label))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -46,13 +88,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def bucketed(df: DataFrame, key: str) -> DataFrame:
     """``df`` stored in buckets of ``key``, so that joins on it do not shuffle it again.
 
-    The files are below the shared scratch folder; the catalog entry is the session's.
+    The files are below the shared scratch folder; a surrounding ``scratch`` frees them
+    and the catalog entry. ``df`` should come dealt by ``key``, or each task writes to
+    every bucket.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "buckets")
     name = "buckets_" + path.rpartition("-")[2]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(n, key).option("path", path).saveAsTable(name)
+    df.write.bucketBy(n, key).option("path", _noted(path, name)).saveAsTable(name)
     return spark.table(name)
 
 

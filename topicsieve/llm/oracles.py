@@ -60,7 +60,7 @@ FROM marked
 GROUP BY doc_id
 """
 
-OP10 = r"""
+COMPONENTS = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -79,7 +79,7 @@ WITH RECURSIVE words AS (
     SELECT a.doc_id AS a, b.doc_id AS b
     FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
     GROUP BY a.doc_id, b.doc_id, a.n, b.n
-    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    HAVING 100 * count(*) >= PERCENT * (a.n + b.n - count(*))
 ), arcs AS (
     SELECT a, b FROM links UNION ALL SELECT b, a FROM links
 ), reached AS (
@@ -87,10 +87,12 @@ WITH RECURSIVE words AS (
     UNION
     SELECT reached.a, arcs.b FROM reached JOIN arcs ON reached.b = arcs.a
 )
-SELECT doc_id, any_value(len(s)) AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
+SELECT doc_id, any_value(len(s)) AS n_shingles, min(b) AS component_idKEPT
 FROM sets JOIN reached ON sets.doc_id = reached.a
 GROUP BY doc_id
 """
+OP10 = COMPONENTS.replace("PERCENT", "85").replace("KEPT", ", doc_id = min(b) AS kept")
+OP13 = COMPONENTS.replace("PERCENT", "80").replace("KEPT", "")
 
 OP11 = r"""
 WITH tokens AS (
@@ -200,4 +202,5 @@ FROM refolded
 ORACLES = {
     "op1_chat_format": OP1, "op5_exact_dedup": OP5, "op7_line_dedup": OP7, "op10_minhash_near_dedup": OP10,
     "op11_fill_in_middle": OP11, "op12_merkle_manifest": OP12,
+    "op13_ngram_join": OP13,
 }

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicsieve.llm import (
-    bpe, chat, exact_dedup, fill_in_middle, hilbert, line_dedup, merkle, near_dedup, packing, quality, tag_paths,
-    token_files,
+    bpe, chat, exact_dedup, fill_in_middle, hilbert, line_dedup, merkle, near_dedup, packing, prefix_join,
+    quality, tag_paths, token_files,
 )
 from topicsieve.llm.frames import documents, table, tokenizer
 from topicsieve.session import scratch_path
@@ -143,11 +143,15 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_join.similar_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_bpe, op3_best_fit_packing, op4_quality_classifier, op5_exact_dedup,
         op6_hilbert_search, op7_line_dedup, op8_token_files, op9_html_main_text,
-        op10_minhash_near_dedup, op11_fill_in_middle, op12_merkle_manifest,
+        op10_minhash_near_dedup, op11_fill_in_middle, op12_merkle_manifest, op13_ngram_join,
     )
 }
