@@ -57,10 +57,11 @@ def numbered(nodes: DataFrame, order: Sequence[str]) -> DataFrame:
     spark = nodes.sparkSession
     keys = [F.col(c).asc_nulls_first() for c in ("tree", *order)]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the number of a partition above 33 bits, of a row in it below; stored, so that
-    # nothing is numbered twice
+    # stored first, as the sampling of range bounds would read the texts twice; the number
+    # of a partition is above 33 bits, of a row in it below
     ranged = stored(
-        nodes.repartitionByRange(parts, *keys)
+        stored(nodes, "nodes")
+        .repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id()),
         "ranged-nodes",
