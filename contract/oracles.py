@@ -314,18 +314,39 @@ ingested AS (
   SELECT *, 'PAPER_' || (2000 + row_number() OVER (ORDER BY source_path)) AS new_id,
          {sql.keyword_score("lower(CASE WHEN text = '' THEN title ELSE text END)", TOPIC_A['axes'])} AS keyword
   FROM numbered)"""
-ORACLES["import_batch"] = query(
-    _INGESTED
-    + f""",
-spoken AS (SELECT new_id, CASE WHEN text = '' THEN title ELSE text END AS said FROM ingested),
-{hashed("ih", "spoken", "new_id", "said")},
-iq AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = {sql.QUERY_VECTOR_ID['a']}),
+
+
+def _imported(topic: str) -> str:
+    """CTEs ending in ``arrived``: imported files with their scores by the vocabulary of the documents."""
+    features = f"""said AS (SELECT *, CASE WHEN text = '' THEN title ELSE text END AS said FROM ingested),
+{sql.query_weights(topic)},
+{sql.grams("ig", "said", "said", "new_id")},
+itf AS (SELECT new_id, term, count(*) AS tf FROM ig GROUP BY new_id, term),
+idots AS (SELECT itf.new_id, sum(itf.tf * v.idf * coalesce(qw.w, 0)) AS dot,
+                 sqrt(sum((itf.tf * v.idf) * (itf.tf * v.idf))) AS dn
+          FROM itf JOIN vocab v USING (term) LEFT JOIN qw USING (term) GROUP BY itf.new_id),
+{hashed("ih", "said", "new_id", "said")},
+iq AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = {sql.QUERY_VECTOR_ID[topic]}),
 isim AS (SELECT new_id, (sum(x * q[i + 1]) / (sqrt(sum(x * x)) * sqrt(any_value(list_inner_product(q, q)))) + 1.0) / 2.0 AS sb
-         FROM ih, iq GROUP BY new_id)""",
+         FROM ih, iq GROUP BY new_id),
+featured AS (SELECT said.*, keyword AS kw, coalesce(dot / dn / qn, 0.0) AS tf, sb
+             FROM said JOIN isim USING (new_id) LEFT JOIN idots USING (new_id) CROSS JOIN qn)"""
+    return f"""{_INGESTED},
+{sql.VOCABULARY},
+{features},
+{sql.mixed("arrived", "featured", topic, "year")}"""
+
+
+ORACLES["import_batch"] = query(
+    _imported("a"),
     f"""SELECT new_id AS paper_id, split_part(source_path, '/', 2) AS filename, title, year, abstract,
-              NULL::VARCHAR AS parse_error, keyword, {round4('sb')} AS sbert, 'uploads/' || new_id || '.pdf' AS minio_key
-       FROM ingested JOIN isim USING (new_id)""",
+              NULL::VARCHAR AS parse_error, {BREAKDOWN}, score_final, decision, tier,
+              'uploads/' || new_id || '.pdf' AS minio_key, 'tiers/' || tier || '/' || new_id || '.pdf' AS tier_minio_key,
+              md5(body) AS stored_digest, md5(body) AS placed_digest
+       FROM arrived JOIN (SELECT doc_id, substr(full_text, 1, length(full_text) - 1) AS body FROM pages_text) USING (doc_id)""",
 )
+# the numbers go on where the corpus ends
+_ARRIVED = _imported("a").replace("(2000 + row_number()", "((SELECT max(doc_id) + 1 FROM documents) + row_number()")
 # --- Keyword features --------------------------------------------------------
 
 ORACLES["keyword_hits"] = query(
@@ -447,7 +468,7 @@ ORACLES["embed_documents"] = query(
     hashed("h", "documents", "doc_id", "text"),
     f"SELECT doc_id, 64 AS dims, {_checksum('sum(x * (i + 1))')} AS checksum FROM h GROUP BY doc_id",
 )
-ORACLES["vector_score"] = query(sql.vectors("a"), f"SELECT doc_id AS vec_id, {round4('sbert')} AS sbert FROM sim")
+ORACLES["vector_score"] = query(sql.stored_vectors("a"), f"SELECT doc_id AS vec_id, {round4('sbert')} AS sbert FROM stored_sim")
 _STORED_SUM = (
     "SELECT vec_id AS doc_id, sum(CAST(x AS DOUBLE) * i) AS total FROM "
     "(SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY vec_id"
@@ -685,18 +706,78 @@ def _two(col: str) -> str:
 
 
 _PROMPT = (
-    f"'Topic: {TOPICS['a']['topic_name']}' || {NL} || 'Title: ' || coalesce(title, '') || {NL} || 'Abstract: ' || "
+    f"'Topic: TOPIC_NAME' || {NL} || 'Title: ' || coalesce(title, '') || {NL} || 'Abstract: ' || "
     f"substr(coalesce(nullif(abstract, ''), '(no abstract available)'), 1, 1200) || {NL} || 'Scores: keyword ' || "
     f"{_two('keyword')} || ', tfidf ' || {_two('tfidf')} || ', embedding ' || {_two('sbert')} || ', weighted ' || "
     f"{_two('weighted')} || {NL} || 'Decision: ' || decision || ' (score ' || score_final || ' of 5)' || {NL} || "
     "'Why does this decision fit the paper and the topic?'"
 )
-ORACLES["build_prompt"] = query(SCORED_A, f"SELECT paper_id, {_PROMPT} AS prompt FROM s")
-_SYSTEM_LENGTH = len(SYSTEM_PROMPT)
+
+
+def prompt(topic: str) -> str:
+    return _PROMPT.replace("TOPIC_NAME", TOPICS[topic]["topic_name"])
+
+
+def justification(topic: str) -> str:
+    told = f"'Read 2 messages of ' || ({len(SYSTEM_PROMPT)} + length({prompt(topic)})) || ' characters, last: "
+    return strip(told + f"Topic: {TOPICS[topic]['topic_name']}'")
+
+
+ORACLES["build_prompt"] = query(SCORED_A, f"SELECT paper_id, {prompt('a')} AS prompt FROM s")
 ORACLES["justify_batch"] = query(
     SCORED_A,
-    f"""SELECT paper_id, CASE WHEN score_final >= 4 THEN {strip(f"'Read 2 messages of ' || ({_SYSTEM_LENGTH} + length({_PROMPT})) || ' characters, last: Topic: {TOPICS['a']['topic_name']}'")} END AS justification
-        FROM s""",
+    f"SELECT paper_id, CASE WHEN score_final >= 4 THEN {justification('a')} END AS justification FROM s",
+)
+ORACLES["import_justified"] = query(
+    _ARRIVED,
+    f"""SELECT new_id AS paper_id, split_part(source_path, '/', 2) AS filename, {BREAKDOWN}, score_final,
+               {justification('a')} AS justification,
+               (SELECT n FROM n) + (SELECT count(*) FROM arrived) AS corpus_texts
+        FROM arrived""",
+)
+ORACLES["import_limited"] = query(
+    _ARRIVED,
+    """SELECT new_id AS paper_id, split_part(source_path, '/', 2) AS filename, tier, NULL::VARCHAR AS justification
+       FROM arrived ORDER BY source_path LIMIT 50""",
+)
+# a paper whose source file is not there cannot be moved and keeps its place
+_MOVED = "CASE WHEN s.doc_id % 3 <> 0 AND s.minio_key IS NOT NULL THEN 'tiers/' || b.tier || '/' || s.paper_id || '.pdf' ELSE s.tier_minio_key END"
+ORACLES["rescore_job"] = query(
+    TWO + f""",
+told AS (SELECT b.*, {_MOVED} AS moved_key FROM s JOIN b USING (paper_id)),
+spoken AS (SELECT *, {justification('b')} AS said FROM told)""",
+    f"""SELECT mode, paper_id, {BREAKDOWN}, score_final, moved_key AS tier_minio_key,
+               split_part(moved_key, '/', 2) AS placed_in,
+               CASE WHEN mode = 'all' OR (mode = 'gold_only' AND score_final >= 4) THEN said END AS justification
+        FROM spoken, (VALUES ('none'), ('gold_only'), ('all')) m(mode)""",
+)
+_EXTRACTED = f"""{PAPERS},
+{_REEXTRACT},
+found AS (SELECT doc_id, title, abstract, year, {_COMPOSED} AS text FROM meta WHERE doc_id % 3 <> 0 AND doc_id % 5 <> 0),
+fresh AS (
+  SELECT p.doc_id, p.paper_id, f.doc_id IS NOT NULL AS ok,
+         CASE WHEN f.doc_id IS NULL THEN p.title ELSE f.title END AS title,
+         CASE WHEN f.doc_id IS NULL THEN p.year ELSE f.year END AS year,
+         CASE WHEN f.doc_id IS NULL THEN p.text ELSE f.text END AS text
+  FROM papers p LEFT JOIN found f USING (doc_id)),
+said AS (SELECT *, CASE WHEN coalesce(text, '') = '' THEN title ELSE text END AS said FROM fresh),
+renewed AS (SELECT doc_id, said FROM said WHERE ok OR doc_id NOT IN (SELECT vec_id FROM embeddings)),
+{hashed("h", "renewed", "doc_id", "said")},
+fr AS ({_FRESH_SUM}),
+st AS ({_STORED_SUM}),
+{sql.stored_vectors("b")},
+fresh_sim AS (SELECT doc_id, (sum(x * q[i + 1]) / (sqrt(sum(x * x)) * sqrt(any_value(list_inner_product(q, q)))) + 1.0) / 2.0 AS sbert
+              FROM h, qv GROUP BY doc_id),
+tf_scores AS (WITH documents AS (SELECT doc_id, said AS text FROM said), {sql.tfidf("b")} SELECT doc_id, tfidf FROM tfidf),
+featured AS (
+  SELECT said.*, {sql.keyword_score("lower(said)", TOPIC_B["axes"])} AS kw, t.tfidf AS tf, coalesce(n.sbert, o.sbert) AS sb
+  FROM said JOIN tf_scores t USING (doc_id) LEFT JOIN fresh_sim n USING (doc_id) LEFT JOIN stored_sim o USING (doc_id)),
+{sql.mixed("rescored", "featured", "b", "year")}"""
+ORACLES["rescore_job_reextract"] = query(
+    _EXTRACTED,
+    f"""SELECT paper_id, title, year, md5(text) AS text_digest, {_checksum("coalesce(fr.total, st.total)")} AS checksum,
+               {BREAKDOWN}, score_final
+        FROM rescored LEFT JOIN fr USING (doc_id) LEFT JOIN st USING (doc_id)""",
 )
 ORACLES["generation_ms"] = """
 SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(floor(value * 10000000.0::DOUBLE) AS BIGINT) // 1000000 ELSE 0 END AS ms

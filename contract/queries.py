@@ -25,9 +25,10 @@ from topicsieve.operators import (
     topics,
     vocabulary,
 )
-from topicsieve.plans import ingest, rescore
+from topicsieve.plans import import_job, ingest, rescore, rescore_job
 from topicsieve.session import scratch_path, spread
 from topicsieve.sources import files, tables
+from topicsieve.sources.commits import Versions
 from topicsieve.streaming import ingest as stream_ingest
 from topicsieve.streaming import progress
 from topicsieve.streaming.store import Store
@@ -125,13 +126,113 @@ def validate_upload(spark, sf_dir):
 def import_batch(spark, sf_dir):
     topic = load_topic(spark, sf_dir, "a")
     fitted = rescore.fit_corpus(spread(views.papers(spark, sf_dir)))
-    rows = ingest.import_batch(spark, inbox(spark, sf_dir), topic, fitted, 2000, embedder=EMBEDDER)
-    return rows.select(
+    objects, path = scratch_path(spark, "objects"), scratch_path(spark, "imported")
+    rows = ingest.import_batch(
+        spark, inbox(spark, sf_dir), topic, fitted, 2000, embedder=EMBEDDER, objects=objects
+    )
+    rows.write.parquet(path)  # the files are copied once
+    stored = files.read_binary(spark, objects, None)
+    copies = [
+        stored.where(F.col("path").contains(f"/{folder}/")).select(
+            F.regexp_extract("path", f"/({folder}/.*)$", 1).alias(key), F.md5("content").alias(digest)
+        )
+        for folder, key, digest in (("uploads", "minio_key", "stored_digest"), ("tiers", "tier_minio_key", "placed_digest"))
+    ]
+    joined = spark.read.parquet(path).join(copies[0], "minio_key", "left").join(copies[1], "tier_minio_key", "left")
+    return joined.select(
         "paper_id", file_name("source_path").alias("filename"), "title", "year", "abstract", "parse_error",
-        F.col("score_breakdown.keyword").alias("keyword"), F.col("score_breakdown.sbert").alias("sbert"), "minio_key",
+        *breakdown(), "score_final", "decision", "tier", "minio_key", "tier_minio_key", "stored_digest", "placed_digest",
+    )
+
+
+def stored_corpus(spark, sf_dir, objects: str) -> Versions:
+    """The papers as a corpus, scored by topic A; two source files in three are there."""
+    texts = views.corpus(spark, sf_dir).select("paper_id", "text", "embedding")
+    scored = views.snapshot(spark, sf_dir, "a").join(texts, "paper_id")
+    sources = views.page_texts(spark, sf_dir).where("doc_id % 3 != 0 AND doc_id % 5 != 0")
+    files.write_files(
+        sources.select(
+            scoring.object_key(F.col("paper_id")).alias("name"), F.encode("full_text", "UTF-8").alias("content")
+        ),
+        objects,
+    )
+    corpus = Versions(scratch_path(spark, "corpus"))
+    rescore_job.create_corpus(spark, corpus, scored.withColumn("justification", F.lit(None).cast("string")))
+    return corpus
+
+
+def versioned_rescore(spark, sf_dir) -> DataFrame:
+    """A corpus is rescored by topic B three times, each time with another choice of justifications."""
+    objects = scratch_path(spark, "objects")
+    corpus = stored_corpus(spark, sf_dir, objects)
+    topic = load_topic(spark, sf_dir, "b")
+    shown = []
+    for mode in ("none", "gold_only", "all"):
+        what = rescore_job.Rescore(topic, justify=mode, generator=GENERATOR, objects=objects, embedder=EMBEDDER)
+        version = rescore_job.rescore_job(spark, corpus, f"rescore-{mode}", what)
+        papers = corpus.read(spark, "papers", version)
+        placed = tables.read_placement(
+            spark, corpus.read(spark, "placement", version), "paper_id string"
+        ).withColumnRenamed("tier", "placed_in")
+        shown.append(
+            papers.join(placed, "paper_id", "left").select(
+                F.lit(mode).alias("mode"), "paper_id", *breakdown(), "score_final", "tier_minio_key", "placed_in",
+                "justification",
+            )
+        )
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
+
+
+QUERIES["rescore_job"] = versioned_rescore
+
+
+@query
+def rescore_job_reextract(spark, sf_dir):
+    """A corpus is extracted again from its source files and rescored by topic B."""
+    objects = scratch_path(spark, "objects")
+    corpus = stored_corpus(spark, sf_dir, objects)
+    topic = load_topic(spark, sf_dir, "b")
+    # the statistics of the old texts, so that what changes has to be taken out of them
+    plain = rescore_job.Rescore(topic, embedder=EMBEDDER)
+    rescore_job.rescore_job(spark, corpus, "rescore", plain)
+    what = rescore_job.Rescore(topic, reextract=True, objects=objects, embedder=EMBEDDER)
+    version = rescore_job.rescore_job(spark, corpus, "reextract", what)
+    return corpus.read(spark, "papers", version).select(
+        "paper_id", "title", "year", F.md5("text").alias("text_digest"), checksum("embedding").alias("checksum"),
+        *breakdown(), "score_final",
     )
 
 
+def imported(spark, sf_dir, what: Callable[[str], import_job.Import]) -> tuple[Versions, DataFrame]:
+    """Files are imported into a corpus; the corpus, and its papers that came in."""
+    objects = scratch_path(spark, "objects")
+    corpus = stored_corpus(spark, sf_dir, objects)
+    before = corpus.read(spark, "papers").select("paper_id")
+    version = import_job.import_job(spark, corpus, inbox(spark, sf_dir), "import", what(objects))
+    return corpus, corpus.read(spark, "papers", version).join(before, "paper_id", "left_anti")
+
+
+@query
+def import_justified(spark, sf_dir):
+    """All files are imported into a corpus, and justified."""
+    topic = load_topic(spark, sf_dir, "a")
+    corpus, new = imported(
+        spark, sf_dir, lambda o: import_job.Import(topic, o, justify="auto", generator=GENERATOR, embedder=EMBEDDER)
+    )
+    fitted = corpus.read(spark, "statistics").where(F.col("term") == "").select("df")
+    return new.select(
+        "paper_id", file_name("source_path").alias("filename"), *breakdown(), "score_final", "justification"
+    ).crossJoin(F.broadcast(fitted.withColumnRenamed("df", "corpus_texts")))
+
+
+@query
+def import_limited(spark, sf_dir):
+    """The first files of a folder, as many as asked for."""
+    topic = load_topic(spark, sf_dir, "a")
+    _, new = imported(spark, sf_dir, lambda o: import_job.Import(topic, o, limit=50, embedder=EMBEDDER))
+    return new.select("paper_id", file_name("source_path").alias("filename"), "tier", "justification")
+
+
 @query
 def append_rows(spark, sf_dir):
     path = scratch_path(spark, "append")
@@ -484,7 +585,7 @@ def incremental_vs_refit(spark, sf_dir):
     new = docs.where(F.col("doc_id") % 2 == 1)
 
     before = vocabulary.stored_statistics(vocabulary.term_statistics(old))
-    first = vocabulary.vocabulary_from_statistics(before)
+    first = vocabulary.vocabulary_from_statistics(before, is_stored=True)
     both = vocabulary.merge_statistics(before, vocabulary.term_statistics(new))
     second = vocabulary.vocabulary_from_statistics(both)
     scored = similarity.with_tfidf_scores(

@@ -64,17 +64,25 @@ vocab AS (SELECT term, df, cf, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0
 )
 
 
+def query_weights(topic: str) -> str:
+    """CTEs ending in ``qw`` and ``qn``: the query's term weights and their norm, given ``vocab``."""
+    query = quote(TOPICS[topic]["query_text"])
+    return (
+        grams("qg", f"(SELECT {query} AS text, 0 AS doc_id)")
+        + """,
+qw AS (SELECT v.term, q.tf * v.idf AS w
+       FROM (SELECT term, count(*) AS tf FROM qg GROUP BY term) q JOIN vocab v USING (term)),
+qn AS (SELECT sqrt(sum(w * w)) AS qn FROM qw)"""
+    )
+
+
 def tfidf(topic: str) -> str:
     """CTE chain ending in ``tfidf`` (doc_id, tfidf) for every document."""
-    query = quote(TOPICS[topic]["query_text"])
     return (
         VOCABULARY
         + ",\n"
-        + grams("qg", f"(SELECT {query} AS text, 0 AS doc_id)")
+        + query_weights(topic)
         + """,
-qw AS (SELECT v.term, q.tf * v.idf AS w
-       FROM (SELECT term, count(*) AS tf FROM qg GROUP BY term) q JOIN vocab v USING (term)),
-qn AS (SELECT sqrt(sum(w * w)) AS qn FROM qw),
 dots AS (SELECT tf.doc_id, sum(tf.tf * v.idf * coalesce(qw.w, 0)) AS dot,
                 sqrt(sum((tf.tf * v.idf) * (tf.tf * v.idf))) AS dn
          FROM tf JOIN vocab v USING (term) LEFT JOIN qw USING (term) GROUP BY tf.doc_id),
@@ -120,17 +128,23 @@ def hashed(name: str, source: str, key: str, text: str, dims: int = 64) -> str:
   SELECT {key}, 0, 1.0 FROM {source} LEFT JOIN {name}_n USING ({key}) WHERE coalesce(norm, 0) = 0)"""
 
 
+def stored_vectors(topic: str) -> str:
+    """CTEs ``qv`` and ``stored_sim`` (doc_id, sbert) of the vectors that are given."""
+    return f"""qv AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = {QUERY_VECTOR_ID[topic]}),
+stored_sim AS (SELECT e.vec_id AS doc_id,
+               (list_inner_product(CAST(e.embedding AS DOUBLE[]), q)
+                / (sqrt(list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))
+                   * sqrt(list_inner_product(q, q))) + 1.0) / 2.0 AS sbert
+        FROM embeddings e, qv)"""
+
+
 def vectors(topic: str) -> str:
     """CTEs ending in ``sim`` (doc_id, sbert); documents without a vector get a hashed one."""
-    return f"""qv AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = {QUERY_VECTOR_ID[topic]}),
+    return f"""{stored_vectors(topic)},
 gaps AS (SELECT doc_id, text FROM documents WHERE coalesce(text, '') <> ''
          AND doc_id NOT IN (SELECT vec_id FROM embeddings WHERE embedding IS NOT NULL)),
 {hashed("bf", "gaps", "doc_id", "text")},
-sim AS (SELECT e.vec_id AS doc_id,
-               (list_inner_product(CAST(e.embedding AS DOUBLE[]), q)
-                / (sqrt(list_inner_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))
-                   * sqrt(list_inner_product(q, q))) + 1.0) / 2.0 AS sbert
-        FROM embeddings e, qv
+sim AS (SELECT * FROM stored_sim
         UNION ALL
         SELECT doc_id, (sum(x * q[i + 1]) / (sqrt(sum(x * x)) * sqrt(any_value(list_inner_product(q, q)))) + 1.0) / 2.0
         FROM bf, qv GROUP BY doc_id)"""
@@ -158,9 +172,19 @@ def tier(score: str) -> str:
     )
 
 
+def mixed(name: str, source: str, topic: str, year: str) -> str:
+    """CTE ``name``: rows of ``source`` (with kw, tf and sb) with their scores and decisions."""
+    w = {k: float(TOPICS[topic]["weights"].get(k, d)) for k, d in DEFAULT_WEIGHTS.items()}
+    return f"""{name}_w AS (
+  SELECT *, {round4('kw')} AS keyword, {round4('tf')} AS tfidf, {round4('sb')} AS sbert,
+         {round4(f'kw * {w["keyword"]}::DOUBLE + tf * {w["tfidf"]}::DOUBLE + sb * {w["sbert"]}::DOUBLE')} AS weighted
+  FROM {source}),
+{name}_d AS (SELECT *, {decide('weighted', year, topic)} AS score_final FROM {name}_w),
+{name} AS (SELECT *, {label('score_final')} AS decision, {tier('score_final')} AS tier FROM {name}_d)"""
+
+
 def scored_from(name: str, topic: str, text_features: str) -> str:
     """CTE ``name``: papers with features mixed, given a ``tfidf`` CTE."""
-    w = {k: float(TOPICS[topic]["weights"].get(k, d)) for k, d in DEFAULT_WEIGHTS.items()}
     keyword = keyword_score("lower(p.text)", TOPICS[topic]["axes"])
     return f"""{text_features},
 {vectors(topic)},
@@ -169,17 +193,13 @@ def scored_from(name: str, topic: str, text_features: str) -> str:
          CASE WHEN coalesce(p.text, '') = '' AND coalesce(p.title, '') = '' THEN 0.0 ELSE {keyword} END AS kw,
          t.tfidf AS tf, coalesce(s.sbert, 0.5) AS sb
   FROM papers p JOIN tfidf t USING (doc_id) LEFT JOIN sim s USING (doc_id)),
-{name}_w AS (
-  SELECT *, {round4('kw')} AS keyword, {round4('tf')} AS tfidf, {round4('sb')} AS sbert,
-         {round4(f'kw * {w["keyword"]}::DOUBLE + tf * {w["tfidf"]}::DOUBLE + sb * {w["sbert"]}::DOUBLE')} AS weighted
-  FROM {name}_f),
-{name}_d AS (SELECT *, {decide('weighted', 'year', topic)} AS score_final FROM {name}_w),
+{mixed(f"{name}_m", f"{name}_f", topic, "year")},
 {name} AS (
   SELECT doc_id, paper_id, title, abstract, year, minio_key, keyword, tfidf, sbert, weighted, score_final,
-         {label('score_final')} AS decision, {tier('score_final')} AS tier,
+         decision, tier,
          CASE WHEN minio_key IS NOT NULL AND doc_id % 7 <> 0
-              THEN 'tiers/' || {tier('score_final')} || '/' || paper_id || '.pdf' END AS tier_minio_key
-  FROM {name}_d)"""
+              THEN 'tiers/' || tier || '/' || paper_id || '.pdf' END AS tier_minio_key
+  FROM {name}_m)"""
 
 
 def scored(topic: str = "a", name: str = "s") -> str:

@@ -132,11 +132,36 @@ def term_statistics(
 
 
 def merge_statistics(*parts: DataFrame) -> DataFrame:
-    """Statistics of the union of disjoint document sets."""
+    """Statistics of the union of disjoint document sets, less those taken back.
+
+    Terms that no document is left with are dropped.
+    """
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
-    return merged.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    summed = merged.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    return summed.where("df != 0 OR cf != 0")
+
+
+def retracted(statistics: DataFrame) -> DataFrame:
+    """Statistics that take the counts of documents back when they are merged."""
+    return statistics.select("term", (-F.col("df")).alias("df"), (-F.col("cf")).alias("cf"))
+
+
+def updated_statistics(
+    statistics: DataFrame,
+    before: DataFrame,
+    after: DataFrame,
+    text: str = "text",
+    stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
+) -> DataFrame:
+    """Statistics after documents have changed, without reading the others.
+
+    ``before`` has the texts that changed or went away as they were, ``after`` the texts
+    that changed or came as they are. Equals the statistics of the whole corpus now.
+    """
+    old = term_statistics(before, text, stop_words)
+    return merge_statistics(statistics, retracted(old), term_statistics(after, text, stop_words))
 
 
 def document_frequency(statistics: DataFrame) -> DataFrame:
@@ -223,13 +248,14 @@ def vocabulary_from_statistics(
     max_df: float = MAX_DF,
     max_features: int = MAX_FEATURES,
     stop_words: Sequence[str] = DEFAULT_STOP_WORDS,
+    is_stored: bool = False,
 ) -> Vocabulary:
     """Prune and limit term statistics; at most ``max_features`` rows reach the driver.
 
-    The statistics are stored first and read twice: for the number of documents, and
-    for the terms that pruning leaves.
+    The statistics are read twice: for the number of documents, and for the terms that
+    pruning leaves. They are stored first unless they are a stored table (``is_stored``).
     """
-    stored = stored_statistics(statistics)
+    stored = statistics if is_stored else stored_statistics(statistics)
     n_docs = int(corpus_size(stored).first()["n_docs"])
     if n_docs < 2:
         return Vocabulary(n_docs, stop_words=tuple(stop_words))

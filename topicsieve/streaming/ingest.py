@@ -123,7 +123,7 @@ def refit(spark: SparkSession, store: Store, batch: int) -> None:
     since = [b for b in store.before(spark, STATISTICS, batch + 1) if last is None or b > last]
     parts += [spark.read.parquet(store.path(STATISTICS, b)) for b in since]
     totals = store.write(merge_statistics(*parts), TOTALS, batch)
-    vocabulary_from_statistics(totals).save(spark, store.path(VOCABULARY, batch))
+    vocabulary_from_statistics(totals, is_stored=True).save(spark, store.path(VOCABULARY, batch))
 
 
 def stream_ingest(
