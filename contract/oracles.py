@@ -329,7 +329,7 @@ idots AS (SELECT itf.new_id, sum(itf.tf * v.idf * coalesce(qw.w, 0)) AS dot,
 iq AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = {sql.QUERY_VECTOR_ID[topic]}),
 isim AS (SELECT new_id, (sum(x * q[i + 1]) / (sqrt(sum(x * x)) * sqrt(any_value(list_inner_product(q, q)))) + 1.0) / 2.0 AS sb
          FROM ih, iq GROUP BY new_id),
-featured AS (SELECT said.*, keyword AS kw, coalesce(dot / dn / qn, 0.0) AS tf, sb
+featured AS (SELECT said.* EXCLUDE (keyword), keyword AS kw, coalesce(dot / dn / qn, 0.0) AS tf, sb
              FROM said JOIN isim USING (new_id) LEFT JOIN idots USING (new_id) CROSS JOIN qn)"""
     return f"""{_INGESTED},
 {sql.VOCABULARY},
@@ -435,12 +435,14 @@ _OLD = (
 _STREAMED = _INGESTED.replace("ORDER BY source_path", "ORDER BY doc_id % 2, source_path") + f""",
 told AS (SELECT *, CASE WHEN text = '' THEN title ELSE text END AS said FROM ingested),
 scores AS (WITH documents AS (SELECT doc_id, said AS text FROM told WHERE length(said) % 7 <> 0), {_OLD} SELECT * FROM tfidf)"""
-ORACLES["stream_ingest"] = query(
-    _STREAMED,
-    f"""SELECT new_id AS paper_id, source_path, title, year, keyword,
-               CASE WHEN doc_id % 2 = 0 THEN 0.5 ELSE {round4('tfidf')} END AS tfidf
-        FROM told JOIN scores USING (doc_id) WHERE length(said) % 7 <> 0""",
-)
+_STREAM_SCORES = _STREAMED + f""",
+{hashed("ih", "told", "new_id", "said")},
+iq AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = {sql.QUERY_VECTOR_ID['a']}),
+isim AS (SELECT new_id, (sum(x * q[i + 1]) / (sqrt(sum(x * x)) * sqrt(any_value(list_inner_product(q, q)))) + 1.0) / 2.0 AS sb
+         FROM ih, iq GROUP BY new_id),
+featured AS (SELECT told.* EXCLUDE (keyword), keyword AS kw, CASE WHEN doc_id % 2 = 0 THEN 0.5 ELSE tfidf END AS tf, sb
+             FROM told JOIN scores USING (doc_id) JOIN isim USING (new_id) WHERE length(said) % 7 <> 0),
+{sql.mixed("streamed", "featured", "a", "year")}"""
 ORACLES["ingest_job_log"] = query(
     _STREAMED,
     """SELECT 'ingest-' || new_id AS job_id, new_id AS paper_id, split_part(source_path, '/', 2) AS filename,
@@ -448,7 +450,8 @@ ORACLES["ingest_job_log"] = query(
               CASE WHEN e.status = 'failed' THEN 'ValueError: cannot embed' END AS error
        FROM told, (VALUES (0, 'queued', 'queued', NULL), (1, 'running', 'extracting_metadata', NULL),
                           (2, 'running', 'embedding_sbert', NULL), (3, 'running', 'scoring', FALSE),
-                          (4, 'completed', 'completed', FALSE), (3, 'failed', 'embedding_sbert', TRUE)) e(id, status, stage, fails)
+                          (4, 'running', 'ollama_justify', FALSE), (5, 'completed', 'completed', FALSE),
+                          (3, 'failed', 'embedding_sbert', TRUE)) e(id, status, stage, fails)
        WHERE e.fails IS NULL OR e.fails = (length(said) % 7 = 0)""",
 )
 ORACLES["incremental_vs_refit"] = query(
@@ -728,6 +731,12 @@ ORACLES["justify_batch"] = query(
     SCORED_A,
     f"SELECT paper_id, CASE WHEN score_final >= 4 THEN {justification('a')} END AS justification FROM s",
 )
+ORACLES["stream_ingest"] = query(
+    _STREAM_SCORES,
+    f"""SELECT new_id AS paper_id, source_path, title, year, {BREAKDOWN}, score_final, decision, tier,
+               {justification('a')} AS justification
+        FROM streamed""",
+)
 ORACLES["import_justified"] = query(
     _ARRIVED,
     f"""SELECT new_id AS paper_id, split_part(source_path, '/', 2) AS filename, {BREAKDOWN}, score_final,
@@ -832,3 +841,8 @@ known AS (SELECT h, job_id, arg_max(status, ts) AS status
     f"""SELECT {stamp('h')} AS window_start, count(*) FILTER (WHERE status IS DISTINCT FROM 'completed') AS jobs_in_flight
         FROM known GROUP BY h""",
 )
+# windows that end at the watermark, a day before the last update, are final
+ORACLES["heartbeat_stream"] = ORACLES["heartbeat"].replace(
+    "(SELECT date_trunc('hour', max(ts)) FROM log), INTERVAL 1 HOUR)) AS h)",
+    "(SELECT date_trunc('hour', max(ts) - INTERVAL 1 DAY) - INTERVAL 1 HOUR FROM log), INTERVAL 1 HOUR)) AS h)",
+)

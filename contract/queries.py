@@ -976,12 +976,11 @@ def finished(stream) -> None:
         raise stream.exception()
 
 
-def log_in_files(spark, sf_dir, parts: int) -> str:
-    """The job log with days as time stamps, in files that follow each other.
+def log_parts(spark, sf_dir, parts: int) -> list[DataFrame]:
+    """The job log with days as time stamps, in parts whose borders fall among updates of one day.
 
-    The borders between files fall among updates of one day.
+    A tenth of each part's updates come with the next one.
     """
-    folder = scratch_path(spark, "log-files")
     day = F.date_trunc("day", "ts")
     log = views.job_log(spark, sf_dir).withColumn("ts", day)
     shares = [i / parts for i in range(1, parts)]
@@ -993,24 +992,46 @@ def log_in_files(spark, sf_dir, parts: int) -> str:
     for d, e in zip(days, borders):
         after = F.struct("ts", "event_id") > F.struct(F.lit(d).alias("ts"), F.lit(e).alias("event_id"))
         place = place + after.cast("int")
-    for part in range(parts):
-        log.where(place == part).coalesce(1).write.mode("append").parquet(folder)
-    return folder
+    # out of order, but by less than a day: only updates of the border's own day wait
+    late = F.lit(False)
+    for d in days:
+        late = late | ((F.col("ts") == F.lit(d)) & (F.col("event_id") % 10 == 0))
+    place = F.least(place + late.cast("int"), F.lit(parts - 1))
+    return [log.where(place == part) for part in range(parts)]
+
+
+def stream_in_parts(spark, parts: list[DataFrame], run: Callable[[DataFrame], object]) -> None:
+    """Write each part to a folder, in as many files as it has partitions, and stream what is new.
+
+    ``run`` starts a stream on the same checkpoint each time, so each part is a batch.
+    """
+    folder = scratch_path(spark, "arriving")
+    for part in parts:
+        spread(part).write.mode("append").parquet(folder)
+        finished(run(spark.readStream.schema(part.schema).parquet(folder)))
 
 
 @query
 def job_changes_stream(spark, sf_dir):
-    folder = log_in_files(spark, sf_dir, 3)
-    store = Store(scratch_path(spark, "notices"))
-    log = (
-        spark.readStream.schema(spark.read.parquet(folder).schema)
-        .option("maxFilesPerTrigger", "1")
-        .parquet(folder)
-    )
-    finished(progress.follow_jobs(log, store, scratch_path(spark, "progress")))
+    store, checkpoint = Store(scratch_path(spark, "notices")), scratch_path(spark, "progress")
+    stream_in_parts(spark, log_parts(spark, sf_dir, 3), lambda log: progress.follow_jobs(log, store, checkpoint))
     return notices(progress.read_notices(spark, store))
 
 
+@query
+def heartbeat_stream(spark, sf_dir):
+    """Beats of the windows that end a day before the log does, which are final by then."""
+    store, checkpoint = Store(scratch_path(spark, "beats")), scratch_path(spark, "beating")
+    log = views.job_log(spark, sf_dir)
+    middle = log.agg(F.percentile_approx("ts", 0.5).alias("t")).first()["t"]
+    parts = [log.where(F.col("ts") < middle), log.where(F.col("ts") >= middle)]
+    stream_in_parts(
+        spark, parts, lambda rows: progress.follow_heartbeat(rows, store, checkpoint, "1 hour")
+    )
+    beats = progress.read_beats(spark, store)
+    return beats.select(stamp("window_start").alias("window_start"), "jobs_in_flight")
+
+
 def picky_embedder():
     """An embedder factory that fails on every seventh text by length."""
     base = EMBEDDER
@@ -1030,16 +1051,17 @@ def picky_embedder():
 
 def ingested_in_two_batches(spark, sf_dir) -> Store:
     """Even documents arrive first, odd ones after; every seventh text cannot be embedded."""
-    folder = scratch_path(spark, "arriving")
     docs = views.table(spark, sf_dir, "documents")
-    for rest in (0, 1):
-        docs.where(F.col("doc_id") % 2 == rest).coalesce(1).write.mode("append").parquet(folder)
-    arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", "1").parquet(folder)
-    store = Store(scratch_path(spark, "ingest"))
-    incoming = as_upload_files(views.as_page_texts(arriving))
+    store, checkpoint = Store(scratch_path(spark, "ingest")), scratch_path(spark, "arrivals")
     topic = load_topic(spark, sf_dir, "a")
-    checkpoint = scratch_path(spark, "arrivals")
-    finished(stream_ingest.stream_ingest(incoming, store, topic, checkpoint, picky_embedder()))
+    stream_in_parts(
+        spark,
+        [docs.where(F.col("doc_id") % 2 == rest) for rest in (0, 1)],
+        lambda arriving: stream_ingest.stream_ingest(
+            as_upload_files(views.as_page_texts(arriving)), store, topic, checkpoint, picky_embedder(),
+            justify="auto", generator=GENERATOR,
+        ),
+    )
     return store
 
 
@@ -1048,14 +1070,14 @@ def stream_ingest_documents(spark, sf_dir):
     stored = stream_ingest.read_papers(spark, ingested_in_two_batches(spark, sf_dir))
     return stored.select(
         "paper_id", "source_path", "title", "year",
-        F.col("score_breakdown.keyword").alias("keyword"), F.col("score_breakdown.tfidf").alias("tfidf"),
+        *breakdown(), "score_final", "decision", "tier", "justification",
     )
 
 
 @query
 def ingest_job_log(spark, sf_dir):
     store = ingested_in_two_batches(spark, sf_dir)
-    log = store.read(spark, stream_ingest.LOG)
+    log = stream_ingest.read_log(spark, store)
     return log.select("job_id", "paper_id", "filename", "event_id", "status", "stage", "error")
 
 

@@ -154,10 +154,10 @@ def test_stream_ingest_over_batches(spark, tmp_path):
 
     assert streaming.current_vocabulary(spark, store) == fit_corpus(papers)
 
-    jobs = {r["job_id"]: r for r in job_latest_state(store.read(spark, streaming.LOG).drop("batch")).collect()}
+    jobs = {r["job_id"]: r for r in job_latest_state(streaming.read_log(spark, store)).collect()}
     assert jobs["ingest-PAPER_2001"]["status"] == "completed"
     assert jobs["ingest-PAPER_2003"]["status"] == "failed" and "cannot embed" in jobs["ingest-PAPER_2003"]["error"]
-    stages = store.read(spark, streaming.LOG).where("job_id = 'ingest-PAPER_2001'").orderBy("event_id")
+    stages = streaming.read_log(spark, store).where("job_id = 'ingest-PAPER_2001'").orderBy("event_id")
     assert [r["stage"] for r in stages.collect()] == ["queued", *streaming.RUNNING_STAGES, "completed"]
 
 
@@ -185,6 +185,45 @@ def test_refit_every_other_batch_catches_up(spark, tmp_path):
     assert streaming.current_vocabulary(spark, store) == fit_corpus(papers)
 
 
+def test_a_batch_that_dies_leaves_its_log_and_resumes(spark, tmp_path):
+    put(tmp_path / "in", "a.pdf", BODY.format(n="one", year=2018))
+    put(tmp_path / "in", "b.pdf", BODY.format(n="two", year=2019))
+    store, batch = Store(f"{tmp_path}/store"), files.read_binary(spark, f"{tmp_path}/in")
+    broken = Topic("t", "red apples", {"a": ["["]}, (2000, 2030), thresholds={"gold_muy": "no number"})
+    with pytest.raises(Exception):
+        streaming.ingest_batch(batch, 0, store, broken, FlakyEmbedder())
+    jobs = {r.job_id: r for r in job_latest_state(streaming.read_log(spark, store)).collect()}
+    assert {(r.status, r.stage) for r in jobs.values()} == {("failed", "scoring")}
+    assert all(r.error for r in jobs.values()) and len(jobs) == 2
+    texts = store.path(streaming.EXTRACTED, 0)
+    written = sorted(p.name for p in (tmp_path / "store" / "extracted" / "batch=0").iterdir())
+
+    before = {r.paper_id: r.ts for r in streaming.read_log(spark, store).where("event_id = 0").collect()}
+    streaming.ingest_batch(batch, 0, store, TOPIC, FlakyEmbedder(), justify="auto", generator=generation.TemplateGenerator())
+    assert sorted(p.name for p in (tmp_path / "store" / "extracted" / "batch=0").iterdir()) == written and texts
+    log = streaming.read_log(spark, store)
+    assert {r.paper_id: r.ts for r in log.where("event_id = 0").collect()} == before
+    assert log.where("status = 'failed'").count() == 0
+    stages = [r.stage for r in log.where("job_id = 'ingest-PAPER_2001'").orderBy("event_id").collect()]
+    assert stages == ["queued", *streaming.RUNNING_STAGES, streaming.JUSTIFY_STAGE, "completed"]
+    assert all(r.justification for r in streaming.read_papers(spark, store).collect())
+
+
+def test_statistics_are_kept_in_levels(spark, tmp_path, monkeypatch):
+    store = Store(f"{tmp_path}/store")
+    for number in range(9):
+        put(tmp_path / f"in{number}", "a.pdf", BODY.format(n=f"word{number}", year=2010 + number))
+        read = files.read_binary(spark, f"{tmp_path}/in{number}")
+        streaming.ingest_batch(read, number, store, TOPIC, FlakyEmbedder(), refit_every=9)
+    papers = streaming.read_papers(spark, store)
+    assert {r.paper_id for r in papers.collect()} == {f"PAPER_{2001 + i}" for i in range(9)}
+    assert streaming.current_vocabulary(spark, store) == fit_corpus(papers)
+    levels = tmp_path / "store" / "statistics"
+    sizes = [sum(p.stat().st_size for p in (levels / "level=0" / f"batch={n}").iterdir()) for n in range(9)]
+    assert max(sizes) < 1.3 * min(sizes)
+    assert [p.name for p in (levels / "level=1").iterdir() if p.is_dir()] == ["batch=7"]
+
+
 BREAKDOWN = "struct<keyword:double,tfidf:double,sbert:double,weighted:double>"
 
 

@@ -2,12 +2,15 @@
 
 import random
 from datetime import datetime, timedelta
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from topicsieve.operators import joblog
 from topicsieve.streaming import progress
-from topicsieve.streaming.store import Store
+from topicsieve.streaming.store import Levels, Store
 
 SCHEMA = "job_id string, ts timestamp, event_id long, stage string, status string"
 START = datetime(2024, 1, 1)
@@ -167,10 +170,76 @@ def test_equal_time_stamps_across_batches(spark, tmp_path):
     ]
     for number, rows in enumerate(batches):
         progress.notify_batch(spark.createDataFrame(rows, SCHEMA), number, store)
-    assert found(progress.read_notices(spark, store)) == {
-        ("x", 0, "job.progress"), ("x", 2, "job.progress"), ("y", 1, "job.progress"), ("y", 4, "job.completed"),
-        ("x", 5, "job.progress"), ("x", 5, "job.failed"),
-    }
+    assert found(progress.read_notices(spark, store)) == expected_changes(sorted({r for b in batches for r in b}))
+    assert progress.read_notices(spark, store, pending=False).count() == 0
+
+
+def shuffled(rows, hours, seed=1):
+    """Rows in an order that is wrong by up to so many hours."""
+    rng = random.Random(seed)
+    return sorted(rows, key=lambda r: r[1] + timedelta(hours=rng.uniform(0, hours)))
+
+
+def spread_log(n, days):
+    """A log whose updates are far apart."""
+    return [(j, START + (t - START) * (days * 86_400 / n), e, stage, status) for j, t, e, stage, status in make_log(n)]
+
+
+def test_updates_a_day_out_of_order_are_told_in_order(spark, tmp_path):
+    rows = spread_log(400, 20)
+    late = shuffled(rows, 23)
+    assert [r[2] for r in late] != [r[2] for r in sorted(rows, key=lambda r: (r[1], r[2]))]
+    store = Store(f"{tmp_path}/store")
+    for number in range(8):
+        part = late[number * 50 : (number + 1) * 50] + late[max(0, number * 50 - 5) : number * 50]  # some come again
+        progress.notify_batch(spark.createDataFrame(part, SCHEMA), number, store)
+    assert found(progress.read_notices(spark, store)) == expected_changes(rows)
+    final = progress.read_notices(spark, store, pending=False)
+    assert 0 < final.count() < len(expected_changes(rows))
+    waiting = spark.read.parquet(store.path(progress.BUFFER, 7))
+    assert waiting.agg(F.max("ts") - F.min("ts")).first()[0] <= timedelta(days=1)
+
+
+def test_states_of_closed_jobs_are_forgotten(spark, tmp_path):
+    store, day = Store(f"{tmp_path}/store"), timedelta(days=1)
+    for number in range(17):
+        rows = [(f"{number}-{i}", START + number * 2 * day, i, "a", "completed") for i in range(5)]
+        rows += [("open", START + number * 2 * day, 9, f"s{number}", "running")]
+        progress.notify_batch(spark.createDataFrame(rows, SCHEMA), number, store, remembered="4 days")
+    levels = Levels(store, progress.STATE)
+    merged = spark.read.parquet(store.path("state/level=1", 15))
+    assert levels.runs(17) == [(1, 7), (1, 15), (0, 16)]
+    # of 40 jobs closed in the merged batches, those of the last days and the open one
+    assert {r.job_id for r in merged.where("closed").collect()} == {f"{n}-{i}" for n in (13, 14) for i in range(5)}
+    assert merged.where("NOT closed").count() == 1
+
+
+def test_levels(spark, tmp_path):
+    levels = Levels(Store(f"{tmp_path}/s"), "t", fan=3)
+    assert levels.runs(0) == []
+    for batch in range(13):
+        levels.write(spark.range(batch, batch + 1), batch, lambda parts: reduce(DataFrame.union, parts))
+        ids = [[r.id for r in part.collect()] for part in levels.read_before(spark, batch + 1)]
+        assert sorted(sum(ids, [])) == list(range(batch + 1))
+        assert len(ids) <= 2 * 3
+    assert levels.runs(13) == [(2, 8), (1, 11), (0, 12)]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_streamed_beats_go_on_across_batches(spark, tmp_path, parts):
+    rows = [r for r in spread_log(200, 3)]
+    states = joblog.window_states(spark.createDataFrame(rows, SCHEMA), "1 hour").collect()
+    states.sort(key=lambda r: r.window.start)
+    schema = joblog.window_states(spark.createDataFrame(rows, SCHEMA), "1 hour").schema
+    store, size = Store(f"{tmp_path}/store"), -(-len(states) // parts)
+    starts = sorted({r.window.start for r in states})
+    cut = [starts[min(len(starts) - 1, (len(starts) * i) // parts)] for i in range(1, parts)]
+    for number in range(parts):
+        part = [r for r in states if sum(r.window.start >= c for c in cut) == number]
+        progress.beat_batch(spark.createDataFrame(part, schema), number, store, "1 hour")
+    progress.beat_batch(spark.createDataFrame([], schema), parts, store, "1 hour")
+    batch = joblog.heartbeat(spark.createDataFrame(states, schema), "1 hour")
+    assert size and sorted(progress.read_beats(spark, store).collect()) == sorted(batch.collect())
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
@@ -188,8 +257,8 @@ def test_late_updates_are_dropped(spark, tmp_path):
     store = Store(f"{tmp_path}/store")
     on_time = [("x", START + timedelta(seconds=10), 0, "b", "running")]
     late = [("x", START, 1, "a", "running"), ("x", START + timedelta(seconds=11), 2, "c", "running")]
-    progress.notify_batch(spark.createDataFrame(on_time, SCHEMA), 0, store)
-    progress.notify_batch(spark.createDataFrame(late, SCHEMA), 1, store)
+    progress.notify_batch(spark.createDataFrame(on_time, SCHEMA), 0, store, "2 seconds")
+    progress.notify_batch(spark.createDataFrame(late, SCHEMA), 1, store, "2 seconds")
     assert found(progress.read_notices(spark, store)) == {("x", 0, "job.progress"), ("x", 2, "job.progress")}
 
 

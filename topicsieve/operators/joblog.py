@@ -6,11 +6,12 @@ Updates of a job are ordered by (ts, event_id).
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicsieve.operators.summary import in_flight
-from topicsieve.session import scratch_path
 
 # Bounds of a job listing, final states, and the batch target.
 MAX_JOBS_LISTED = 500
@@ -88,14 +89,23 @@ def sliced(log: DataFrame, width: str = SLICE) -> DataFrame:
     return log.withColumn("slice", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / micros))
 
 
+def in_ranges(log: DataFrame) -> DataFrame:
+    """Cut the log into slices by range over (ts, event_id), however many updates share a time.
+
+    To be stored before it is used, as partitions become slices.
+    """
+    return log.repartitionByRange("ts", "event_id").withColumn("slice", F.spark_partition_id().cast("long"))
+
+
 def with_previous(log: DataFrame, carried: DataFrame | None = None, width: str = SLICE) -> DataFrame:
     """Add each row's previous stage, and whether its job was final before it.
 
     Windows run within (job, slice); what a job looked like at the end of its
     earlier slices is carried over through a summary of one row per job and
-    slice. ``carried`` (job_id, last_stage, closed) continues from earlier batches.
+    slice. ``carried`` (job_id, last_stage, closed) continues from earlier batches. A
+    log that is cut already has its ``slice``, numbered in order.
     """
-    rows = sliced(log, width)
+    rows = log if "slice" in log.columns else sliced(log, width)
     final = is_final(F.col("status"))
     here = Window.partitionBy("job_id", "slice").orderBy("ts", "event_id")
     local = (
@@ -179,12 +189,14 @@ def carry_state(log: DataFrame, carried: DataFrame | None = None) -> DataFrame:
         "job_id", "last_stage", "closed",
         F.col("_last.ts").alias("last_ts"), F.col("_last.event_id").alias("last_event_id"),
     )
-    if carried is None:
-        return state
+    return state if carried is None else merge_states(state.unionByName(carried.select(*state.columns)))
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state per job out of those that several parts of a log left."""
     last = F.struct("last_ts", "last_event_id")
     return (
-        state.unionByName(carried.select(*state.columns))
-        .groupBy("job_id")
+        states.groupBy("job_id")
         .agg(
             F.max_by("last_stage", last).alias("last_stage"),
             F.max("closed").alias("closed"),
@@ -201,44 +213,85 @@ def window_states(log: DataFrame, width: str) -> DataFrame:
     )
 
 
-def heartbeat(states: DataFrame, width: str) -> DataFrame:
-    """Jobs in flight at the end of every window: (window_start, jobs_in_flight).
+def flights(states: DataFrame) -> DataFrame:
+    """``job_id``, ``window_start`` and ``flying`` (1 or 0) of window states."""
+    return states.select(
+        "job_id", F.col("window.start").alias("window_start"), in_flight(F.col("status")).cast("int").alias("flying")
+    )
 
-    Each (window, job) state becomes +1, 0 or -1 against the job's state before. The
-    sums per window are accumulated within slices of ``BEAT_SLICE`` windows, and the
-    slices' totals over one row per slice. Windows without updates are a distributed
-    range between the first and the last one.
-    """
-    spark = states.sparkSession
-    flying = in_flight(F.col("status")).cast("int")
+
+def last_flights(known: DataFrame) -> DataFrame:
+    """Each job's last flight."""
+    return known.groupBy("job_id").agg(
+        F.max("window_start").alias("window_start"), F.max_by("flying", "window_start").alias("flying")
+    )
+
+
+def _changes(known: DataFrame, carried: DataFrame | None) -> DataFrame:
+    """By how much the jobs in flight change in each window with updates."""
     per_job = Window.partitionBy("job_id").orderBy("window_start")
-    path = scratch_path(spark, "beats")
-    (
-        states.select("job_id", F.col("window.start").alias("window_start"), flying.alias("_flying"))
-        .withColumn("_change", F.col("_flying") - F.coalesce(F.lag("_flying").over(per_job), F.lit(0)))
-        .groupBy("window_start")
-        .agg(F.sum("_change").alias("_change"))
-        .write.parquet(path)
-    )
-    step = F.unix_micros(F.expr(f"TIMESTAMP'1970-01-01 00:00:00Z' + INTERVAL {width}"))
-    changes = spark.read.parquet(path)
-    begin = F.unix_micros(F.col("window_start").cast("timestamp"))
-    low, high, micros = changes.agg(F.min(begin), F.max(begin), F.max(step)).first()
-    count = 0 if low is None else (high - low) // micros + 1
-    place = F.floor((begin - F.lit(low or 0)) / F.lit(micros or 1))
-    numbered = spark.range(count).join(changes.select(place.alias("id"), "_change"), "id", "left")
-    numbered = numbered.select(
-        "id", F.floor(F.col("id") / BEAT_SLICE).alias("slice"), F.coalesce("_change", F.lit(0)).alias("_change")
-    )
-    so_far = Window.partitionBy("slice").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = known.withColumn("_before", F.lag("flying").over(per_job))
+    if carried is not None:
+        then = carried.select("job_id", F.col("flying").alias("_then"))
+        rows = rows.join(then, "job_id", "left").withColumn("_before", F.coalesce("_before", "_then"))
+    change = F.col("flying") - F.coalesce("_before", F.lit(0))
+    return rows.withColumn("_change", change).groupBy("window_start").agg(F.sum("_change").alias("_change"))
+
+
+def beats_between(
+    known: DataFrame, carried: DataFrame | None, after: datetime | None, count: int, width: str
+) -> DataFrame:
+    """Beats of all windows from the one after ``after`` (or the first one) to the last one.
+
+    ``known`` are flights in these windows, ``carried`` each job's last one before, and
+    ``count`` the jobs in flight then. Each window's change is a sum over its jobs; the
+    changes are accumulated within slices of ``BEAT_SLICE`` windows, and the slices'
+    totals over one row per slice. Windows without updates are a sequence that the plan
+    derives from its bounds, so nothing is run to build the frame.
+    """
+    step = _micros(width)
+    micros = F.lit(step).cast("long")
+    start = F.unix_micros(F.col("window_start").cast("timestamp"))
+    changes = _changes(known, carried).select(F.col("window_start"), start.alias("_start"), "_change")
+    kind = known.schema["window_start"].dataType
+    first = F.min("_start") if after is None else F.unix_micros(F.lit(after).cast("timestamp")) + micros
+    bounds = changes.agg(first.alias("_low"), F.max("_start").alias("_high"))
+    # a row for each slice, then one for each window in it
+    span = micros * BEAT_SLICE
+    n_slices = F.floor((F.col("_high") - F.col("_low")) / span)
+    slices = bounds.where("_high >= _low").select(
+        "_low", "_high", F.explode(F.sequence(F.lit(0).cast("long"), n_slices)).alias("slice")
+    )
+    begin = F.col("_low") + F.col("slice") * span
+    windows = slices.select(
+        "slice",
+        F.explode(F.sequence(begin, F.least(F.col("_high"), begin + span - micros), micros)).alias("_start"),
+    )
+    numbered = windows.join(changes.select("_start", "_change"), "_start", "left").select(
+        "slice", "_start", F.coalesce("_change", F.lit(0)).alias("_change")
+    )
+    so_far = Window.partitionBy("slice").orderBy("_start").rowsBetween(Window.unboundedPreceding, 0)
     totals = numbered.groupBy("slice").agg(F.sum("_change").alias("_total"))
     # one row for each 10,000 windows
     earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select("slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
-    start = F.timestamp_micros(F.lit(low or 0) + F.col("id") * F.lit(micros or 1))
-    start = start.cast(changes.schema["window_start"].dataType)
     return (
         numbered.withColumn("_sum", F.sum("_change").over(so_far))
         .join(before, "slice")
-        .select(start.alias("window_start"), (F.col("_before") + F.col("_sum")).alias("jobs_in_flight"))
+        .select(
+            F.timestamp_micros("_start").cast(kind).alias("window_start"),
+            (F.lit(count) + F.col("_before") + F.col("_sum")).cast("long").alias("jobs_in_flight"),
+        )
     )
+
+
+def _micros(width: str) -> int:
+    """Microseconds of an interval of weeks to microseconds, as ``window`` takes them."""
+    units = {"week": 604_800_000_000, "day": 86_400_000_000, "hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000, "millisecond": 1_000, "microsecond": 1}
+    number, unit = width.split()
+    return int(number) * units[unit.lower().removesuffix("s")]
+
+
+def heartbeat(states: DataFrame, width: str) -> DataFrame:
+    """Jobs in flight at the end of every window: (window_start, jobs_in_flight)."""
+    return beats_between(flights(states), None, None, 0, width)

@@ -170,8 +170,9 @@ def document_frequency(statistics: DataFrame) -> DataFrame:
 
 def corpus_size(statistics: DataFrame) -> DataFrame:
     """One row: the number of non-blank documents, which the statistics hold."""
-    mark = F.when(F.col("term") == DOCUMENT_MARK, F.col("df"))
-    return statistics.agg(F.coalesce(F.max(mark), F.lit(0)).alias("n_docs"))
+    # the filter reaches the scan, so no other term is read or added up
+    marks = statistics.where(F.col("term") == DOCUMENT_MARK)
+    return marks.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n_docs"))
 
 
 def stored_statistics(statistics: DataFrame) -> DataFrame:

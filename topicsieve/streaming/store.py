@@ -7,10 +7,10 @@ numbers. Running a batch twice therefore gives the same result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -45,10 +45,65 @@ class Store:
         return rows.sparkSession.read.parquet(self.path(table, batch))
 
     def read_before(self, spark: SparkSession, table: str, batch: int) -> DataFrame | None:
-        """All rows of a table from batches below ``batch``."""
-        if not self.before(spark, table, batch):
-            return None
-        return self.read(spark, table).where(F.col("batch") < batch).drop("batch")
+        """All rows of a table from complete batches below ``batch``."""
+        known = self.before(spark, table, batch)
+        return self._read(spark, table, known).drop("batch") if known else None
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(table))
+        """All rows of a table's complete batches, with their ``batch``."""
+        return self._read(spark, table, self.batches(spark, table))
+
+    def _read(self, spark: SparkSession, table: str, batches: list[int]) -> DataFrame:
+        reader = spark.read.option("basePath", self.path(table))
+        return reader.parquet(*[self.path(table, b) for b in batches])
+
+
+#: Runs of one size that are merged into one of the next.
+FAN = 8
+
+
+@dataclass(frozen=True)
+class Levels:
+    """A table that each batch adds a run to, kept in few runs of growing size.
+
+    A batch writes its own rows. When ``fan`` runs of one level are there, they are
+    merged into one of the next, so a row is written again once a level, and a reader
+    meets at most ``fan - 1`` runs of each of a few levels. What is merged when follows
+    from the batch's number alone; numbers have to follow each other from 0.
+    """
+
+    store: Store
+    table: str
+    fan: int = FAN
+
+    def _level(self, level: int) -> str:
+        return f"{self.table}/level={level}"
+
+    def write(
+        self, rows: DataFrame, batch: int, merge: Callable[[list[DataFrame]], DataFrame] | None
+    ) -> DataFrame:
+        """Write a batch's run, and the runs that it completes."""
+        spark = rows.sparkSession
+        own = self.store.write(rows, self._level(0), batch)
+        level, size = 1, self.fan
+        while merge and (batch + 1) % size == 0:
+            ends = range(batch - size + size // self.fan, batch + 1, size // self.fan)
+            parts = [spark.read.parquet(self.store.path(self._level(level - 1), b)) for b in ends]
+            self.store.write(merge(parts), self._level(level), batch)
+            level, size = level + 1, size * self.fan
+        return own
+
+    def runs(self, before: int) -> list[tuple[int, int]]:
+        """Level and last batch of each run that holds batches below ``before``, oldest first."""
+        found, at, size, level = [], 0, 1, 0
+        while size * self.fan <= before:
+            size, level = size * self.fan, level + 1
+        while size:
+            while at + size <= before:
+                at += size
+                found.append((level, at - 1))
+            size, level = size // self.fan, level - 1
+        return found
+
+    def read_before(self, spark: SparkSession, batch: int) -> list[DataFrame]:
+        return [spark.read.parquet(self.store.path(self._level(k), b)) for k, b in self.runs(batch)]
