@@ -103,13 +103,18 @@ def read_notices(spark: SparkSession, store: Store, pending: bool = True) -> Dat
     return told.unionByName(job_changes(waiting, _states(spark, store, last + 1)).select(*told.columns))
 
 
+def _watermarked(log: DataFrame) -> DataFrame:
+    # times without a zone are taken in the session's
+    return log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", LATENESS)
+
+
 def follow_states(log: DataFrame, path: str, checkpoint: str, width: str) -> StreamingQuery:
     """Start writing the last status per window and job, once windows are final.
 
     Feed the written table to ``joblog.heartbeat`` for the jobs in flight.
     """
     return (
-        window_states(log.withWatermark("ts", LATENESS), width)
+        window_states(_watermarked(log), width)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
@@ -149,7 +154,7 @@ def beat_batch(states: DataFrame, batch: int, store: Store, width: str) -> None:
 def follow_heartbeat(log: DataFrame, store: Store, checkpoint: str, width: str) -> StreamingQuery:
     """Start writing the jobs in flight at the end of each window, once windows are final."""
     return (
-        window_states(log.withWatermark("ts", LATENESS), width)
+        window_states(_watermarked(log), width)
         .writeStream.outputMode("append")
         .foreachBatch(lambda rows, batch: beat_batch(rows, batch, store, width))
         .option("checkpointLocation", checkpoint)
