@@ -1,12 +1,18 @@
 """Quality classifier, search and main text: held-out accuracy, recall, planted pages."""
 
+import math
+import random
+import time
+import tracemalloc
+from html.parser import HTMLParser
+
 import numpy as np
 import pytest
 
 from tests.llm import cases
 from topicsieve.llm import hilbert, quality, tag_paths
 from topicsieve.llm.queries import QUERIES
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F  # noqa: I001
 
 SF = "/root/testdata/sf0.01"
 
@@ -255,3 +261,112 @@ def test_pages_frame(spark):
     assert got == sorted(((r[0], r[1], t, len(t)) for r, t in zip(rows, texts, strict=True)), key=str)
     assert tag_paths.extract_main_text(df.limit(0)).collect() == []
     assert len(tag_paths.main_text("<p>" + "word, " * 300_000)) == 6 * 300_000 - 1
+
+
+# deep, broken and long pages; tag paths by brute force
+
+
+@pytest.mark.parametrize(
+    "page, chars",
+    [
+        ("<div>" * 100_000 + "text here", 9),
+        ("<a " * 350_000, 0),
+        ("<a ' " * 200_000 + ">", 0),
+        ("<a '\"><p>" * 100_000, 0),
+        ("<li><ul>" + "<div>" * 30_000 + "<li><b>x</b></li>" * 30_000, 89_998),
+        ("<script " * 100_000 + ">", 0),
+        ("<!--" * 200_000, 0),
+        ("<p>kept</p>" + "<script>" + "var x; " * 100_000, 4),
+    ],
+)
+def test_hostile_pages_take_linear_time_and_memory(page, chars):
+    tracemalloc.start()
+    start = time.process_time()
+    text = tag_paths.main_text(page)
+    seconds, (_, peak) = time.process_time() - start, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(text) == chars
+    assert seconds < 20 and peak < 300 * (1 << 20)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>One <span class='ad-free'>two</span> three.</p></article>", "One two three."),
+        ("<article><p>One.</p><p class='comments-note'>Two.</p></article>", "One.\n\nTwo."),
+        ("<article><p>One.</p><div class='comments'>Two.</div></article>", "One."),
+        ("<p>One.</p><!-- <p>never</p>", "One."),
+        ("<p>One.</p><style>p {} ", "One."),
+    ],
+)
+def test_names_and_unfinished_parts(page, text):
+    assert tag_paths.main_text(page) == text
+
+
+class Paths(HTMLParser):
+    """Blocks of a well-formed page without inline elements: tag path, text, linked characters."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.found = [], []
+
+    def handle_starttag(self, tag, attrs):
+        self.open.append(tag)
+
+    def handle_endtag(self, tag):
+        assert self.open.pop() == tag
+
+    def handle_data(self, data):
+        linked = self.open and self.open[-1] == "a"
+        path = tuple(t for t in self.open if t != "a")
+        text = " ".join(data.split())
+        if text:
+            self.found.append((path, text, len(data) if linked else 0))
+
+
+def brute_content_paths(blocks):
+    """The paths of largest fused and smoothed ratios, by plain sums."""
+    of = {}
+    for path, text, linked in blocks:
+        points = sum(c in ".,;:!?" for c in text)
+        of.setdefault(path, []).append((len(text), points, linked))
+    mean = {p: [sum(x[i] for x in rows) / len(rows) for i in range(3)] for p, rows in of.items()}
+    order = [b[0] for b in blocks]
+    fused = {}
+    for at, path in enumerate(order):
+        near = [order[min(max(at + d, 0), len(order) - 1)] for d in range(-2, 3)]
+        weights = tag_paths.SMOOTHING
+        chars, points = (sum(w * mean[p][i] for w, p in zip(weights, near)) for i in (0, 1))
+        fused.setdefault(path, []).append(math.sqrt(chars * (1 + points)))
+    score = {
+        p: 0.0 if mean[p][2] > tag_paths.LINK_SHARE * mean[p][0]
+        else max(sum(f) / len(f), math.sqrt(mean[p][0] * (1 + mean[p][1])))
+        for p, f in fused.items()
+    }
+    best = max(score.values())
+    return {p for p, s in score.items() if s > 0 and s >= tag_paths.CONTENT_SHARE * best * (1 - 1e-12)}
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_content_paths_by_brute_force(seed):
+    rng = random.Random(seed)
+
+    def block(depth):
+        if depth == 0 or rng.random() < 0.5:
+            text = " ".join("word" + rng.choice(["", ",", ".", "!"]) for _ in range(rng.randint(1, 40)))
+            inner = f"<a>{text}</a>" if rng.random() < 0.2 else text
+            return f"<p>{inner}</p>"
+        tag = rng.choice(["div", "section", "ul", "table"])
+        return f"<{tag}>" + "".join(block(depth - 1) for _ in range(rng.randint(1, 4))) + f"</{tag}>"
+
+    page = "<body>" + "".join(block(4) for _ in range(rng.randint(1, 6))) + "</body>"
+    blocks, elements = tag_paths.read_blocks(page)
+    parser = Paths()
+    parser.feed(page)
+
+    def tags(element):
+        return () if element.number == 0 else (*tags(elements[element.parent]), element.tag)
+
+    assert [(tags(b.element), b.text, b.link_chars) for b in blocks] == parser.found
+    chosen = tag_paths.content_paths(blocks)
+    assert {tags(b.element) for b in blocks if b.element.path in chosen} == brute_content_paths(parser.found)

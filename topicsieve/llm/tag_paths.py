@@ -74,7 +74,8 @@ WRAPPER_WORDS = frozenset(
     "recommended recommendations widget toolbar search".split()
 )
 STATE_WORDS = frozenset(
-    "has with no without is not show hide open opened closed enabled disabled on off visible".split()
+    "has with no without is not show hide open opened closed enabled disabled on off visible "
+    "free note notes count".split()
 )
 PLACE_WORDS = frozenset(
     "site left right top bottom upper lower primary secondary list lists area areas box boxes bar bars "
@@ -82,11 +83,15 @@ PLACE_WORDS = frozenset(
     "inner form js".split()
 )
 
+MARKUP = rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+(?:>|\Z)"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
+    MARKUP + r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
     re.S | re.I,
 )
+#: The same without quoted values, for the rest of a page whose quotes are broken.
+UNQUOTED = re.compile(MARKUP + r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>()()()", re.S | re.I)
+#: How often a page may be searched in vain for the end of a quoted value.
+BROKEN_QUOTES = 20
 ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
 
@@ -95,14 +100,44 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
 KEPT, WRAPPER, PART, HIDDEN = range(4)
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     tag: str
     number: int
-    path: str
+    path: int  # the page's number for the tags from the root to here
+    parent: int  # the element around it
     doubt: int = KEPT
     excluded: bool = False
-    parents: tuple[int, ...] = ()  # numbers of the elements around it, and its own
+
+
+class Open:
+    """The elements that are open, and where on the stack each tag is."""
+
+    def __init__(self, root: Element):
+        self.items = [root]
+        self.at: dict[str, list[int]] = {}
+        self.others = [0]  # places of elements that are not text blocks
+
+    def push(self, element: Element) -> None:
+        place = len(self.items)
+        self.at.setdefault(element.tag, []).append(place)
+        if element.tag not in TEXT_BLOCKS:
+            self.others.append(place)
+        self.items.append(element)
+
+    def cut(self, place: int) -> None:
+        """Close everything from a place on."""
+        while len(self.items) > place:
+            self.at[self.items.pop().tag].pop()
+        while self.others[-1] >= max(place, 1):
+            self.others.pop()
+
+    def last(self, tags) -> int:
+        """The innermost place of one of these tags, 0 for none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def in_article(self) -> bool:
+        return bool(self.at.get("article") or self.at.get("main"))
 
 
 @dataclass
@@ -167,10 +202,13 @@ def settle(blocks: list[Block], elements: list[Element]) -> None:
     whole = held.sum()
     has_main = [False] * len(elements)
     longest = [(0.0, 0)] * len(elements)  # text and number of the longest article in it
-    free = any(e.tag == "article" and all(elements[n].doubt < PART for n in e.parents) for e in elements)
+    in_part = [False] * len(elements)
+    for e in elements[1:]:
+        in_part[e.number] = in_part[e.parent] or e.doubt >= PART
+    free = any(e.tag == "article" and not in_part[e.number] for e in elements)
     # from the inside out: elements come in page order, so inner ones follow
     for e in reversed(elements[1:]):
-        i, above = e.number, e.parents[-2]
+        i, above = e.number, e.parent
         has_main[i] |= e.tag == "main" and held[i] > 0
         if e.tag == "article":
             longest[i] = max(longest[i], (held[i], -i))
@@ -182,21 +220,68 @@ def settle(blocks: list[Block], elements: list[Element]) -> None:
             held[above] += held[i]
             longest[above] = max(longest[above], longest[i])
     own = longest[0][0] > 0 and longest[0][0] >= ARTICLE_SHARE * held[0]
+    around = articles_around(elements)
     for e in elements[1:]:
         i = e.number
-        if elements[e.parents[-2]].excluded:
+        if elements[e.parent].excluded:
             e.excluded = True
         elif e.doubt == WRAPPER:
-            around = [n for n in e.parents[:-1] if elements[n].tag in ("article", "main")]
-            share = PART_SHARE if not around and (own or has_main[0]) else WRAPPER_SHARE
+            share = PART_SHARE if not around[i] and (own or has_main[0]) else WRAPPER_SHARE
             stays = has_main[i] or (own and longest[i] == longest[0])
-            e.excluded = not stays and held[i] <= share * held[around[-1] if around else 0]
+            e.excluded = not stays and held[i] <= share * held[around[i]]
+
+
+def articles_around(elements: list[Element]) -> list[int]:
+    """The innermost ``article`` or ``main`` around each element, 0 for none."""
+    around = [0] * len(elements)
+    for e in elements[1:]:
+        above = elements[e.parent]
+        around[e.number] = above.number if above.tag in ("article", "main") else around[above.number]
+    return around
+
+
+def in_tree(elements: list[Element], values: np.ndarray) -> np.ndarray:
+    """The sums of ``values`` over each element and all below it."""
+    sums = values.copy()
+    for e in reversed(elements[1:]):
+        sums[e.parent] += sums[e.number]
+    return sums
+
+
+def markup(page: str) -> Iterator[re.Match]:
+    """The comments, declarations, raw elements and tags of a page, in linear time.
+
+    Behind the last ``>`` there is no tag. A value whose quote never ends makes a search
+    go through all the page; after a few of these quotes are ordinary characters.
+    """
+    end = page.rfind(">") + 1
+    vain, at = 0, 0
+    while vain < BROKEN_QUOTES:
+        for match in TOKEN.finditer(page, at, end):
+            yield match
+            if match[6]:
+                vain, at = vain + 1, match.end()
+                if vain == BROKEN_QUOTES:
+                    break
+        else:
+            return
+    yield from UNQUOTED.finditer(page, at, end)
+
+
+def is_unfinished(page: str, match: re.Match) -> bool:
+    """Whether a comment or raw element at the end of all tags has no end itself."""
+    if match.end() <= page.rfind(">"):
+        return False
+    if match[1]:
+        return not re.search(rf"</{match[1]}\s*>\Z", match[0], re.I)
+    return match[0].startswith("<!--") and not match[0].endswith("-->")
 
 
 def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
     """The text blocks of a page in order, and all its block-level elements."""
-    root = Element("#", 0, "", parents=(0,))
-    stack, elements = [root], [root]
+    root = Element("#", 0, 0, 0)
+    stack, elements = Open(root), [root]
+    paths: dict[tuple[int, str], int] = {}
     blocks: list[Block] = []
     block = Block(root)
     links = 0
@@ -205,18 +290,20 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
         nonlocal block
         if block.parts:
             blocks.append(block)
-        block = Block(stack[-1])
+        block = Block(stack.items[-1])
 
     def add(text: str) -> None:
-        if text and not stack[-1].excluded:
+        if text and not stack.items[-1].excluded:
             block.parts.append(text)
             if links:
                 block.link_chars += len(text)
 
-    at = 0
-    for match in TOKEN.finditer(page):
+    at, last = 0, page.rfind(">")
+    for match in markup(page):
         add(page[at : match.start()])
         at = match.end()
+        if at > last and is_unfinished(page, match):
+            at = len(page)
         closing = match[2] if match[3] else match[5]
         tag = (match[3] or match[6] or "").lower()
         if not tag:
@@ -226,57 +313,46 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
             links = 0 if closing else 1
         excluded_inline = (
             bool(attributes and tag in INLINE and tag not in VOID and not closing)
-            and doubt(tag, attributes, any(e.tag in ("article", "main") for e in stack)) != KEPT
+            and doubt(tag, attributes, stack.in_article()) != KEPT
         )
         if tag in INLINE and not excluded_inline:
             if tag == "br":
                 add(" ")
-            elif closing and any(e.tag == tag for e in stack[1:]):
+            elif closing and stack.at.get(tag):
                 # an inline element that was ruled out ends
                 flush()
-                while stack.pop().tag != tag:
-                    pass
-                block = Block(stack[-1])
+                stack.cut(stack.at[tag][-1])
+                block = Block(stack.items[-1])
             continue
         flush()
         if closing:
-            if any(e.tag == tag for e in stack[1:]):
-                while stack.pop().tag != tag:
-                    pass
+            if stack.at.get(tag):
+                stack.cut(stack.at[tag][-1])
             links = 0
         elif tag not in VOID:
-            closes = CLOSED_BY_NEXT.get(tag, set())
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in closes:
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in SCOPES:
-                    break
-            if not excluded_inline:
-                # a paragraph ends where the next block begins
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth].tag == "p":
-                        del stack[depth:]
-                        break
-                    if stack[depth].tag not in TEXT_BLOCKS:
-                        break
-            if stack[-1].tag == "head" and tag != "template":
+            closes = CLOSED_BY_NEXT.get(tag)
+            if closes and (place := stack.last(closes)) >= max(1, stack.last(SCOPES)):
+                stack.cut(place)
+            # a paragraph ends where the next block begins
+            if not excluded_inline and (place := stack.last(("p",))) > stack.others[-1]:
+                stack.cut(place)
+            if stack.items[-1].tag == "head" and tag != "template":
                 # its end tag may be left out
-                stack.pop()
-            above = stack[-1]
-            says = doubt(tag, attributes, any(e.tag in ("article", "main") for e in stack))
+                stack.cut(len(stack.items) - 1)
+            above = stack.items[-1]
+            says = doubt(tag, attributes, stack.in_article())
             element = Element(
                 tag,
                 len(elements),
-                f"{above.path}/{tag}",
+                paths.setdefault((above.path, tag), len(paths) + 1),
+                above.number,
                 says,
                 above.excluded or says == HIDDEN,
-                (*above.parents, len(elements)),
             )
             elements.append(element)
             if not attributes.rstrip().endswith("/"):
-                stack.append(element)
-        block = Block(stack[-1])
+                stack.push(element)
+        block = Block(stack.items[-1])
     # an unfinished tag at the end is no text
     rest = page[at:]
     add(re.sub(r"<[a-zA-Z/!?][^>]*\Z", "", rest))
@@ -288,7 +364,7 @@ def read_blocks(page: str) -> tuple[list[Block], list[Element]]:
     return blocks, elements
 
 
-def content_paths(blocks: list[Block]) -> set[str]:
+def content_paths(blocks: list[Block]) -> set[int]:
     """The paths whose smoothed and fused ratios make them content."""
     paths = [b.element.path for b in blocks]
     names = {p: i for i, p in enumerate(dict.fromkeys(paths))}
@@ -304,36 +380,34 @@ def content_paths(blocks: list[Block]) -> set[str]:
     return {p for p, i in names.items() if score[i] >= CONTENT_SHARE * score.max() and score[i] > 0}
 
 
-def content_node(blocks: list[Block], elements: list[Element], paths: set[str]) -> int:
+def content_node(blocks: list[Block], elements: list[Element], paths: set[int]) -> int:
     """Number of the page's article, or of the innermost element with all content."""
     content = [b for b in blocks if b.element.path in paths and not b.is_links()] or blocks
-    held = np.zeros(len(elements))
+    own = np.zeros((len(elements), 2))
     for b in content:
-        held[list(b.element.parents)] += len(b.text)
+        own[b.element.number] += (len(b.text), 1)
+    held, n_blocks = in_tree(elements, own[:, 0]), in_tree(elements, own[:, 1])
+    around = articles_around(elements)
     articles = [
         e.number
         for e in elements
-        if e.tag in ("article", "main")
-        and held[e.number]
-        and not any(elements[n].tag in ("article", "main") for n in e.parents[:-1])
+        if e.tag in ("article", "main") and held[e.number] and not around[e.number]
     ]
     least = ARTICLE_SHARE if len(articles) == 1 else MAIN_ARTICLE_SHARE
     for number in articles:
         if held[number] >= least * held[0]:
             return number
-    node = 0
-    for step in zip(*(b.element.parents for b in content), strict=False):
-        if len(set(step)) > 1:
-            break
-        if elements[step[0]].tag not in TEXT_BLOCKS:
-            node = step[0]
-    return node
+    whole = [e.number for e in elements if n_blocks[e.number] == len(content) and e.tag not in TEXT_BLOCKS]
+    return whole[-1] if whole else 0
 
 
-def held_directly(element: Element, node: int, elements: list[Element]) -> bool:
-    """Whether only paragraphs, cells and the like are between an element and a node."""
-    below = element.parents[element.parents.index(node) + 1 :]
-    return all(elements[n].tag in TEXT_BLOCKS for n in below)
+def below(elements: list[Element], node: int, tags=None) -> list[bool]:
+    """Which elements are a node or below it, with only ``tags`` (or any) between."""
+    found = [False] * len(elements)
+    found[node] = True
+    for e in elements[node + 1 :]:
+        found[e.number] = found[e.parent] and (tags is None or e.tag in tags)
+    return found
 
 
 def main_text(page: str) -> str:
@@ -344,14 +418,17 @@ def main_text(page: str) -> str:
         return ""
     paths = content_paths(blocks)
     node = content_node(blocks, elements, paths)
-    inner = [b for b in blocks if node in b.element.parents]
+    inside = below(elements, node)
+    inner = [b for b in blocks if inside[b.element.number]]
     if not paths:
         # nothing but links: headings and paragraphs
         inner = [b for b in inner if b.element.tag in PROSE]
     elif elements[node].tag not in ("article", "main"):
         content = [i for i, b in enumerate(inner) if b.element.path in paths and not b.is_links()]
+        # only paragraphs, cells and the like between them and the node
+        direct = below(elements, node, TEXT_BLOCKS)
         if elements[node].tag in ("#", "html", "body") or not any(
-            held_directly(inner[i].element, node, elements) for i in content
+            direct[inner[i].element.number] for i in content
         ):
             # around the text itself, lists of links are the page's menus
             inner = [
@@ -367,9 +444,10 @@ def main_text(page: str) -> str:
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` (code points) of every page.
 
-    Null or empty pages give the empty text. Every row is read for itself, so repeated
-    rows and those without an identifier are like all others; other columns are not
-    looked at.
+    Null or empty pages give the empty text, an empty table an empty one. Every row is
+    read for itself, so repeated rows and those without an identifier are like all
+    others; other columns are not looked at. A page is read whole, in time and memory
+    that grow with its length, however deep or broken its markup.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
