@@ -56,6 +56,16 @@ def test_exact_dedup_is_native(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_each_level_of_a_merge_is_sorted_and_folded_in_order(spark):
+    merged = exact_dedup.merged_digests(exact_dedup.text_digests(cases.frame(spark)), 64, 4)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Initial Plan") :] if "Initial Plan" in plan else plan
+    levels = 4  # 64 runs, 16, 4, 1
+    assert plan.count("SortAggregate") == 2 * levels and "HashAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning(run") == levels
+    assert plan.count("Sort [run") >= levels
+
+
 # lines
 
 

@@ -1,10 +1,14 @@
-"""Exact deduplication by a tree-merge of digest runs, in DataFrame operations only.
+"""Exact deduplication by a tree-merge of sorted digest runs, in DataFrame operations only.
 
-Every input partition belongs to a run. A run is the sorted list of the text
-digests met there, each with its smallest identifier and number of rows. Runs are
-merged in binomial rounds, ``FAN_IN`` at a time, and keep the smallest identifier
-at every level; the last round leaves one run, spread over all tasks by digest. A
-digest that fills a third of the table is one row per run from the first level on.
+Each task sorts the digests of its texts and folds equal neighbours to one entry with
+the smallest identifier and the number of rows: a run. Runs are merged in binomial
+rounds, ``FAN_IN`` at a time: tasks exchange their runs by digest, sort what came in and
+fold equal neighbours again, so the smallest identifier is kept at every level. The last
+round leaves one run, spread over all tasks by digest. A digest that fills a third of the
+table is one entry of a run from the first sort on.
+
+The smallest identifier is taken of a structure, which Spark folds in sort order
+(``SortAggregate``) before and after each exchange; there are no hash tables.
 
 A digest is verified at every level: only rows whose SHA-256, length and a second,
 independent 64-bit hash agree are merged.
@@ -33,32 +37,27 @@ def text_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def merge_level(runs: DataFrame, fan_in: int) -> DataFrame:
-    """Merge ``fan_in`` neighbouring runs into one.
-
-    The parts of a run group are exchanged by digest and sorted, so that the
-    aggregation sees each digest's entries side by side.
-    """
-    grouped = runs.withColumn("run", F.floor(F.col("run") / fan_in))
-    return (
-        grouped.repartition("run", *KEY)
-        .sortWithinPartitions("run", *KEY)
-        .groupBy("run", *KEY)
-        .agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+def folded(entries: DataFrame) -> DataFrame:
+    """Sorted runs with equal neighbours folded to one entry."""
+    return entries.groupBy("run", *KEY).agg(
+        F.min("keep").alias("keep"), F.sum("group_size").alias("group_size")
     )
 
 
 def merged_digests(digests: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
     """One row per distinct digest: smallest identifier and number of rows."""
-    level = (
-        digests.withColumn("run", F.pmod(F.spark_partition_id(), F.lit(runs)).cast("long"))
-        .groupBy("run", *KEY)
-        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    level = folded(
+        digests.select(
+            F.pmod(F.spark_partition_id(), F.lit(runs)).cast("long").alias("run"),
+            *KEY,
+            F.struct(F.col("doc_id").alias("keep_id")).alias("keep"),
+            F.lit(1).cast("long").alias("group_size"),
+        ).withColumn("keep", F.when(F.col("keep.keep_id").isNotNull(), F.col("keep")))
     )
     while runs > 1:
-        level = merge_level(level, fan_in)
+        level = folded(level.withColumn("run", F.floor(F.col("run") / fan_in)))
         runs = -(-runs // fan_in)
-    return level.drop("run")
+    return level.select(*KEY, F.col("keep.keep_id").alias("keep_id"), "group_size")
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
@@ -67,7 +66,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     Returns ``doc_id``, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
     Null texts count as empty ones. Rows repeated with the smallest identifier are
     all kept; rows without an identifier are dropped if a row with one has their
-    text, and kept otherwise. Other columns of ``docs`` are not looked at.
+    text, and kept otherwise. Texts of any length are read whole; an empty table gives
+    an empty one. Other columns of ``docs`` are not looked at.
     """
     digests = stored(text_digests(docs), "digests")
     groups = stored(merged_digests(digests), "digest-groups")
