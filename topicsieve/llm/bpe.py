@@ -23,8 +23,8 @@ from tokenizers import Tokenizer
 from topicsieve.llm.frames import slices, text_or_empty
 
 #: Entries of each generation of a worker's caches, a bound on its memory.
-CACHED_CHUNKS = 200_000
-CACHED_WORDS = 250_000
+CACHED_CHUNKS = 120_000
+CACHED_WORDS = 150_000
 #: Longer chunks are encoded without being remembered.
 CACHED_LENGTH = 64
 
@@ -202,8 +202,9 @@ def id_lists(encoded: Iterable[bytes]) -> pa.ListArray:
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every row's whole text.
 
-    Null texts count as empty and give no ids. Other columns are not looked at, and
-    rows without an identifier or with a repeated one are encoded like all others.
+    Null texts count as empty and give no ids; texts of any length are encoded whole,
+    and an empty table gives one. Other columns are not looked at, and rows without an
+    identifier or with a repeated one are encoded like all others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +222,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``ids`` and ``decoded``: the vocabulary strings, a space between them.
 
     A file without a decoder joins by spaces; ids outside of the vocabulary are left
-    out. Null ids give the empty text.
+    out. Null ids give the empty text, an empty table an empty one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,8 +6,10 @@ from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,14 +76,31 @@ def _noted(path: str, name: str | None = None) -> str:
     return path
 
 
+#: Whether Spark deletes an execution's shuffle files at its end.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Executions within leave no shuffle files; for those that are not run again."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as a table below the shared scratch folder and read back.
 
     Cuts the lineage like a checkpoint, survives the loss of any executor, and
-    gives later joins plain scans, whose skewed partitions Spark can split.
+    gives later joins plain scans, whose skewed partitions Spark can split. What was
+    shuffled for it is freed once it is written.
     """
     path = _noted(scratch_path(df.sparkSession, label))
-    df.write.parquet(path)
+    with _shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -89,25 +108,33 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     """``df`` stored in buckets of ``key``, so that joins on it do not shuffle it again.
 
     The files are below the shared scratch folder; a surrounding ``scratch`` frees them
-    and the catalog entry. ``df`` should come dealt by ``key``, or each task writes to
-    every bucket.
+    and the catalog entry. Rows are dealt by ``key`` first, so a task writes few files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "buckets")
     name = "buckets_" + path.rpartition("-")[2]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(n, key).option("path", _noted(path, name)).saveAsTable(name)
+    with _shuffles_freed(spark):
+        df.repartition(n, key).write.bucketBy(n, key).option("path", _noted(path, name)).saveAsTable(name)
     return spark.table(name)
 
 
 def slices(
     batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` has few bytes in each part (or one row)."""
+    """Cut batches so that ``column`` (texts, bytes or lists of numbers) has few bytes in each part, or one row."""
     for batch in batches:
-        rows = max(1, int(batch.num_rows * most_bytes / max(1, batch[column].nbytes)))
-        for start in range(0, batch.num_rows, rows):
+        cut = batch[column]
+        listed = pa.types.is_list(cut.type)
+        sizes = pc.list_value_length(cut) if listed else pc.binary_length(cut)
+        width = cut.type.value_type.bit_width // 8 if listed else 1
+        ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False), dtype=np.int64) * width
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + most_bytes, "right")))
             # copied, so that offsets begin at the part's own first row
-            yield pa.Table.from_batches([batch.slice(start, rows)]).take(
-                pa.array(range(min(rows, batch.num_rows - start)), pa.int64())
+            yield pa.Table.from_batches([batch.slice(start, end - start)]).take(
+                pa.array(range(end - start), pa.int64())
             ).combine_chunks().to_batches()[0]
+            start = end

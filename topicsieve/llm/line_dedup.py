@@ -12,12 +12,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicsieve.llm.frames import stored, text_or_empty
+from topicsieve.llm.frames import slices, stored, text_or_empty
 
 MIN_CHARS = 10
 MIN_DOCUMENTS = 2
@@ -37,7 +36,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """``doc_id`` and ``line_hash``, once per document and line."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             ids, hashes = [], []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = {line_hash(line, min_chars) for line in text.split("\n")} - {None}
@@ -67,6 +66,28 @@ def repeated_lines(hashes: DataFrame, min_documents: int) -> DataFrame:
     )
 
 
+def _assembled(min_chars: int):
+    """A column function: what a text keeps without the lines of some hashes."""
+
+    @F.arrow_udf(ASSEMBLED)
+    def assemble(texts: pa.Array, dropped: pa.Array) -> pa.Array:
+        n_lines, n_dropped, kept_texts = [], [], []
+        for text, hashes in zip(texts, dropped, strict=True):
+            # one text at a time as a string, however many there are in the batch
+            lines = text.as_py().split("\n")
+            gone = set(hashes.as_py() or ())
+            kept = [x for x in lines if line_hash(x, min_chars) not in gone] if gone else lines
+            n_lines.append(len(lines))
+            n_dropped.append(len(lines) - len(kept))
+            kept_texts.append("\n".join(kept))
+        return pa.StructArray.from_arrays(
+            [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept_texts, pa.string())],
+            ["n_lines", "n_dropped", "text"],
+        )
+
+    return assemble
+
+
 def drop_repeated_lines(
     docs: DataFrame,
     min_chars: int = MIN_CHARS,
@@ -79,7 +100,8 @@ def drop_repeated_lines(
     replaces a column of that name. A null or empty text is one empty line. Lines
     repeated within one document stay. Repeated rows of a document are cut alike;
     rows without an identifier are not counted and stay whole. For
-    ``min_documents`` above two, rows of one identifier have to be unique.
+    ``min_documents`` above two, rows of one identifier have to be unique. Texts of any
+    length are cut whole; an empty table gives one.
     """
     hashes = stored(line_hashes(docs, min_chars), "line-hashes")
     repeated = stored(repeated_lines(hashes, min_documents), "repeated-lines")
@@ -90,20 +112,11 @@ def drop_repeated_lines(
         .agg(F.collect_set("line_hash").alias("_dropped"))
     )
 
-    @F.pandas_udf(ASSEMBLED)
-    def assemble(texts: pd.Series, dropped: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, hashes in zip(texts, dropped, strict=True):
-            lines, gone = text.split("\n"), set() if hashes is None else set(hashes)
-            kept = [x for x in lines if line_hash(x, min_chars) not in gone] if gone else lines
-            rows.append((len(lines), len(lines) - len(kept), "\n".join(kept)))
-        return pd.DataFrame(rows, columns=["n_lines", "n_dropped", "text"])
-
     others = [c for c in docs.columns if c not in ("text", counts)]
     joined = docs.join(dropped, docs["doc_id"] == dropped["_dropped_from"], "left")
     cut = joined.select(
         *[docs[c] for c in others],
-        assemble(F.coalesce(docs["text"], F.lit("")), "_dropped").alias("_cut"),
+        _assembled(min_chars)(F.coalesce(docs["text"], F.lit("")), "_dropped").alias("_cut"),
     )
     return cut.select(
         *others,

@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -224,9 +223,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Factori
 def scored_by(model: FactorisationMachine, text: Column) -> Column:
     """The model's score of a text, 0 to 1; null and empty texts are scored as empty."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(text_features(t)) for t in texts], dtype=float)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        # one text at a time as a string, however many there are in the batch
+        return pa.array([model.score(text_features(t.as_py())) for t in texts], pa.float64())
 
     return score(F.coalesce(text, F.lit("")))
 
