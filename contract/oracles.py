@@ -67,6 +67,7 @@ ORACLES["validate_upload"] = query(
 _FILES = UPLOADS + """,
 files AS (SELECT split_part(path, '/', 2) AS name, body FROM uploads WHERE lower(path) LIKE '%.pdf' AND body <> '')"""
 ORACLES["list_binary_files"] = query(_FILES, "SELECT name, CAST(strlen(body) AS BIGINT) AS length FROM files")
+ORACLES["list_binary_files_limited"] = ORACLES["list_binary_files"] + " ORDER BY name LIMIT 100"
 ORACLES["read_binary"] = query(
     _FILES, "SELECT name, md5(body) AS digest, CAST(strlen(body) AS INTEGER) AS n_bytes FROM files"
 )
@@ -484,11 +485,13 @@ ORACLES["backfill_embeddings"] = query(
                {_checksum('coalesce(st.total, fr.total)')} AS checksum
         FROM documents LEFT JOIN st USING (doc_id) LEFT JOIN fr USING (doc_id)""",
 )
+ORACLES["backfill_from_store"] = ORACLES["backfill_embeddings"]
 _REVISED = TOPIC_ROWS + """,
 revised AS (SELECT doc_id, 'revised ' || query_text AS q FROM topics WHERE doc_id % 3 <> 2 AND doc_id % 5 = 0)"""
 ORACLES["refresh_query_vector"] = query(
     _REVISED + ",\n" + hashed("h", "revised", "doc_id", "q") + f",\nfr AS ({_FRESH_SUM})",
-    f"""SELECT doc_id, coalesce(q, query_text) AS query_text, {_checksum('fr.total')} AS checksum
+    f"""SELECT doc_id, coalesce(q, query_text) AS query_text,
+               coalesce({_checksum('fr.total')}, CASE WHEN doc_id % 2 = 0 THEN 0.5 + 2.0 * (doc_id % 8) END) AS checksum
         FROM topics LEFT JOIN revised USING (doc_id) LEFT JOIN fr USING (doc_id)""",
 )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from topicsieve.functions.scoring import score_to_tier, tier_key
 from topicsieve.operators import generation
-from topicsieve.operators.embedding import HashingEmbedder
+from topicsieve.operators.embedding import HashingEmbedder, VectorStore
 from topicsieve.operators.joblog import job_latest_state
 from topicsieve.operators.vocabulary import (
     fit,
@@ -406,3 +406,49 @@ def test_import_job(spark, tmp_path):
     scores = lambda df: {r.paper_id: r.score_breakdown for r in df.collect()}
     assert scores(corpus.read(spark, "papers", after)) == scores(again)
     assert corpus.read(spark, "papers", after).where(score_to_tier(F.col("score_final")) != F.col("tier")).count() == 0
+
+
+# vectors
+
+
+class CountingEmbedder:
+    """Notes each text it embeds in a folder."""
+
+    def __init__(self, folder):
+        self.folder = str(folder)
+
+    def __eq__(self, other):
+        return type(self) is type(other) and self.folder == other.folder
+
+    def __hash__(self):
+        return hash(self.folder)
+
+    def __call__(self):
+        def encode(texts):
+            if any("poison" in t for t in texts):
+                raise ValueError("cannot embed")
+            for t in texts:
+                Path(self.folder, f"{time.time_ns()}-{hashlib.md5(t.encode()).hexdigest()}").touch()
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return encode
+
+
+def test_no_text_is_embedded_twice(spark, tmp_path):
+    Path(tmp_path, "calls").mkdir()
+    model, store = CountingEmbedder(tmp_path / "calls"), VectorStore(f"{tmp_path}/vectors")
+    rows = [(i, ("same", "other", "poison", "", None, "kept")[i % 6], [9.0] if i % 6 == 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, text string, embedding array<float>").repartition(5)
+
+    def vectors(frame):
+        return {r.id: r.embedding for r in frame.collect()}
+
+    want = {i: {"same": [4.0, 1.0], "other": [5.0, 1.0], "kept": [9.0]}.get(t) for i, t, _ in rows}
+    assert vectors(store.backfill(df, model)) == want
+    assert len(list(Path(tmp_path, "calls").iterdir())) == 2
+    assert vectors(store.backfill(df, model)) == want
+    assert len(list(Path(tmp_path, "calls").iterdir())) == 2
+    more = spark.createDataFrame([(0, "same", None), (1, "new", [])], df.schema)
+    assert vectors(store.backfill(more, model)) == {0: [4.0, 1.0], 1: [3.0, 1.0]}
+    assert len(list(Path(tmp_path, "calls").iterdir())) == 3
+    assert store.backfill(df.limit(0), model).collect() == []

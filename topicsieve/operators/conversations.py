@@ -9,9 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicsieve.operators.generation import (
+    CHAT_CALLS,
+    Answer,
+    Calls,
     Generator,
     Reply,
     describe,
+    each_within,
     generation_ms,
     reply_function,
     session,
@@ -44,12 +48,16 @@ def assemble_conversations(messages: DataFrame, part_turns: int = PART_TURNS) ->
     )
 
 
-def answer_conversations(messages: DataFrame, generator: Generator, model: str | None = None) -> DataFrame:
+def answer_conversations(
+    messages: DataFrame, generator: Generator, model: str | None = None, calls: Calls = CHAT_CALLS
+) -> DataFrame:
     """One reply row per conversation, errors included; none is refused for its size.
 
     Messages are sorted by conversation and turn within partitions and fed to the
     model one after the other, so a task holds one Arrow batch and whatever the model
-    keeps of the conversation. A conversation with an unknown role gets an error row.
+    keeps of the conversation: one without ``start`` is given all messages at once, and
+    its worker holds them until then. A conversation with an unknown role gets an error
+    row, as does one whose reply takes too long.
     Messages without a conversation form one of their own; equal turns are taken by
     role and text.
     """
@@ -69,7 +77,7 @@ def answer_conversations(messages: DataFrame, generator: Generator, model: str |
                 if open_chat is None or key != at:
                     if open_chat is not None:
                         rows.append((at, *open_chat.finish()))
-                    at, open_chat = key, Chat(reply)
+                    at, open_chat = key, Chat(reply, calls)
                 open_chat.add(role, text, bool(is_bad))
             yield pd.DataFrame(rows, columns=REPLY_COLUMNS)
         if open_chat is not None:
@@ -89,8 +97,8 @@ def answer_conversations(messages: DataFrame, generator: Generator, model: str |
 class Chat:
     """One conversation on its way to the model; a failure stays with it."""
 
-    def __init__(self, reply: Reply):
-        self.session = None
+    def __init__(self, reply: Reply, calls: Calls):
+        self.session, self.calls = None, calls
         self.error: str | None = None
         self._try(lambda: setattr(self, "session", session(reply)))
 
@@ -108,7 +116,13 @@ class Chat:
             self._try(lambda: self.session.add({"role": role, "content": text}))
 
     def finish(self) -> tuple[str | None, int | None, int | None, str | None]:
-        answer = self._try(lambda: self.session.finish()) if self.error is None else None
+        answer = self._try(self._reply) if self.error is None else None
         if self.error is not None or answer is None:
             return None, None, None, self.error
         return answer.text.strip(), answer.nanoseconds, answer.eval_count, None
+
+    def _reply(self) -> Answer:
+        (answer,) = each_within([self.session.finish], self.calls)
+        if isinstance(answer, Exception):
+            raise answer
+        return answer

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -12,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicsieve.sources.commits import Marks
 from topicsieve.topic import Topic
 
 # An embedder is a picklable, hashable factory. Calling it loads the model and
@@ -128,6 +130,58 @@ def backfill_embeddings(df: DataFrame, embedder: Embedder, text: str = "text") -
     return embed_where(df, missing & (F.coalesce(F.col(text), F.lit("")) != ""), embedder, text)
 
 
+def text_digest(text: Column) -> Column:
+    """What a text's vector is kept under; blank and null texts embed as one space."""
+    said = F.coalesce(F.nullif(text, F.lit("")), F.lit(" "))
+    return F.sha2(said.cast("binary"), 256)
+
+
+@dataclass(frozen=True)
+class VectorStore:
+    """Vectors of one embedder, kept by the digest of their text below a folder.
+
+    Each run appends what it had to embed and marks it; vectors without a mark are not
+    read. Another embedder needs another folder.
+    """
+
+    root: str
+
+    def _read(self, spark: SparkSession) -> DataFrame:
+        schema = "text_digest string, embedding array<float>"
+        runs = list(Marks(f"{self.root}/runs").all(spark))
+        if not runs:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*[f"{self.root}/vectors/{r}" for r in runs])
+
+    def embed(self, df: DataFrame, embedder: Embedder, needed: Column, text: str = "text") -> DataFrame:
+        """``embedding`` of the rows that need one; other rows keep theirs.
+
+        Each different text that the store does not hold is given to the model once,
+        however many rows have it. Rows whose text cannot be embedded are left as they
+        were. Texts are reduced to their digests before rows are joined with vectors.
+        """
+        spark = df.sparkSession
+        keyed = df.withColumn("_digest", F.when(needed, text_digest(F.col(text))))
+        wanted = keyed.where(F.col("_digest").isNotNull())
+        texts = wanted.groupBy(F.col("_digest").alias("text_digest")).agg(F.first(text).alias("text"))
+        missing = texts.join(self._read(spark).select("text_digest"), "text_digest", "left_anti")
+        attempt = embed_attempt(F.coalesce("text", F.lit("")), embedder)
+        run = uuid.uuid4().hex
+        made = missing.withColumn("_attempt", attempt).select("text_digest", "_attempt.*")
+        made.where("error IS NULL").drop("error").write.parquet(f"{self.root}/vectors/{run}")
+        Marks(f"{self.root}/runs").put(spark, run)
+        # rows that need nothing get keys of their own, or they would meet under null
+        found = self._read(spark).select(F.col("text_digest").alias("_digest"), F.col("embedding").alias("_found"))
+        spread = F.coalesce("_digest", F.concat(F.lit("none:"), F.uuid()))
+        joined = keyed.withColumn("_digest", spread).join(found, "_digest", "left")
+        return joined.withColumn("embedding", F.coalesce("_found", "embedding")).select(*df.columns)
+
+    def backfill(self, df: DataFrame, embedder: Embedder, text: str = "text") -> DataFrame:
+        """``backfill_embeddings`` by way of the store."""
+        missing = F.col("embedding").isNull() | (F.size("embedding") == 0)
+        return self.embed(df, embedder, missing & (F.coalesce(F.col(text), F.lit("")) != ""), text)
+
+
 def embed_text(spark: SparkSession, text: str, embedder: Embedder) -> tuple[float, ...]:
     """Vector of one text, computed by the same job as a corpus."""
     one = spark.createDataFrame([(text,)], "text string")
