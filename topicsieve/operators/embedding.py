@@ -147,11 +147,12 @@ class VectorStore:
     root: str
 
     def _read(self, spark: SparkSession) -> DataFrame:
-        schema = "text_digest string, embedding array<float>"
+        schema = "text_digest string, embedding array<float>, error string"
         runs = list(Marks(f"{self.root}/runs").all(spark))
         if not runs:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(*[f"{self.root}/vectors/{r}" for r in runs])
+        stored = spark.read.schema(schema).parquet(*[f"{self.root}/vectors/{r}" for r in runs])
+        return stored.where("error IS NULL")
 
     def embed(self, df: DataFrame, embedder: Embedder, needed: Column, text: str = "text") -> DataFrame:
         """``embedding`` of the rows that need one; other rows keep theirs.
@@ -168,7 +169,8 @@ class VectorStore:
         attempt = embed_attempt(F.coalesce("text", F.lit("")), embedder)
         run = uuid.uuid4().hex
         made = missing.withColumn("_attempt", attempt).select("text_digest", "_attempt.*")
-        made.where("error IS NULL").drop("error").write.parquet(f"{self.root}/vectors/{run}")
+        # errors too: a filter here would have the model called twice
+        made.write.parquet(f"{self.root}/vectors/{run}")
         Marks(f"{self.root}/runs").put(spark, run)
         # rows that need nothing get keys of their own, or they would meet under null
         found = self._read(spark).select(F.col("text_digest").alias("_digest"), F.col("embedding").alias("_found"))
