@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from topicsieve.llm.frames import slices
+
 T = TypeVar("T")
 SALTS = 1024
 LINK = "`left` bigint, `right` bigint"
@@ -38,7 +40,7 @@ def matching(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, mine = None, None
-        for batch in batches:
+        for batch in slices(batches, "value"):
             found: list[tuple[int, int]] = []
             columns = (batch[c] for c in ("left", "salt", "right", "value"))
             for left, salt, right, value in zip(*columns, strict=True):
@@ -83,7 +85,7 @@ def in_blocks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows = None, []
-        for batch in batches:
+        for batch in slices(batches, "value"):
             found: list[tuple[int, int]] = []
             names = ("bucket", "low", "high", "block", "node", "component", "value")
             for bucket, low, high, *row in zip(*(batch[c].to_pylist() for c in names), strict=True):

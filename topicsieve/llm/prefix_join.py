@@ -6,24 +6,30 @@ order gives the index, a bucket for each prefix token; pairs that meet in a buck
 candidates only if they share a prefix token under each of the other orders too, and
 only these are verified on their full sets.
 
-All orders put tokens that many documents hold last, so that common passages hardly get
-into a prefix; apart from that they are independent. A common token is one whose bit is
-set in a bitmap of fixed size, counted over all texts: whatever the bitmap says, it says
-it to every document, so each order is the same everywhere and no link is lost.
+All orders put tokens that several documents hold last, so that what documents share by
+a passage or by chance hardly gets into a prefix; apart from that they are independent. A
+common token is one whose bit is set in a bitmap of fixed size, counted over all texts:
+whatever the bitmap says, it says it to every document, so each order is the same
+everywhere and no link is lost.
 
 Documents with equal sets are one class, which its smallest identifier stands for.
 Buckets are searched without listing their pairs: in each round one member is compared
 with the others of its bucket. Members that are in one component by then need no further
-comparison, so only buckets that still hold several components are left at last, and
-there the filters of all orders are intersected block by block.
+comparison, so only buckets that still hold several components are left at last, and are
+compared block by block.
+
+Families of texts that share much, but less than the threshold, pass all prefix filters.
+A parity bitmap of a few bits a token keeps them from being verified: where two bitmaps
+differ, the sets do, so the bits that differ are a lower bound of the symmetric
+difference. It drops no link. Full sets are fetched only of nodes in pairs it leaves.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,19 +40,17 @@ from pyspark.sql import functions as F
 from topicsieve.llm.components import connected_components
 from topicsieve.llm.frames import bucketed, scratch, slices, stored, text_or_empty
 from topicsieve.llm.pairs import in_blocks, matching
+from topicsieve.llm.shingles import WORDS, spread_bits, tokens
 
-WORDS = 5
 ORDERS = 3
 STAR_ROUNDS = 3
 BLOCK_NODES = 256
-#: Bits of the bitmap of common tokens, a megabyte; at most an eighth of them are set.
-COMMON_BITS = 1 << 23
-#: A token in fewer documents is never taken as common.
-COMMON_LEAST = 8
+#: Bits of the bitmap of common tokens, four megabytes; at most an eighth of them are set.
+COMMON_BITS = 1 << 25
+#: Part of a prefix beyond it whose tokens are counted, as they follow common ones.
+COUNTED_BEYOND = 0.25
 #: Tokens counted at a time in a task, a bound on its memory.
 COUNTED = 1 << 21
-#: Bytes of text hashed at a time.
-HASHED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -65,76 +69,9 @@ class Join:
         """Whether sets of these sizes can be similar enough."""
         return 100 * min(a, b) >= self.percent * max(a, b)
 
-
-# n-grams as hashes
-
-
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number, and of its inverse, modulo 2**64."""
-    base = 0x9E3779B97F4A7C15
-    out = []
-    for x in (base, pow(base, -1, 1 << 64)):
-        factors = np.full(n, x, np.uint64)
-        factors[0] = 1
-        out.append(np.multiply.accumulate(factors))
-    return out[0], out[1]
-
-
-@cache
-def _letters() -> np.ndarray:
-    return np.random.default_rng(20_250_101).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
-
-
-def spread_bits(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers in which every bit moves many others."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word, in order; words end at space and code points 9 to 13."""
-    raw = np.frombuffer(text, np.uint8)
-    blank = np.ones(len(raw) + 2, bool)
-    blank[1:-1] = (raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D))
-    edges = np.flatnonzero(blank[1:] != blank[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    up, down = _powers(1 << int(max(len(raw), 1) - 1).bit_length())
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_letters()[raw] * up[: len(raw)], out=sums[1:])
-    return spread_bits((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-
-
-def _chunks(text: bytes) -> Iterator[bytes]:
-    """``text`` in parts that end between words, of about ``HASHED`` bytes."""
-    start = 0
-    while len(text) - start > HASHED:
-        end = start + HASHED
-        while end < len(text) and text[end] not in b" \t\n\x0b\x0c\r":
-            end += 1
-        yield text[start:end]
-        start = end
-    yield text[start:]
-
-
-def tokens(text: str, n_words: int = WORDS) -> np.ndarray:
-    """The set of a text's word n-grams, as sorted 64-bit hashes.
-
-    A-Z count as lower case. With fewer than ``n_words``, all words make one; without
-    words the set is empty.
-    """
-    lowered = text.encode().lower()  # of bytes: A-Z and nothing else
-    words = np.concatenate([word_hashes(c) for c in _chunks(lowered)])
-    width = min(n_words, len(words))
-    if width == 0:
-        return words
-    count = len(words) - width + 1
-    rolled = np.full(count, width, np.uint64)
-    for i in range(width):
-        rolled = rolled * np.uint64(0xA24BAED4963EE407) + words[i : i + count]
-    found = np.sort(spread_bits(rolled))
-    return found[np.concatenate([[True], found[1:] != found[:-1]])]
+    def may_differ(self, differ, sizes):
+        """Whether sets of so many tokens together can be linked if they differ in so many."""
+        return differ * (100 + self.percent) <= sizes * (100 - self.percent)
 
 
 def set_key(found: np.ndarray) -> bytes:
@@ -144,6 +81,10 @@ def set_key(found: np.ndarray) -> bytes:
 # orders
 
 
+def _salt(order: int) -> np.uint64:
+    return spread_bits(np.array([order + 1], np.uint64))[0]
+
+
 def is_common(found: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     """Whether each token's bit is set."""
     bits = found & np.uint64(len(bitmap) * 8 - 1)
@@ -157,7 +98,7 @@ def prefixes(found: np.ndarray, bitmap: np.ndarray, join: Join) -> list[np.ndarr
     rare, often = found[~common], found[common]
     out = []
     for order in range(join.orders):
-        salt = spread_bits(np.array([order + 1], np.uint64))
+        salt = _salt(order)
         taken = []
         need = size
         for part in (rare, often):
@@ -168,27 +109,42 @@ def prefixes(found: np.ndarray, bitmap: np.ndarray, join: Join) -> list[np.ndarr
     return out
 
 
+def _counted(found: np.ndarray, join: Join) -> np.ndarray:
+    """Which tokens of a set come first under the first order, were no token common."""
+    size = min(len(found), math.ceil(join.prefix(len(found)) * (1 + COUNTED_BEYOND)))
+    first = np.zeros(len(found), bool)
+    if size:
+        first[np.argpartition(spread_bits(found ^ _salt(0)), size - 1)[:size]] = True
+    return first
+
+
 def common_tokens(docs: DataFrame, join: Join) -> Broadcast:
-    """Bitmap of the tokens that most documents hold, over all texts.
+    """Bitmap of the tokens that several documents hold, over all texts.
 
-    Tasks count tokens of many texts at a time and tell only those that occur in several
-    of them, so little is shuffled. The bitmap has ``COMMON_BITS`` bits whatever the size
-    of the corpus; it takes the most frequent tokens, down to a frequency (a power of
-    two) at which an eighth of its bits would be set.
+    Tasks count the tokens of many texts at a time and tell those that come first in a
+    text, and others that occur in several of its texts; these counts are added up. The
+    bitmap has ``COMMON_BITS`` bits whatever the size of the corpus; it takes the most
+    frequent tokens, down to a frequency (a power of two) at which an eighth of its bits
+    would be set.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        held: list[np.ndarray] = []
+        held: list[np.ndarray] = [np.zeros(0, np.uint64)]
+        marks: list[np.ndarray] = [np.zeros(0, bool)]
 
-        def several() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(held or [np.zeros(0, np.uint64)]), return_counts=True)
-            often = n > 1
+        def counts() -> pa.RecordBatch:
+            flat, first = np.concatenate(held), np.concatenate(marks)
             seen.clear()
-            held.clear()
-            return pa.RecordBatch.from_pydict(
-                {"token": found[often].view(np.int64), "n": n[often].astype(np.int64)}
-            )
+            del held[1:], marks[1:]
+            order = np.argsort(flat)
+            flat, first = flat[order], first[order]
+            starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else order
+            n = np.diff(np.append(starts, len(flat)))
+            told = n > 1
+            if len(flat):
+                told |= np.logical_or.reduceat(first, starts)
+            return pa.RecordBatch.from_pydict({"token": flat[starts[told]].view(np.int64), "n": n[told]})
 
         total = 0
         for batch in slices(batches, "text"):
@@ -198,11 +154,12 @@ def common_tokens(docs: DataFrame, join: Join) -> Broadcast:
                 if key not in seen:
                     seen.add(key)
                     held.append(found)
+                    marks.append(_counted(found, join))
                     total += len(found)
             if total >= COUNTED:
-                yield several()
+                yield counts()
                 total = 0
-        yield several()
+        yield counts()
 
     spark = docs.sparkSession
     counts = (
@@ -210,7 +167,7 @@ def common_tokens(docs: DataFrame, join: Join) -> Broadcast:
         .mapInArrow(run, "token bigint, n bigint")
         .groupBy("token")
         .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= COMMON_LEAST)
+        .where("n > 1")
     )
     with scratch(spark):
         counts = stored(counts, "common-tokens")
@@ -226,10 +183,9 @@ def common_tokens(docs: DataFrame, join: Join) -> Broadcast:
         word = F.expr(f"shiftright({bit}, 6) AS word")
         flag = F.expr(f"shiftleft(1L, CAST({bit} & 63 AS int))")
         # as many rows as the bitmap has 64-bit words, at most
-        rows = counts.where(scale >= least).groupBy(word).agg(F.bit_or(flag).alias("bits")).collect()
+        rows = counts.where(scale >= least).groupBy(word).agg(F.bit_or(flag).alias("bits")).toArrow()
     bitmap = np.zeros(COMMON_BITS // 64, np.int64)
-    for r in rows:
-        bitmap[r["word"]] = r["bits"]
+    bitmap[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     return spark.sparkContext.broadcast(bitmap.astype("<i8").view(np.uint8))
 
 
@@ -283,24 +239,23 @@ def indexed(docs: DataFrame, common: Broadcast, join: Join) -> DataFrame:
     return chosen.mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key binary, bucket bigint")
 
 
-def _packed(found: np.ndarray, orders: list[np.ndarray]) -> bytes:
-    """A set's size and prefixes, 32 bits of each token; the first order keeps its sequence."""
-    short = [p.astype(np.uint32) for p in orders]
-    return np.concatenate([np.array([len(found)], np.uint32), short[0], *map(np.sort, short[1:])]).tobytes()
-
-
 class Prefixes:
-    """A set's size and prefixes, as they were stored."""
+    """A set's size and its prefixes under the orders after the first, 32 bits a token."""
 
     __slots__ = ("size", "orders")
 
     def __init__(self, value: bytes, join: Join):
         raw = np.frombuffer(value, np.uint32)
         self.size = int(raw[0])
-        self.orders = raw[1:].reshape(join.orders, -1)
+        self.orders = raw[1:].reshape(join.orders - 1, -1)
+
+    @staticmethod
+    def packed(size: int, orders: list[np.ndarray]) -> bytes:
+        head = np.array([size], np.uint32)
+        return np.concatenate([head, *(p.astype(np.uint32) for p in orders)]).tobytes()
 
     def candidate(self, other: Prefixes, join: Join) -> bool:
-        """Whether sizes fit and prefixes meet under every order."""
+        """Whether sizes fit and prefixes meet under each of the orders."""
         return join.may_fit(self.size, other.size) and all(
             np.isin(a, b).any() for a, b in zip(self.orders, other.orders, strict=True)
         )
@@ -315,28 +270,80 @@ def similar(a: np.ndarray, b: np.ndarray, join: Join) -> bool:
     return 100 * shared >= join.percent * (len(both) - shared)
 
 
+def parity(found: np.ndarray) -> bytes:
+    """A set's size, and for each value of some bits of its tokens whether their number is odd.
+
+    The bitmap has two to four bits a token.
+    """
+    width = max(64, 1 << (2 * max(len(found), 1) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    head = np.array([len(found)], "<u4").tobytes()
+    return head + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Parity:
+    """A size and a parity bitmap, as they were stored."""
+
+    __slots__ = ("size", "words")
+
+    def __init__(self, value: bytes):
+        self.size = int.from_bytes(value[:4], "little")
+        self.words = np.frombuffer(value, np.uint64, (len(value) - 4) // 8, 4)
+
+    def folded(self, n: int) -> np.ndarray:
+        """The bitmap of ``n`` words, no more than it has."""
+        words = self.words
+        while len(words) > n:
+            words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+        return words
+
+    def may_link(self, other: Parity, join: Join) -> bool:
+        """Whether sizes and bitmaps leave room for a link."""
+        n = min(len(self.words), len(other.words))
+        differ = int(np.bitwise_count(self.folded(n) ^ other.folded(n)).sum())
+        return join.may_fit(self.size, other.size) and join.may_differ(differ, self.size + other.size)
+
+
+class Filters:
+    """All that a set is filtered by before it is verified."""
+
+    __slots__ = ("prefixes", "parity")
+
+    def __init__(self, value: bytes, join: Join):
+        size = int.from_bytes(value[:4], "little")
+        cut = 4 * (1 + (join.orders - 1) * join.prefix(size))
+        self.prefixes, self.parity = Prefixes(value[:cut], join), Parity(value[cut:])
+
+    def candidate(self, other: Filters, join: Join) -> bool:
+        return self.prefixes.candidate(other.prefixes, join) and self.parity.may_link(other.parity, join)
+
+
 def profiles(docs: DataFrame, needed: DataFrame, common: Broadcast, join: Join) -> DataFrame:
-    """``node``, ``prefixes`` and ``shingles`` of the documents ``needed``, in buckets of ``node``."""
+    """The documents ``needed``, in buckets of ``node``.
+
+    Returns ``node``, ``first`` (the prefix under the first order), ``others`` (size and
+    the prefixes under the other orders), ``parity`` and ``shingles`` (the full set).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            packed, sets = [], []
+            first, others, parities, sets = [], [], [], []
             for text in batch["text"]:
                 found = tokens(text.as_py(), join.n_words)
-                packed.append(_packed(found, prefixes(found, common.value, join)))
+                orders = prefixes(found, common.value, join)
+                first.append(orders[0].astype(np.uint32).tobytes())
+                others.append(Prefixes.packed(len(found), orders[1:]))
+                parities.append(parity(found))
                 sets.append(found.tobytes())
+            columns = {"first": first, "others": others, "parity": parities, "shingles": sets}
             yield pa.RecordBatch.from_pydict(
-                {
-                    "node": batch["node"],
-                    "prefixes": pa.array(packed, pa.binary()),
-                    "shingles": pa.array(sets, pa.binary()),
-                }
+                {"node": batch["node"]} | {k: pa.array(v, pa.binary()) for k, v in columns.items()}
             )
 
     own = docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty().alias("text"))
-    # a merge join leaves the rows dealt by node, as the buckets want them
-    chosen = own.join(needed.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
-    return bucketed(chosen.mapInArrow(run, "node bigint, prefixes binary, shingles binary"), "node")
+    chosen = own.join(needed, "node", "left_semi")
+    rows = chosen.mapInArrow(run, "node bigint, first binary, others binary, parity binary, shingles binary")
+    return bucketed(rows, "node")
 
 
 # links
@@ -353,35 +360,75 @@ def _met(tokens_of: np.ndarray, upto: np.ndarray | None = None) -> np.ndarray:
     order = np.argsort(flat, kind="stable")
     rows, flat = rows[order], flat[order]
     out = np.zeros((n, n), bool)
-    starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else []
+    if not len(flat):
+        return out
+    starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
     for start, end in zip(starts, [*starts[1:], len(flat)], strict=True):
         if end - start > 1:
             out[np.ix_(rows[start:end], rows[start:end])] = True
     return out
 
 
+def _candidates(rows: list[tuple], known: list[Prefixes], join: Join) -> np.ndarray:
+    """Which pairs of a block, or of its two halves, pass the filters of all later orders."""
+    sizes = np.array([k.size for k in known])
+    likely = 100 * np.minimum.outer(sizes, sizes) >= join.percent * np.maximum.outer(sizes, sizes)
+    half, component = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
+    likely &= np.not_equal.outer(component, component)
+    if half.min() != half.max():
+        likely &= np.not_equal.outer(half, half)
+    for order in range(join.orders - 1):
+        if likely.any():
+            likely &= _met([k.orders[order] for k in known])
+    return likely
+
+
+def block_nodes(bucket: int, rows: list[tuple[int, int, int, bytes]], join: Join) -> list[tuple[int, int]]:
+    """The bucket and each node of it that sizes and bitmaps leave in a pair with another component."""
+    known = [Parity(value) for *_, value in rows]
+    sizes, words = np.array([k.size for k in known]), np.array([len(k.words) for k in known])
+    half, component = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
+    crossing = half.min() != half.max()
+    kept = np.zeros(len(rows), bool)
+    # linked sets have bitmaps of one width, or of one and twice that
+    for width in np.unique(words):
+        own = np.flatnonzero((words == width) | (words == 2 * width))
+        maps = np.stack([known[i].folded(width) for i in own])
+        for at, i in enumerate(own):
+            if words[i] != width:
+                continue
+            others = own[component[own] != component[i]]
+            likely = 100 * np.minimum(sizes[others], sizes[i]) >= join.percent * np.maximum(sizes[others], sizes[i])
+            if crossing:
+                likely &= half[others] != half[i]
+            others = others[likely]
+            if len(others):
+                differ = np.bitwise_count(maps[np.searchsorted(own, others)] ^ maps[at]).sum(axis=1, dtype=np.int64)
+                met = others[join.may_differ(differ, sizes[others] + sizes[i])]
+                if len(met):
+                    kept[i] = kept[met] = True
+    return [(bucket, rows[i][1]) for i in np.flatnonzero(kept).tolist()]
+
+
 def block_links(bucket: int, rows: list[tuple[int, int, int, bytes]], join: Join) -> list[tuple[int, int]]:
     """Links that join components within a block of a bucket, or between its two halves.
 
     Pairs that meet in a bucket of an earlier token are left to it, and pairs that links
     found here have joined are passed over, so there are fewer links than rows.
     """
-    known, sets = [], []
+    known, first, sets = [], [], []
     for *_, value in rows:
         size = int.from_bytes(value[:4], "little")
-        cut = 4 * (1 + join.orders * join.prefix(size))
+        prefix = join.prefix(size)
+        cut = 4 * (1 + (join.orders - 1) * prefix)
         known.append(Prefixes(value[:cut], join))
-        sets.append(np.frombuffer(value, np.uint64, offset=cut))
+        first.append(np.frombuffer(value, np.uint32, prefix, cut))
+        sets.append(np.frombuffer(value, np.uint64, size, cut + 4 * prefix))
     token = np.uint32(bucket & 0xFFFFFFFF)
-    upto = np.array([int(np.flatnonzero(k.orders[0] == token)[0]) for k in known])
-    sizes = np.array([k.size for k in known])
-    likely = 100 * np.minimum.outer(sizes, sizes) >= join.percent * np.maximum.outer(sizes, sizes)
-    half = np.array([r[0] for r in rows])
-    if half.min() != half.max():
-        likely &= np.not_equal.outer(half, half)
-    likely &= ~_met([k.orders[0] for k in known], upto)
-    for order in range(1, join.orders):
-        likely &= _met([k.orders[order] for k in known])
+    upto = np.array([int(np.flatnonzero(f == token)[0]) for f in first])
+    likely = _candidates(rows, known, join)
+    if likely.any():
+        likely &= ~_met(first, upto)
 
     joined = {r[2]: r[2] for r in rows}
 
@@ -414,9 +461,12 @@ def _several(members: DataFrame, components: DataFrame) -> DataFrame:
 def _components(members: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
     """``node`` and ``component`` of every class that is linked with another one."""
     spark = members.sparkSession
-    filters = nodes.select("node", F.col("prefixes").alias("value"))
+    # the size, with which both begin, tells where the bitmap starts
+    filters = nodes.select("node", F.concat("others", "parity").alias("value"))
+    bitmaps = nodes.select("node", F.col("parity").alias("value"))
     sets = nodes.select("node", F.col("shingles").alias("value"))
-    components = members.select("node", F.col("node").alias("component")).limit(0)
+    members = members.withColumn("component", F.col("node"))
+    components = members.select("node", "component").limit(0)
     for turn in range(STAR_ROUNDS):
         with scratch(spark) as keep:
             # the smallest member first; then another one in each bucket, as good as random
@@ -430,20 +480,28 @@ def _components(members: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
                 )
             pairs = led.select(F.col("leader").alias("left"), F.col("node").alias("right")).distinct()
             candidates = matching(
-                stored(pairs, "pairs"), filters, lambda v: Prefixes(v, join), lambda a, b: a.candidate(b, join)
+                stored(pairs, "pairs"), filters, lambda v: Filters(v, join), lambda a, b: a.candidate(b, join)
             )
             links = matching(
                 stored(candidates, "candidates"), sets, lambda v: np.frombuffer(v, np.uint64),
                 lambda a, b: similar(a, b, join),
             )
-            components = connected_components(components.toDF("left", "right").union(links))
-            components = keep(components, "components")
+            links = stored(links, "links")
+            if not links.isEmpty():
+                found = connected_components(components.toDF("left", "right").union(links))
+                components = keep(found, "components")
             members = keep(_several(others, components), "open-members")
         if members.isEmpty():
             return components
-    whole = nodes.select("node", F.concat("prefixes", "shingles").alias("value"))
-    across = in_blocks(members, whole, BLOCK_NODES, lambda bucket, rows: block_links(bucket, rows, join))
-    return connected_components(components.toDF("left", "right").union(across))
+    paired = in_blocks(members, bitmaps, BLOCK_NODES, lambda bucket, rows: block_nodes(bucket, rows, join))
+    paired = stored(paired.toDF("bucket", "node").distinct(), "paired-members")
+    whole = nodes.select("node", F.concat("others", "first", "shingles").alias("value"))
+    across = in_blocks(
+        members.join(paired, ["bucket", "node"], "left_semi"), whole, BLOCK_NODES,
+        lambda bucket, rows: block_links(bucket, rows, join),
+    )
+    across = stored(across, "links")
+    return components if across.isEmpty() else connected_components(components.toDF("left", "right").union(across))
 
 
 def similar_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -471,7 +529,9 @@ def similar_documents(docs: DataFrame, join: Join = Join()) -> DataFrame:
         met = stored(index.join(shared, "bucket", "left_semi"), "shared-buckets")
         node_of = named.select("set_key", F.col("doc_id").cast("long").alias("doc_id")).distinct()
         node_of = stored(node_of.join(classes, "set_key").select("doc_id", "node"), "nodes")
-        members = stored(met.join(node_of, "doc_id").select("bucket", "node").distinct(), "members")
+        members = stored(met.join(node_of, "doc_id").select("bucket", "node").distinct(), "all-members")
+        several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        members = stored(members.join(several, "bucket", "left_semi"), "members")
         nodes = profiles(docs, members.select("node").distinct(), common, join)
         components = _components(members, nodes, join)
         of_class = classes.join(components, "node", "left").select(
