@@ -75,11 +75,13 @@ def scan_corpus(spark, sf_dir):
 
 
 def inbox(spark, sf_dir) -> str:
-    """A folder with a file for every document, some with another suffix."""
-    root = scratch_path(spark, "inbox")
-    docs = upload_files(spark, sf_dir)
-    files.write_files(docs.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"), root)
-    return root
+    """A folder with a file for every document, some with another suffix; only read once written."""
+
+    def write(root: str) -> None:
+        docs = upload_files(spark, sf_dir)
+        files.write_files(docs.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"), root)
+
+    return views.written_once(spark, sf_dir, "inbox", write)
 
 
 def file_name(path: str = "path") -> Column:

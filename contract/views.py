@@ -64,20 +64,28 @@ def with_placement(scores: DataFrame) -> DataFrame:
 _snapshots: dict[tuple, str] = {}
 
 
+def written_once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """The path that ``write(path)`` filled, once per session and input version."""
+    files = [f"{sf_dir}/documents.parquet", f"{sf_dir}/embeddings.parquet"]
+    versions = spark.read.format("binaryFile").load(files).select("path", "modificationTime", "length")
+    key = (spark.sparkContext.applicationId, name, *sorted(tuple(r) for r in versions.collect()))
+    if key not in _snapshots:
+        path = scratch_path(spark, name)
+        write(path)
+        _snapshots[key] = path
+    return _snapshots[key]
+
+
 def snapshot(spark: SparkSession, sf_dir: str, name: str = "a") -> DataFrame:
     """The stored papers table as the last rescore left it.
 
     Listing, ranking and summary queries read stored scores, so a rescore is
     written once per session and input version and then scanned like any table.
     """
-    files = [f"{sf_dir}/documents.parquet", f"{sf_dir}/embeddings.parquet"]
-    versions = spark.read.format("binaryFile").load(files).select("path", "modificationTime", "length")
-    key = (spark.sparkContext.applicationId, name, *sorted(tuple(r) for r in versions.collect()))
-    if key not in _snapshots:
-        path = scratch_path(spark, f"scores-{name}")
+    def write(path: str) -> None:
         with_placement(scored(spark, sf_dir, load_topic(spark, sf_dir, name))).write.parquet(path)
-        _snapshots[key] = path
-    return spark.read.parquet(_snapshots[key])
+
+    return spark.read.parquet(written_once(spark, sf_dir, f"scores-{name}", write))
 
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
