@@ -331,7 +331,7 @@ def profiles(docs: DataFrame, needed: DataFrame, common: Broadcast, join: Join)
             for text in batch["text"]:
                 found = tokens(text.as_py(), join.n_words)
                 orders = prefixes(found, common.value, join)
-                first.append(orders[0].astype(np.uint32).tobytes())
+                first.append(orders[0].tobytes())
                 others.append(Prefixes.packed(len(found), orders[1:]))
                 parities.append(parity(found))
                 sets.append(found.tobytes())
@@ -422,9 +422,10 @@ def block_links(bucket: int, rows: list[tuple[int, int, int, bytes]], join: Join
         prefix = join.prefix(size)
         cut = 4 * (1 + (join.orders - 1) * prefix)
         known.append(Prefixes(value[:cut], join))
-        first.append(np.frombuffer(value, np.uint32, prefix, cut))
-        sets.append(np.frombuffer(value, np.uint64, size, cut + 4 * prefix))
-    token = np.uint32(bucket & 0xFFFFFFFF)
+        # whole tokens: what met in an earlier bucket must have done so
+        first.append(np.frombuffer(value, np.uint64, prefix, cut))
+        sets.append(np.frombuffer(value, np.uint64, size, cut + 8 * prefix))
+    token = np.int64(bucket).view(np.uint64)
     upto = np.array([int(np.flatnonzero(f == token)[0]) for f in first])
     likely = _candidates(rows, known, join)
     if likely.any():
