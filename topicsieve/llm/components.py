@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicsieve.llm.frames import stored
+from topicsieve.llm.frames import scratch, stored
 
 
 def _linked_to_smallest(arcs: DataFrame) -> DataFrame:
@@ -53,17 +53,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has two columns of ids in any order; self-loops, repeated edges and edges
     with a null end are taken. Nodes without another one have no row. The result is
-    stored.
+    stored; the steps' tables are freed.
     """
     u, v = (F.col(c).cast("long") for c in edges.columns[:2])
     tidy = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"), (u + v).alias("both"))
-    now = stored(tidy.where("both IS NOT NULL AND u != v").select("u", "v").distinct(), "edges")
-    state = _state(now)
-    while state[0]:
-        now = stored(small_star(stored(large_star(now), "large-star")), "small-star")
-        before, state = state, _state(now)
-        if before == state:
-            break
-    # stars now: every node but the smallest has one edge, to the smallest
-    centres = now.select(F.col("v").alias("u"), "v").distinct()
-    return stored(now.union(centres).toDF("node", "component"), "components")
+    spark = edges.sparkSession
+    with scratch(spark) as keep:
+        now = stored(tidy.where("both IS NOT NULL AND u != v").select("u", "v").distinct(), "edges")
+        state = _state(now)
+        while state[0]:
+            with scratch(spark) as keep_step:
+                now = keep_step(small_star(stored(large_star(now), "large-star")), "small-star")
+            before, state = state, _state(now)
+            if before == state:
+                break
+        # stars now: every node but the smallest has one edge, to the smallest
+        centres = now.select(F.col("v").alias("u"), "v").distinct()
+        return keep(now.union(centres).toDF("node", "component"), "components")

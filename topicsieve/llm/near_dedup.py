@@ -28,15 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicsieve.llm.components import connected_components
-from topicsieve.llm.frames import bucketed, slices, stored, text_or_empty
+from topicsieve.llm.frames import bucketed, scratch, slices, stored, text_or_empty
+from topicsieve.llm.pairs import in_blocks, matching
+from topicsieve.llm.shingles import WORDS, tokens
 
-WORDS = 5
 MISS = 1e-7
 MARGIN = 6.5  # standard deviations
 STAR_ROUNDS = 3
-SALTS = 1024
 BLOCK_NODES = 512
-CACHED_WORDS = 200_000
 #: Shingles hashed at a time, a bound on a worker's memory.
 BLOCK = 2048
 
@@ -64,38 +63,6 @@ class Rule:
         return self.minima * p - MARGIN * math.sqrt(self.minima * p * (1 - p))
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered in two generations."""
-
-    def __init__(self, limit: int = CACHED_WORDS):
-        self.limit = limit
-        self.young: dict[bytes, int] = {}
-        self.old: dict[bytes, int] = {}
-
-    def one(self, word: bytes) -> int:
-        found = self.young.get(word)
-        if found is None:
-            found = self.old.get(word)
-            if found is None:
-                found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-            if len(self.young) >= self.limit:
-                self.old, self.young = self.young, {}
-            self.young[word] = found
-        return found
-
-    def all(self, words: list[bytes]) -> np.ndarray:
-        found = list(map(self.young.get, words))
-        if None in found:
-            found = [self.one(w) if h is None else h for w, h in zip(words, found, strict=True)]
-        return np.array(found, np.uint64)
-
-
-@cache
-def word_hashes() -> WordHashes:
-    """One cache for each worker process."""
-    return WordHashes()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (a bijection)."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -103,24 +70,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingles(text: str, n_words: int = WORDS) -> np.ndarray:
-    """The set of a text's shingles, as sorted 64-bit hashes.
-
-    Words are split at space and code points 9 to 13, A-Z in lower case. With fewer
-    than ``n_words``, all words make one shingle; without words the set is empty.
-    """
-    # bytes.lower() changes A-Z only, bytes.split() splits at exactly these characters
-    words = word_hashes().all(text.encode().lower().split())
-    width = min(n_words, len(words))
-    if width == 0:
-        return words
-    count = len(words) - width + 1
-    sums = np.full(count, width, np.uint64)
-    for i in range(width):
-        sums = sums * np.uint64(0xA24BAED4963EE407) + words[i : i + count]
-    return np.unique(mixed(sums))
-
-
 @cache
 def universal(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Factors and summands of ``n`` hash functions of the multiply-shift family."""
@@ -159,7 +108,7 @@ def shingle_sets(docs: DataFrame, rule: Rule, whole: bool = False) -> DataFrame:
         for batch in slices(batches, "text"):
             sizes, keys, sketches, sets = [], [], [], []
             for text in batch["text"]:
-                hashes = shingles(text.as_py())
+                hashes = tokens(text.as_py(), WORDS)
                 raw = hashes.tobytes()
                 sizes.append(len(hashes))
                 keys.append(hashlib.blake2b(raw, digest_size=16).digest())
@@ -195,80 +144,39 @@ def bucket_rows(classes: DataFrame, rule: Rule) -> DataFrame:
     return classes.select("node", "sketch").mapInArrow(run, "bucket bigint, node bigint")
 
 
-class Profile:
-    """Sketch and shingle set of a document, as they were stored in one value."""
+class Sketch:
+    """Sketch and number of shingles of a document, as they were stored in one value."""
 
-    __slots__ = ("sketch", "shingles")
+    __slots__ = ("minima", "size")
 
     def __init__(self, value: bytes, rule: Rule):
-        self.sketch = np.frombuffer(value, "<u4", rule.minima)
-        self.shingles = np.frombuffer(value, "<u8", offset=4 * rule.minima)
+        self.minima = np.frombuffer(value, "<u4", rule.minima)
+        self.size = int(value[4 * rule.minima :])
 
-    def fits(self, other: Profile, rule: Rule) -> bool:
+    def fits(self, other: Sketch, rule: Rule) -> bool:
         """Whether sizes and sketches leave room for a link."""
-        small, large = sorted((len(self.shingles), len(other.shingles)))
+        small, large = sorted((self.size, other.size))
         if 100 * small < rule.percent * large:
             return False
-        return int((self.sketch == other.sketch).sum()) >= rule.least_agreeing
-
-    def linked(self, other: Profile, rule: Rule) -> bool:
-        """Whether the full sets are similar enough."""
-        shared = len(np.intersect1d(self.shingles, other.shingles, assume_unique=True))
-        union = len(self.shingles) + len(other.shingles) - shared
-        return 100 * shared >= rule.percent * union
-
-
-def links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    left, right = zip(*found, strict=True) if found else ((), ())
-    return pa.RecordBatch.from_pydict(
-        {"left": pa.array(left, pa.int64()), "right": pa.array(right, pa.int64())}
-    )
+        return int((self.minima == other.minima).sum()) >= rule.least_agreeing
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (``left``, ``right``) that are links.
-
-    A left profile meets its right ones in sorted order in a task, one at a time. The
-    right nodes are salted and the left profile goes to each salt that occurs, so the
-    partners of one node spread over many tasks.
-    """
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("right"), F.lit(SALTS)))
-    lefts = salted.select("left", "salt").distinct()
-    roles = lefts.select("left", "salt", F.lit(None).cast("long").alias("right"), F.col("left").alias("node"))
-    roles = roles.union(salted.select("left", "salt", "right", F.col("right").alias("node")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, mine = None, None
-        for batch in batches:
-            found: list[tuple[int, int]] = []
-            columns = (batch[c] for c in ("left", "salt", "right", "value"))
-            for left, salt, right, value in zip(*columns, strict=True):
-                key = (left.as_py(), salt.as_py())
-                profile = Profile(value.as_py(), rule)
-                if not right.is_valid:
-                    at, mine = key, profile
-                elif at == key and mine.fits(profile, rule) and mine.linked(profile, rule):
-                    found.append((key[0], right.as_py()))
-            yield links_of(found)
-
-    together = roles.join(nodes, "node").select("left", "salt", "right", "value")
-    return (
-        together.repartition("left", "salt")
-        .sortWithinPartitions("left", "salt", F.col("right").asc_nulls_first())
-        .mapInArrow(run, "`left` bigint, `right` bigint")
-    )
+def linked(a: np.ndarray, b: np.ndarray, rule: Rule) -> bool:
+    """Whether the full sets are similar enough."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= rule.percent * (len(a) + len(b) - shared)
 
 
-def block_links(rows: list[tuple[int, int, int, bytes]], bucket: int, rule: Rule) -> list[tuple[int, int]]:
+def block_links(bucket: int, rows: list[tuple[int, int, int, bytes]], rule: Rule) -> list[tuple[int, int]]:
     """Links that join components within a block of a bucket, or between its two halves.
 
-    ``rows`` have block number, node, component and profile. Pairs that met in a bucket
+    ``rows`` have block number, node, component, and sketch and shingles in one value. Pairs that met in a bucket
     of an earlier band are left to it, and pairs that links found here have joined are
     passed over, so there are fewer links than rows.
     """
-    profiles = [Profile(value, rule) for *_, value in rows]
-    sketches = np.stack([p.sketch for p in profiles])
-    sizes = np.array([len(p.shingles) for p in profiles])
+    sketches = np.stack([np.frombuffer(value, "<u4", rule.minima) for *_, value in rows])
+    sets = [np.frombuffer(value, "<u8", offset=4 * rule.minima) for *_, value in rows]
+    sizes = np.array([len(x) for x in sets])
     half = np.array([r[0] for r in rows])
     crossing = half.min() != half.max()
     keys = buckets(sketches, rule)
@@ -295,59 +203,13 @@ def block_links(rows: list[tuple[int, int, int, bytes]], bucket: int, rule: Rule
         agree = (sketches[others] == sketches[i]).sum(axis=1) >= rule.least_agreeing
         for j in others[agree & ~met].tolist():
             a, b = root(rows[i][2]), root(rows[j][2])
-            if a != b and profiles[i].linked(profiles[j], rule):
+            if a != b and linked(sets[i], sets[j], rule):
                 found.append((rows[i][1], rows[j][1]))
                 joined[max(a, b)] = min(a, b)
                 roots[roots == max(a, b)] = min(a, b)
     return found
 
 
-def links_across(members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """All links that join components within the buckets of ``members``.
-
-    A bucket is cut into blocks of about ``BLOCK_NODES`` nodes, and each pair of blocks
-    is a task's work for some time, however large the bucket. Only links come out.
-    """
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK_NODES)
-    placed = members.join(stored(sizes, "bucket-sizes"), "bucket").withColumn("blocks", blocks)
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    paired = placed.select("bucket", "node", "component", "block", other).select(
-        "bucket",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        "block",
-        "node",
-        "component",
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, []
-        for batch in batches:
-            found: list[tuple[int, int]] = []
-            columns = (
-                batch[c].to_pylist()
-                for c in ("bucket", "low", "high", "block", "node", "component", "value")
-            )
-            for bucket, low, high, *row in zip(*columns, strict=True):
-                if (bucket, low, high) != at:
-                    if len(rows) > 1:
-                        found += block_links(rows, at[0], rule)
-                    at, rows = (bucket, low, high), []
-                rows.append(tuple(row))
-            yield links_of(found)
-        if len(rows) > 1:
-            yield links_of(block_links(rows, at[0], rule))
-
-    together = paired.join(nodes, "node").repartition("bucket", "low", "high")
-    return (
-        together.select("bucket", "low", "high", "block", "node", "component", "value")
-        .sortWithinPartitions("bucket", "low", "high")
-        .mapInArrow(run, "`left` bigint, `right` bigint")
-    )
-
-
 def in_several_components(members: DataFrame, components: DataFrame) -> DataFrame:
     """The members of buckets that hold more than one component, with theirs."""
     known = (
@@ -363,44 +225,64 @@ def in_several_components(members: DataFrame, components: DataFrame) -> DataFram
         .where("least != most")
         .select("bucket")
     )
-    return stored(known.join(stored(open_buckets, "open-buckets"), "bucket"), "open-members")
+    return known.join(stored(open_buckets, "open-buckets"), "bucket")
 
 
 def near_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """``node`` and ``component`` of every class that is linked with another one."""
+    spark = docs.sparkSession
     rows = bucket_rows(classes, rule)
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = stored(rows.join(stored(shared, "shared-buckets"), "bucket"), "members")
-    needed = members.select(F.col("node").alias("doc_id")).distinct()
+    needed = stored(members.select(F.col("node").alias("doc_id")).distinct(), "needed")
     nodes = bucketed(
         shingle_sets(docs.join(needed, "doc_id", "left_semi"), rule, whole=True).select(
-            F.col("doc_id").cast("long").alias("node"), F.concat("sketch", "shingles").alias("value")
+            F.col("doc_id").cast("long").alias("node"),
+            "n_shingles",
+            "sketch",
+            "shingles",
         ),
         "node",
     )
+    # as text, so that a sketch and its size are one value
+    size = F.col("n_shingles").cast("string").cast("binary")
+    briefs = nodes.select("node", F.concat("sketch", size).alias("value"))
+    sets = nodes.select("node", F.col("shingles").alias("value"))
     components = members.select("node", F.col("node").alias("component")).limit(0)
     for turn in range(STAR_ROUNDS):
-        # the smallest member first; then another one in each bucket, as good as random
-        order = F.col("node") if turn == 0 else F.xxhash64("node", "bucket", F.lit(turn))
-        leaders = stored(
-            members.groupBy("bucket").agg(F.min_by("node", order).alias("leader")), "leaders"
-        )
-        others = stored(members.join(leaders, "bucket").where("node != leader"), "led-members")
-        led = others
-        if turn:
-            led = led.join(components.toDF("leader", "leads"), "leader", "left").where(
-                "component != coalesce(leads, leader)"
+        with scratch(spark) as keep:
+            # the smallest member first; then another one in each bucket, as good as random
+            order = F.col("node") if turn == 0 else F.xxhash64("node", "bucket", F.lit(turn))
+            leaders = stored(
+                members.groupBy("bucket").agg(F.min_by("node", order).alias("leader")), "leaders"
             )
-        pairs = stored(
-            led.select(F.col("leader").alias("left"), F.col("node").alias("right")).distinct(), "pairs"
-        )
-        links = components.toDF("left", "right").union(verified(pairs, nodes, rule))
-        components = connected_components(links)
-        members = in_several_components(others, components)
+            others = stored(members.join(leaders, "bucket").where("node != leader"), "led-members")
+            led = others
+            if turn:
+                led = led.join(components.toDF("leader", "leads"), "leader", "left").where(
+                    "component != coalesce(leads, leader)"
+                )
+            pairs = led.select(F.col("leader").alias("left"), F.col("node").alias("right")).distinct()
+            likely = matching(
+                stored(pairs, "pairs"), briefs, lambda v: Sketch(v, rule), lambda a, b: a.fits(b, rule)
+            )
+            links = matching(
+                stored(likely, "likely-pairs"),
+                sets,
+                lambda v: np.frombuffer(v, "<u8"),
+                lambda a, b: linked(a, b, rule),
+            )
+            links = stored(links, "links")
+            if not links.isEmpty():
+                found = connected_components(components.toDF("left", "right").union(links))
+                components = keep(found, "components")
+            members = keep(in_several_components(others, components), "open-members")
         if members.isEmpty():
             return components
-    across = links_across(members, nodes, rule)
-    return connected_components(components.toDF("left", "right").union(across))
+    whole = nodes.select("node", F.concat("sketch", "shingles").alias("value"))
+    across = in_blocks(members, whole, BLOCK_NODES, lambda bucket, rows: block_links(bucket, rows, rule))
+    across = stored(across, "links")
+    return components if across.isEmpty() else connected_components(components.toDF("left", "right").union(across))
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -414,21 +296,24 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     columns are not looked at.
     """
     docs = docs.select("doc_id", "text")
-    sets = stored(shingle_sets(docs, rule), "shingle-sets")
-    classes = stored(
-        sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy("set_key")
-        .agg(F.min("doc_id").cast("long").alias("node"), F.first("sketch").alias("sketch")),
-        "classes",
-    )
-    components = near_links(docs, classes, rule)
-    of_class = stored(
-        classes.select("set_key", "node")
-        .join(components, "node", "left")
-        .select("set_key", F.coalesce("component", "node").alias("component_id")),
-        "class-components",
-    )
-    linked = sets.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
+    with scratch(docs.sparkSession) as keep:
+        sets = stored(shingle_sets(docs, rule), "shingle-sets")
+        classes = stored(
+            sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
+            .groupBy("set_key")
+            .agg(F.min("doc_id").cast("long").alias("node"), F.first("sketch").alias("sketch")),
+            "classes",
+        )
+        components = near_links(docs, classes, rule)
+        of_class = stored(
+            classes.select("set_key", "node")
+            .join(components, "node", "left")
+            .select("set_key", F.coalesce("component", "node").alias("component_id")),
+            "class-components",
+        )
+        linked = keep(
+            sets.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left"), "linked"
+        )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return linked.select(
         "doc_id",
