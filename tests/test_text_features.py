@@ -200,3 +200,34 @@ def test_normalize_keywords(spark):
     )
     found = [r["keywords"] for r in normalize_keywords(df, "pasted", "existing").collect()]
     assert found == [["Old", "New", "third"], []]
+
+
+def test_statistics_hand_arrays_of_tokens_to_the_count(spark):
+    """Slices and batches of documents add up; no row per term of a document is made."""
+    texts = ["Alpha beta alpha beta", "beta gamma", "", None, "x", "delta " * 5]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    found = vocabulary.term_statistics(docs)
+    got = {r["term"]: (r["df"], r["cf"]) for r in found.collect()}
+    assert got == {
+        "": (4, 4), "alpha": (1, 2), "beta": (2, 3), "gamma": (1, 1), "delta": (1, 5),
+        "alpha beta": (1, 2), "beta alpha": (1, 1), "beta gamma": (1, 1), "delta delta": (1, 4),
+    }
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("tokens", [1, 3, 100])
+def test_slices_of_counted_documents(monkeypatch, tokens):
+    import pyarrow as pa
+
+    monkeypatch.setattr(vocabulary, "COUNTED_TOKENS", tokens)
+    rows = [["aa", "bb", "aa"], [], ["bb", "cc", "dd", "bb"], ["aa"]]
+    batch = pa.RecordBatch.from_arrays([pa.array([["zz"], *rows], pa.list_(pa.string()))], names=["_tokens"])
+    total = {}
+    for part in vocabulary._counted_terms(iter([batch.slice(1)])):
+        for r in part.to_pylist():
+            df, cf = total.get(r["term"], (0, 0))
+            total[r["term"]] = (df + r["df"], cf + r["cf"])
+    assert total == {
+        "": (4, 4), "aa": (2, 3), "bb": (2, 3), "cc": (1, 1), "dd": (1, 1),
+        "aa bb": (1, 1), "bb aa": (1, 1), "bb cc": (1, 1), "cc dd": (1, 1), "dd bb": (1, 1),
+    }
