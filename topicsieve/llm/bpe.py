@@ -25,6 +25,8 @@ from topicsieve.llm.frames import slices, text_or_empty
 #: Entries of each generation of a worker's caches, a bound on its memory.
 CACHED_CHUNKS = 120_000
 CACHED_WORDS = 150_000
+#: As many times more where only ids are made, and nothing is decoded beside the caches.
+LIBRARY_CACHES = 2
 #: Longer chunks are encoded without being remembered.
 CACHED_LENGTH = 64
 
@@ -64,11 +66,8 @@ class Remembered:
 
     def all(self, keys: list[str]) -> list[bytes]:
         found = list(map(self.young.get, keys))
-        missing = found.count(None)
-        at = -1
-        for _ in range(missing):
-            at = found.index(None, at + 1)
-            found[at] = self(keys[at])
+        if None in found:
+            found = [self(key) if known is None else known for key, known in zip(keys, found)]
         return found
 
 
@@ -105,9 +104,11 @@ class WordBpe:
             for rank, (left, right) in enumerate(pairs)
         }
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.merged = self.merge_by_library if library_merges else self.merge
-        self.words = Remembered(lambda word: self.encode_word(word.encode()), CACHED_WORDS)
-        self.chunks = Remembered(self.encode_chunk, CACHED_CHUNKS)
+        more = LIBRARY_CACHES if library_merges else 1
+        self.words = Remembered(lambda word: self.encode_word(word.encode()), more * CACHED_WORDS)
+        self.chunks = Remembered(self.encode_chunk, more * CACHED_CHUNKS)
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word."""
@@ -143,7 +144,7 @@ class WordBpe:
 
     def merge_by_library(self, word: bytes) -> list[int]:
         text = word.decode("latin-1").translate(self.byte_table)
-        return [token.id for token in self.library.model.tokenize(text)]
+        return [token.id for token in self.model.tokenize(text)]
 
     def encode_word(self, word: bytes) -> bytes:
         """Ids of a word, 32 bits each."""
@@ -152,7 +153,7 @@ class WordBpe:
 
     def encode_chunk(self, chunk: str) -> bytes:
         """Ids of a piece of text without spaces and line ends."""
-        if self.added_pattern.search(chunk):
+        if any(map(chunk.__contains__, self.added)):
             # parts at odd places are added tokens; they stand outside of all words
             parts = self.added_pattern.split(chunk)
             return b"".join(
