@@ -4,9 +4,10 @@ Documents with equal shingle sets are one class, which its smallest identifier s
 for. Classes whose minima agree in a whole band share a bucket. Buckets are searched
 for links without listing their pairs: in a star round, one member of a bucket is
 compared with all others. Members that are in one component by then need no more
-comparison, as further links between them change nothing; so after ``STAR_ROUNDS``
-only buckets that still hold several components are left, and there all pairs across
-components are compared in blocks, of which only links come out. Every comparison
+comparison, as further links between them change nothing; so only buckets that still
+hold several components are left. Large ones that are nearly one component get up to
+``STAR_ROUNDS`` rounds; in the others all pairs across components are compared in
+blocks, of which only links come out. Every comparison
 checks the sketches first, with a margin of many standard deviations, and then the
 full sets.
 
@@ -29,13 +30,13 @@ from pyspark.sql import functions as F
 
 from topicsieve.llm.components import connected_components
 from topicsieve.llm.frames import bucketed, scratch, slices, stored, text_or_empty
-from topicsieve.llm.pairs import in_blocks, matching
+from topicsieve.llm.pairs import in_blocks, matching, star_rounds
 from topicsieve.llm.shingles import WORDS, tokens
 
 MISS = 1e-7
 MARGIN = 6.5  # standard deviations
 STAR_ROUNDS = 3
-BLOCK_NODES = 512
+BLOCK_NODES = 1536
 #: Shingles hashed at a time, a bound on a worker's memory.
 BLOCK = 2048
 
@@ -132,16 +133,18 @@ def shingle_sets(docs: DataFrame, rule: Rule, whole: bool = False) -> DataFrame:
 
 
 def bucket_rows(classes: DataFrame, rule: Rule) -> DataFrame:
-    """``bucket`` and ``node``, a row for each class and band."""
+    """``bucket``, ``node`` and ``bytes`` of its sketch and set, a row for each class and band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "sketch"):
             raw = b"".join(x.as_py() for x in batch["sketch"])
             keys = buckets(np.frombuffer(raw, "<u4").reshape(batch.num_rows, rule.minima), rule)
             nodes = np.repeat(batch["node"].to_numpy(), rule.bands)
-            yield pa.RecordBatch.from_pydict({"bucket": keys.ravel(), "node": nodes})
+            held = np.repeat(4 * rule.minima + 8 * batch["n_shingles"].to_numpy(), rule.bands)
+            yield pa.RecordBatch.from_pydict({"bucket": keys.ravel(), "node": nodes, "bytes": held})
 
-    return classes.select("node", "sketch").mapInArrow(run, "bucket bigint, node bigint")
+    chosen = classes.select("node", "n_shingles", "sketch")
+    return chosen.mapInArrow(run, "bucket bigint, node bigint, bytes bigint")
 
 
 class Sketch:
@@ -210,24 +213,6 @@ def block_links(bucket: int, rows: list[tuple[int, int, int, bytes]], rule: Rule
     return found
 
 
-def in_several_components(members: DataFrame, components: DataFrame) -> DataFrame:
-    """The members of buckets that hold more than one component, with theirs."""
-    known = (
-        members.select("bucket", "node")
-        .join(components, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
-    # read twice, by bucket
-    known = stored(known, "bucket-components")
-    open_buckets = (
-        known.groupBy("bucket")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least != most")
-        .select("bucket")
-    )
-    return known.join(stored(open_buckets, "open-buckets"), "bucket")
-
-
 def near_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """``node`` and ``component`` of every class that is linked with another one."""
     spark = docs.sparkSession
@@ -248,37 +233,16 @@ def near_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     size = F.col("n_shingles").cast("string").cast("binary")
     briefs = nodes.select("node", F.concat("sketch", size).alias("value"))
     sets = nodes.select("node", F.col("shingles").alias("value"))
-    components = members.select("node", F.col("node").alias("component")).limit(0)
-    for turn in range(STAR_ROUNDS):
-        with scratch(spark) as keep:
-            # the smallest member first; then another one in each bucket, as good as random
-            order = F.col("node") if turn == 0 else F.xxhash64("node", "bucket", F.lit(turn))
-            leaders = stored(
-                members.groupBy("bucket").agg(F.min_by("node", order).alias("leader")), "leaders"
-            )
-            others = stored(members.join(leaders, "bucket").where("node != leader"), "led-members")
-            led = others
-            if turn:
-                led = led.join(components.toDF("leader", "leads"), "leader", "left").where(
-                    "component != coalesce(leads, leader)"
-                )
-            pairs = led.select(F.col("leader").alias("left"), F.col("node").alias("right")).distinct()
-            likely = matching(
-                stored(pairs, "pairs"), briefs, lambda v: Sketch(v, rule), lambda a, b: a.fits(b, rule)
-            )
-            links = matching(
-                stored(likely, "likely-pairs"),
-                sets,
-                lambda v: np.frombuffer(v, "<u8"),
-                lambda a, b: linked(a, b, rule),
-            )
-            links = stored(links, "links")
-            if not links.isEmpty():
-                found = connected_components(components.toDF("left", "right").union(links))
-                components = keep(found, "components")
-            members = keep(in_several_components(others, components), "open-members")
-        if members.isEmpty():
-            return components
+
+    def links(pairs: DataFrame) -> DataFrame:
+        likely = matching(pairs, briefs, lambda v: Sketch(v, rule), lambda a, b: a.fits(b, rule))
+        return matching(
+            stored(likely, "likely-pairs"), sets, lambda v: np.frombuffer(v, "<u8"), lambda a, b: linked(a, b, rule)
+        )
+
+    members, components = star_rounds(members, links, STAR_ROUNDS, BLOCK_NODES)
+    if members.isEmpty():
+        return components
     whole = nodes.select("node", F.concat("sketch", "shingles").alias("value"))
     across = in_blocks(members, whole, BLOCK_NODES, lambda bucket, rows: block_links(bucket, rows, rule))
     across = stored(across, "links")
@@ -301,7 +265,11 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         classes = stored(
             sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
             .groupBy("set_key")
-            .agg(F.min("doc_id").cast("long").alias("node"), F.first("sketch").alias("sketch")),
+            .agg(
+                F.min("doc_id").cast("long").alias("node"),
+                F.first("n_shingles").alias("n_shingles"),
+                F.first("sketch").alias("sketch"),
+            ),
             "classes",
         )
         components = near_links(docs, classes, rule)
