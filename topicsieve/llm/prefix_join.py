@@ -13,10 +13,10 @@ whatever the bitmap says, it says it to every document, so each order is the sam
 everywhere and no link is lost.
 
 Documents with equal sets are one class, which its smallest identifier stands for.
-Buckets are searched without listing their pairs: in each round one member is compared
-with the others of its bucket. Members that are in one component by then need no further
-comparison, so only buckets that still hold several components are left at last, and are
-compared block by block.
+Buckets are searched without listing their pairs: in a star round one member is
+compared with the others of its bucket. Members that are in one component by then need no
+further comparison, so only buckets that still hold several components are left, and are
+compared block by block; large ones that are nearly one component get more rounds first.
 
 Families of texts that share much, but less than the threshold, pass all prefix filters.
 A parity bitmap of a few bits a token keeps them from being verified: where two bitmaps
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from topicsieve.llm.components import connected_components
 from topicsieve.llm.frames import bucketed, scratch, slices, stored, text_or_empty
-from topicsieve.llm.pairs import in_blocks, matching
+from topicsieve.llm.pairs import in_blocks, matching, star_rounds
 from topicsieve.llm.shingles import WORDS, spread_bits, tokens
 
 ORDERS = 3
@@ -447,54 +447,25 @@ def block_links(bucket: int, rows: list[tuple[int, int, int, bytes]], join: Join
     return found
 
 
-def _several(members: DataFrame, components: DataFrame) -> DataFrame:
-    """The members of buckets that hold more than one component, with theirs."""
-    known = members.select("bucket", "node").join(components, "node", "left")
-    known = stored(known.withColumn("component", F.coalesce("component", "node")), "bucket-components")
-    open_buckets = (
-        known.groupBy("bucket")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least != most")
-    )
-    return known.join(open_buckets.select("bucket"), "bucket", "left_semi")
-
-
 def _components(members: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
     """``node`` and ``component`` of every class that is linked with another one."""
-    spark = members.sparkSession
     # the size, with which both begin, tells where the bitmap starts
     filters = nodes.select("node", F.concat("others", "parity").alias("value"))
     bitmaps = nodes.select("node", F.col("parity").alias("value"))
     sets = nodes.select("node", F.col("shingles").alias("value"))
-    members = members.withColumn("component", F.col("node"))
-    components = members.select("node", "component").limit(0)
-    for turn in range(STAR_ROUNDS):
-        with scratch(spark) as keep:
-            # the smallest member first; then another one in each bucket, as good as random
-            order = F.col("node") if turn == 0 else F.xxhash64("node", "bucket", F.lit(turn))
-            leaders = members.groupBy("bucket").agg(F.min_by("node", order).alias("leader"))
-            others = stored(members.join(leaders, "bucket").where("node != leader"), "led-members")
-            led = others
-            if turn:
-                led = led.join(components.toDF("leader", "leads"), "leader", "left").where(
-                    "component != coalesce(leads, leader)"
-                )
-            pairs = led.select(F.col("leader").alias("left"), F.col("node").alias("right")).distinct()
-            candidates = matching(
-                stored(pairs, "pairs"), filters, lambda v: Filters(v, join), lambda a, b: a.candidate(b, join)
-            )
-            links = matching(
-                stored(candidates, "candidates"), sets, lambda v: np.frombuffer(v, np.uint64),
-                lambda a, b: similar(a, b, join),
-            )
-            links = stored(links, "links")
-            if not links.isEmpty():
-                found = connected_components(components.toDF("left", "right").union(links))
-                components = keep(found, "components")
-            members = keep(_several(others, components), "open-members")
-        if members.isEmpty():
-            return components
-    paired = in_blocks(members, bitmaps, BLOCK_NODES, lambda bucket, rows: block_nodes(bucket, rows, join))
+
+    def links(pairs: DataFrame) -> DataFrame:
+        candidates = matching(pairs, filters, lambda v: Filters(v, join), lambda a, b: a.candidate(b, join))
+        return matching(
+            stored(candidates, "candidates"), sets, lambda v: np.frombuffer(v, np.uint64),
+            lambda a, b: similar(a, b, join),
+        )
+
+    members, components = star_rounds(members, links, STAR_ROUNDS, BLOCK_NODES)
+    if members.isEmpty():
+        return components
+    # bitmaps are small, so more of them fit a block
+    paired = in_blocks(members, bitmaps, 4 * BLOCK_NODES, lambda bucket, rows: block_nodes(bucket, rows, join))
     paired = stored(paired.toDF("bucket", "node").distinct(), "paired-members")
     whole = nodes.select("node", F.concat("others", "first", "shingles").alias("value"))
     across = in_blocks(
